@@ -1,0 +1 @@
+"""Tables, arriving files, configuration and reports."""
