@@ -107,7 +107,7 @@ def newest_not_exported(status: DataFrame, exported: DataFrame, client_id: int)
     """
     mine = F.col("pmd_client_id") == client_id
     sent = exported.where(mine)
-    left = only_new(status.where(mine).select("evalrun_id").distinct(), sent, ["evalrun_id"])
+    left = only_new(status.where(mine).select("evalrun_id"), sent, ["evalrun_id"])
     nulls = sent.agg(F.count_if(F.col("evalrun_id").isNull())).scalar()
     return max_or(left.where(nulls == 0), "evalrun_id", 0, "evalrun_id")
 
