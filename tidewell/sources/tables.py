@@ -42,15 +42,18 @@ def overwrite(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> Non
 
 
 def save_state(df: DataFrame, path: str, run_id: int) -> None:
-    """Write the full state of a table as the folder of this run."""
-    overwrite(df.withColumn(STATE_COLUMN, F.lit(run_id)), path, [STATE_COLUMN])
+    """Write the full state of a table as the folder of this run, also when it is empty."""
+    overwrite(df, f"{path}/{STATE_COLUMN}={run_id}")
 
 
 def load_state(spark: SparkSession, path: str, run_id: int | None = None) -> DataFrame:
-    """State of a given run, or the newest; only that folder is scanned."""
-    states = spark.read.parquet(path)
-    wanted = F.lit(run_id) if run_id is not None else states.agg(F.max(STATE_COLUMN)).scalar()
-    return states.where(F.col(STATE_COLUMN) == wanted).drop(STATE_COLUMN)
+    """State of a given run, or the newest; only that folder is scanned.
+
+    The newest run is found from the file listing, which shows an empty state too.
+    """
+    listing = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(path)
+    wanted = F.lit(run_id) if run_id is not None else listing.agg(F.max(STATE_COLUMN)).scalar()
+    return spark.read.parquet(path).where(F.col(STATE_COLUMN) == wanted).drop(STATE_COLUMN)
 
 
 def roll_to_history(current: DataFrame, history_path: str, current_path: str, run_id: int) -> None:
