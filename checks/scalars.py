@@ -213,7 +213,7 @@ def _(t):
     packed = overpunched(digits, F.col("l_returnflag") == "A")
     blank = F.when(F.col("l_linestatus") == "O", F.lit("")).otherwise(overpunched(digits, F.lit(False)))
     return t.lineitem.select(
-        "l_orderkey", "l_linenumber", amounts.implied_decimal(digits, 100).cast("double").alias("amount"),
+        "l_orderkey", "l_linenumber", amounts.implied_decimal(digits).cast("double").alias("amount"),
         amounts.packed_money(packed).cast("double").alias("packed"),
         amounts.packed_money(blank).cast("double").alias("blank_is_zero"),
         amounts.packed_quantity(overpunched(digits, F.lit(False))).alias("quantity"))

@@ -30,33 +30,38 @@ def money(value: Column | str) -> Column:
     return plain.try_cast(MONEY)
 
 
-def unpack_decimal(value: Column | str) -> Column:
-    """Signed number from text whose last character carries digit and sign."""
+def _unpacked(value: Column | str, suffix: str = "") -> Column:
+    """Plain number as text, from text whose last character carries digit and sign."""
     text = F.trim(_col(value).cast("string"))
     last = F.right(text, F.lit(1))
-    body = F.substring(text, F.lit(1), F.length(text) - 1)
+    sign = F.when(last.isin(list(NEGATIVE_SIGNS)), "-").otherwise("")
     digit = F.translate(last, POSITIVE_SIGNS + NEGATIVE_SIGNS, "0123456789" * 2)
-    number = F.concat(body, digit).try_cast("decimal(18,0)")
-    return F.when(F.instr(F.lit(NEGATIVE_SIGNS), last) > 0, -number).otherwise(number)
+    return F.concat(sign, F.substring(text, F.lit(1), F.length(text) - 1), digit, F.lit(suffix))
+
+
+def unpack_decimal(value: Column | str) -> Column:
+    """Signed whole number from signed-overpunch text."""
+    return _unpacked(value).try_cast("decimal(18,0)")
 
 
 def packed_money(value: Column | str) -> Column:
-    """Packed cents to money; empty text counts as zero."""
-    cents = unpack_decimal(value)
-    amount = (cents / F.lit(100).cast("decimal(3,0)")).cast(MONEY)
+    """Packed cents to money; empty text counts as zero.
+
+    The decimal point is moved in the text, which needs one cast and no division.
+    """
+    amount = _unpacked(value, "E-2").try_cast(MONEY)
     return F.when(F.length(_col(value)) == 0, F.lit(0).cast(MONEY)).otherwise(amount)
 
 
 def packed_quantity(value: Column | str, scale: int = 1000) -> Column:
     """Packed quantity by whole-number division; empty text counts as zero."""
-    units = F.call_function("div", unpack_decimal(value).cast("bigint"), F.lit(scale).cast("bigint"))
+    units = F.call_function("div", _unpacked(value).try_cast("bigint"), F.lit(scale).cast("bigint"))
     return F.when(F.length(_col(value)) == 0, F.lit(0.0)).otherwise(units.cast("double"))
 
 
-def implied_decimal(value: Column | str, scale: int) -> Column:
-    """Amount from plain digits with an unwritten decimal point (scale 100 = cents)."""
-    digits = _col(value).cast("string").try_cast("decimal(18,0)")
-    return (digits / F.lit(scale).cast("decimal(9,0)")).cast(MONEY)
+def implied_decimal(value: Column | str, places: int = 2) -> Column:
+    """Amount from plain digits with an unwritten decimal point before the last ``places``."""
+    return F.concat(F.trim(_col(value).cast("string")), F.lit(f"E-{places}")).try_cast(MONEY)
 
 
 def rounded(value: Column | str, n: int = 0) -> Column:

@@ -56,12 +56,28 @@ def days_between(later: Column | str, earlier: Column | str) -> Column:
     return F.datediff(_col(later), _col(earlier))
 
 
+def _as_iso(text: Column, layout: str) -> tuple[Column, Column]:
+    """Does the text have the layout's separators, and its parts in ISO order."""
+    fits = F.length(text) == len(layout)
+    for place, sign in enumerate(layout):
+        if not sign.isalpha():
+            fits = fits & (F.substring(text, place + 1, 1) == sign)
+    part = {name: F.substring(text, layout.index(name) + 1, len(name)) for name in ("yyyy", "MM", "dd")}
+    return fits, F.concat_ws("-", part["yyyy"], part["MM"], part["dd"])
+
+
 def date_or(value: Column | str, default=None, formats=DATE_FORMATS) -> Column:
-    """First format that reads the text, else ``default`` (NULL when not given)."""
-    text = _col(value).cast("string")
-    tries = [F.try_to_date(text, fmt) for fmt in formats]
+    """Date in the first layout that the text fits, else ``default`` (NULL when not given).
+
+    Parts are put in ISO order and cast once; a cast that fails gives NULL at no
+    cost, where a parser would raise an exception for every unreadable row.
+    """
+    text, iso = _col(value).cast("string"), None
+    for layout in formats:
+        fits, ordered = _as_iso(text, layout)
+        iso = F.when(fits, ordered) if iso is None else iso.when(fits, ordered)
     last = default if isinstance(default, Column) else F.lit(default)
-    return F.coalesce(*tries, last.cast("date"))
+    return F.coalesce(iso.try_cast("date"), last.cast("date"))
 
 
 def completed_age(birth: Column | str, as_of: Column | date) -> Column:

@@ -11,6 +11,8 @@ from __future__ import annotations
 from collections.abc import Mapping
 from dataclasses import dataclass, field
 from datetime import date
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -66,9 +68,7 @@ def build(rule: Rule) -> Column:
 
 
 def accept(df: DataFrame, tests: tuple) -> DataFrame:
-    for kind, *arguments in tests:
-        df = df.where(TESTS[kind](*arguments))
-    return df
+    return df.where(reduce(and_, [TESTS[kind](*arguments) for kind, *arguments in tests]))
 
 
 def standardize(df: DataFrame, columns: Mapping[str, Rule]) -> DataFrame:

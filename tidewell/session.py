@@ -11,11 +11,14 @@ from pyspark.sql import functions as F
 # Runtime SQL settings the plans in this package rely on. AQE splits skewed join
 # partitions; "force" keeps the split even where the join feeds a grouping on
 # the same key, which is the usual shape here (join, then collapse).
+# Wide projections (a feed has up to 60 columns) can make one generated method too
+# long for the JVM to compile; above this many bytes Spark generates smaller ones.
 SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    "spark.sql.codegen.hugeMethodLimit": "8000",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.session.timeZone": "UTC",
 }
