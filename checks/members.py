@@ -416,7 +416,8 @@ def _(t):
                from {DETAIL.format(day='1998-01-01')} x join band on band.k = member left join ver on ver.k = member where r = 1),
          j as (select o.member as om, n.member as nm, o.address as oa, n.address as na, o.plan as op, n.plan as np,
                       o.phone as oph, n.phone as nph, coalesce(o.b, n.b) as b,
-                      o.address is not distinct from n.address and o.plan = n.plan and o.phone = n.phone as same
+                      o.address is not distinct from n.address and o.plan = n.plan
+                          and (o.phone = n.phone or {BAD_PHONE.format('n.phone')}) as same
                from o full join n on o.member = n.member),
          v as (select om as m, oa as a, op as p, oph as ph, timestamp '2013-01-01' as s,
                       case when nm is not null and not same then timestamp '1998-07-01' end as e, b, 1 as run from j where om is not null

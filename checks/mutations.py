@@ -133,7 +133,8 @@ BAD_PHONE = "(left({0}, 3) in ('999','111','222','333','444','555','666','777','
          n as (select * from {DETAIL.format(day='1998-01-01')} where r = 1),
          j as (select o.member as om, n.member as nm, o.address as oa, n.address as na, o.plan as op, n.plan as np,
                       o.phone as oph, n.phone as nph,
-                      o.address is not distinct from n.address and o.plan = n.plan and o.phone = n.phone as same
+                      o.address is not distinct from n.address and o.plan = n.plan
+                          and (o.phone = n.phone or {BAD_PHONE.format('n.phone')}) as same
                from o full join n on o.member = n.member),
          open_and_closed as (
             select om as member, oa as address, op as plan, oph as phone, timestamp '2013-01-01' as start_date,

@@ -31,11 +31,12 @@ def scd2_merge(dim: DataFrame, staged: DataFrame, key: str, cols: Sequence[str],
     * everything else is left alone, so a rerun changes nothing.
 
     Several staged rows of a key collapse to one first, which keeps at most one
-    open row per key. ``repair`` names a phone column: in a new version an
-    invalid number is replaced by that of the row just closed. ``extra`` gives
-    bookkeeping columns for opened rows; ``defaults`` gives values that count as
-    equal to NULL when versions are compared. ``as_written`` gives new keys a closed
-    first row and an open second one.
+    open row per key. ``repair`` names a phone column: an invalid number is
+    replaced by that of the open row, so it opens no version of its own and a
+    feed that repeats it changes nothing. ``extra`` gives bookkeeping columns for
+    opened rows; ``defaults`` gives values that count as equal to NULL when versions
+    are compared. ``as_written`` gives new keys a closed first row and an open second
+    one, and compares invalid numbers as they are.
 
     Closed rows are not shuffled except for their keys; open rows, staged rows
     and those keys share one partitioning.
@@ -61,10 +62,12 @@ def scd2_merge(dim: DataFrame, staged: DataFrame, key: str, cols: Sequence[str],
 
     def compared(side: str, name: str) -> Column:
         value = F.col(side)[name]
+        if side == "__new" and name == repair and not as_written:
+            value = F.when(valid_phone(value), value).otherwise(F.col("__old")[name])
         return F.coalesce(value, F.lit(defaults[name])) if name in defaults else value
 
     same = reduce(and_, [compared("__old", c).eqNullSafe(compared("__new", c)) for c in cols])
-    has_old, has_new = F.col("__old_key").isNotNull(), F.col("__new_key").isNotNull()
+    has_old, has_new = F.col("__old").isNotNull(), F.col("__new").isNotNull()
     changed = has_old & has_new & ~same
     unseen = ~has_old & has_new & F.col("__seen").isNull()
     reopened = changed | (~has_old & has_new & F.col("__seen").isNotNull())
