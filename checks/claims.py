@@ -34,10 +34,10 @@ def _(t):
     lines = t.lineitem.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice",
                               "l_quantity", "l_shipdate", "l_returnflag")
     known = t.orders.where("o_orderstatus = 'F'")
-    fresh = matching.only_new(lines, known, [("l_orderkey", "o_orderkey")])
-    newest = picking.dedup_latest(fresh, ["l_orderkey"], ["l_shipdate", "l_linenumber"],
+    newest = picking.dedup_latest(lines, ["l_orderkey"], ["l_shipdate", "l_linenumber"],
                                   ["l_partkey", "l_suppkey", "l_extendedprice"])
-    flagged = flag_matched(newest, t.lineitem.where("l_returnflag = 'R'"), ["l_orderkey"], {"claimexccd": F.lit(333)})
+    fresh = matching.only_new(newest, known, [("l_orderkey", "o_orderkey")])
+    flagged = flag_matched(fresh, t.lineitem.where("l_returnflag = 'R'"), ["l_orderkey"], {"claimexccd": F.lit(333)})
     return flagged.groupBy(text.pad_code("l_partkey").alias("product_service_id")).agg(
         F.count(F.lit(1)).alias("n_claims"), F.count("claimexccd").alias("n_reversed"),
         F.sum(C("l_quantity").cast("bigint")).alias("days_supply"))

@@ -301,7 +301,7 @@ def _(t):
                 order by l_partkey, l_shipdate) as r from lineitem)""")
 def _(t):
     rows = t.lineitem.select(*LINE)
-    return picking.mark_first(rows, ["l_orderkey", "l_linenumber"], [F.col("l_partkey"), F.col("l_shipdate")])
+    return picking.mark_first(rows, ["l_orderkey", "l_linenumber"], ["l_partkey", "l_shipdate"])
 
 
 @query("cleared_errors", """

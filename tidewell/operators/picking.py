@@ -8,16 +8,18 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidewell.functions.text import _col
-from tidewell.operators.matching import match_side
+from tidewell.operators.matching import match_side, other
 
-SALTS = 64
+CHUNK = 100_000  # copies of one row that a task writes out at a time
 
 
 def top1_per_key(df: DataFrame, keys: Sequence[str | Column], order: Sequence[Column]) -> DataFrame:
     """First row of each key in the given order.
 
     Spark turns ``row_number() = 1`` into a group limit that runs before the
-    shuffle, so every task sends at most one row per key, also for a hot key.
+    shuffle, so every task sends at most one row per key, also for a hot key. That
+    needs a shuffle between the input and the window: for rows that were just
+    joined on the same keys use ``dedup_latest``, which has no such condition.
     ``order`` should be total, or the winner among equals is open.
     """
     window = Window.partitionBy(*keys).orderBy(*order)
@@ -25,10 +27,18 @@ def top1_per_key(df: DataFrame, keys: Sequence[str | Column], order: Sequence[Co
 
 
 def dedup_latest(df: DataFrame, keys: Sequence[str], latest_by: Sequence[str], tie_break: Sequence[str] = ()) -> DataFrame:
-    """Newest version per key; a missing date sorts first, as newest."""
-    order = [F.col(c).desc_nulls_first() for c in latest_by]
-    order += [F.col(c).desc_nulls_last() for c in tie_break]
-    return top1_per_key(df, keys, order)
+    """Newest version per key; a missing date counts as newest, a missing tie-breaker as oldest.
+
+    An aggregate: rows of a hot key shrink to one per task before any shuffle,
+    and input that a join has left sorted by key is not sorted again.
+    """
+    rank = [part for c in latest_by for part in (F.col(c).isNull(), F.col(c))]
+    rank += [F.col(c) for c in tie_break]
+    names = {f"r{i}": c for i, c in enumerate(rank)}
+    payload = [F.col(f"`{c}`") for c in df.columns if c not in keys]
+    newest = df.groupBy(*keys).agg(
+        F.max_by(F.struct(*payload), F.struct(*[c.alias(n) for n, c in names.items()])).alias("__row"))
+    return newest.select(*[F.col(f"`{c}`") if c in keys else F.col("__row")[c].alias(c) for c in df.columns])
 
 
 def extreme_per_key(df: DataFrame, keys: Sequence[str], col: str, fn: str = "max", alias: str | None = None) -> DataFrame:
@@ -47,27 +57,41 @@ def latest_with_ties(df: DataFrame, keys: Sequence[str], col: str | Column, fn:
     return df.join(side, condition, "left_semi")
 
 
-def mark_first(df: DataFrame, keys: Sequence[str], order: Sequence[Column], salts: int = SALTS) -> DataFrame:
+def mark_first(df: DataFrame, keys: Sequence[str], order: Sequence[str] = (), chunk: int = CHUNK) -> DataFrame:
     """Add ``is_first``: true on exactly one row of each key, the least by ``order``.
 
-    Rows are numbered in two rounds, first within (key, salt) and then among the
-    winners of each salt, so a key with very many rows is split over ``salts``
-    tasks. ``order`` must put all columns that differ in order, so that equal rows
-    are interchangeable.
+    Equal rows are counted instead of numbered, so any number of copies of a row,
+    or of rows of a key, shrinks before the shuffle. The copies are written out
+    again at the end, in chunks spread over tasks. Nothing depends on the order
+    in which rows arrive, so a repeated task gives the same rows.
     """
     cols = df.columns
-    salted = df.withColumn("__salt", F.floor(F.rand(7) * salts).cast("int"))
-    local = Window.partitionBy(*keys, "__salt").orderBy(*order)
-    ranked = salted.withColumn("__local", F.row_number().over(local))
-    winners = ranked.where("__local = 1")
-    losers = ranked.where("__local > 1").select(*cols, F.lit(False).alias("is_first"))
-    final = Window.partitionBy(*keys).orderBy(*order)
-    decided = winners.withColumn("__final", F.row_number().over(final))
-    return decided.select(*cols, (F.col("__final") == 1).alias("is_first")).unionByName(losers)
+    ranked = [*order, *[c for c in cols if c not in order and c not in keys]]
+    copies = df.groupBy(*cols).agg(F.count(F.lit(1)).alias("__copies"))
+    least = copies.groupBy(*keys).agg(F.min(F.struct(*ranked)).alias("__least"))
+
+    def marked(rows: DataFrame) -> DataFrame:
+        side, condition = match_side(least, list(keys), null_safe=True, carry=["__least"])
+        joined = rows.join(side, condition, "left")
+        leads = F.struct(*ranked).eqNullSafe(other("__least"))
+        more = F.col("__copies") - F.when(leads, 1).otherwise(0)
+        pieces = F.array(F.when(leads, F.struct(F.lit(True).alias("is_first"), F.lit(1).cast("bigint").alias("__n"))),
+                         F.when(more > 0, F.struct(F.lit(False).alias("is_first"), more.alias("__n"))))
+        return joined.select(*cols, F.inline(F.array_compact(pieces)))
+
+    def written_out(rows: DataFrame, count: Column) -> DataFrame:
+        return rows.select(*cols, "is_first", F.explode(F.sequence(F.lit(1), count)).alias("__i")).drop("__i")
+
+    few = written_out(marked(copies.where(F.col("__copies") <= chunk)), F.col("__n"))
+    many = marked(copies.where(F.col("__copies") > chunk))
+    last = F.floor((F.col("__n") - 1) / chunk)
+    many = many.withColumn("__chunk", F.explode(F.sequence(F.lit(0).cast("bigint"), last)))
+    many = many.repartition(*cols, "__chunk")
+    size = F.least(F.lit(chunk).cast("bigint"), F.col("__n") - F.col("__chunk") * chunk)
+    return few.unionByName(written_out(many, size))
 
 
 def split_occurrence(df: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, DataFrame]:
     """(first record of each key, all further records)."""
-    order = [F.col(c).asc_nulls_first() for c in df.columns]
-    marked = mark_first(df, keys, order)
+    marked = mark_first(df, keys, df.columns)
     return marked.where("is_first").drop("is_first"), marked.where("not is_first").drop("is_first")

@@ -25,6 +25,9 @@ INSULIN_LABEL = "Diabetes-InsulinExclusion"
 # Columns that collapse to their greatest value in adherence staging.
 COLLAPSED = ("prescriber_id", "pharmacy_id", "drug description", "drug_strength", "unit_of_measure")
 
+DRUG_COLUMNS = ("ndc", "measureuse", "Drug Name", "Drug Description", "strength", "strength_unit_of_measure",
+                "dosage_form", "gpi")
+
 
 def active_contracts(contracts: DataFrame, measures: Sequence[str], p: RunParams) -> DataFrame:
     rows = contracts.where((F.col("pmd_client_id") == p.client_id) & (F.col("contract_year") == p.run_year))
@@ -67,10 +70,12 @@ def _measured(claims: DataFrame, drugs: DataFrame, members: DataFrame, contracts
     """Claims of the client with a listed drug, a member and an active contract.
 
     The year and client filters reach the claim scan. Contracts only restrict, so
-    they are a semi join; drugs are broadcast when their size allows.
+    they are a semi join; drugs are broadcast when their size allows. Every staging
+    removes duplicate rows at the end, so copies in the lists go first.
     """
-    mine = claims.where((F.col("pmd_client_id") == p.client_id))
-    people = members.where(F.col("pmd_client_id") == p.client_id).select("patient_id", "patient_unique_ident")
+    mine = claims.where(F.col("pmd_client_id") == p.client_id)
+    people = members.where(F.col("pmd_client_id") == p.client_id).select("patient_id", "patient_unique_ident").distinct()
+    drugs = drugs.select(*[F.col(f"`{c}`") for c in DRUG_COLUMNS]).distinct()
     signed = active_contracts(contracts, measures, p)
     rows = having_match(mine, signed, [("accountid2", "planidentifier_pclm")])
     rows = rows.join(broadcast_if_bounded(drugs), F.col("product_service_id") == F.col("ndc"))

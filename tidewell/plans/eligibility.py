@@ -31,10 +31,12 @@ def eligibility_periods(raw: DataFrame, members: DataFrame, feed: MembershipFeed
         dates.date_or(feed.end, date(p.run_year, 12, 31)).alias("ends"),
         build(feed.plan).alias("planidentifier_pclm"),
         build(feed.benefit).alias("pbp_pclm"))
+    # Merged once per file member, before the join, and once per member of the master.
+    keys = ["planidentifier_pclm", "pbp_pclm", "raw_start", "starts"]
+    rows = rows.groupBy("member", *keys).agg(F.max("ends").alias("ends"))
     mine = members.where(F.col("pmd_client_id") == feed.client_id).select("patient_id", "patient_unique_ident")
     rows = rows.join(mine, F.col("member") == F.col("patient_id"))
-    keys = ["patient_unique_ident", "planidentifier_pclm", "pbp_pclm", "raw_start", "starts"]
-    rows = rows.groupBy(*keys).agg(F.max("ends").alias("ends"))
+    rows = rows.groupBy("patient_unique_ident", *keys).agg(F.max("ends").alias("ends"))
     start, end = dates.clamp_period("starts", "ends", p.run_year)
     return rows.select(
         F.lit(feed.client_id).alias("pmd_client_id"), "patient_unique_ident", "planidentifier_pclm", "pbp_pclm",

@@ -75,7 +75,9 @@ def campaign_list(detail: DataFrame, measures: DataFrame, dtps: DataFrame, visib
     open_dtps = dtps.where(F.col("dtp_year") == year).join(broadcast_if_bounded(shown), "dtp_visibility_id")
     keyed = measures.select(F.col("id").alias("measure_id"), F.lower("key").alias("measure_key"))
     open_dtps = open_dtps.join(broadcast_if_bounded(keyed), "measure_id")
-    open_dtps = open_dtps.select(F.col("pmd_patient_id").alias("open_patient"), F.col("measure_key").alias("open_key"))
+    # Several opportunities of a member and measure weigh in the sum; count them, do not pair them.
+    open_dtps = open_dtps.groupBy(F.col("pmd_patient_id").alias("open_patient"), F.col("measure_key").alias("open_key")).agg(
+        F.count(F.lit(1)).alias("n_open"))
 
     rows = detail.withColumn("__key", F.lower("measureuse"))
     rows = rows.join(open_dtps, (F.col("pmd_patient_id") == F.col("open_patient")) & (F.col("__key") == F.col("open_key")))
@@ -91,7 +93,7 @@ def campaign_list(detail: DataFrame, measures: DataFrame, dtps: DataFrame, visib
     return rows.groupBy(*CAMPAIGN_KEYS).agg(
         F.max("measureadh_status").alias("measureadh_status"),
         F.min("stockinhand").alias("stockinhand"),
-        F.sum("adh_calllist_order").alias("adh_calllist_order"),
+        F.sum(F.col("adh_calllist_order") * F.col("n_open")).alias("adh_calllist_order"),
         F.countDistinct("measureuse").alias("measure_count"),
         F.min("dtp_touched_count").alias("dtp_touched_count"),
         F.min("time_priority").alias("time_priority"),
@@ -164,7 +166,7 @@ def contacts(t: OutreachTables) -> DataFrame:
     """
     live = t.dtp_details.where(F.col("deleted_at").isNull())
     calls = _call_columns(t.calls)
-    links = t.call_dtps.select("call_id", "dtp_id")
+    links = t.call_dtps.select("call_id", "dtp_id").distinct()
     noted = live.select(F.col("id").alias("dtpdetail_id"), "call_id", "dtp_id", "category_id", "sub_category_id",
                         F.col("note").alias("freetextnotes"))
     with_detail = _with_categories(_with_call_names(calls.join(links, "call_id").join(noted, ["call_id", "dtp_id"]), t), t)
