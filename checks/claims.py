@@ -381,7 +381,7 @@ def raw_medical(t):
                      null as operated from old
               union all
               select l_orderkey, l_linenumber, plan5, l_suppkey, l_shipdate, cast(l_suppkey as varchar),
-                     case when l_linestatus = 'O' then cast(l_shipdate as date) else date '1900-01-01' end,
+                     case when l_linestatus = 'O' then cast(cast(l_shipdate as date) as timestamp) else timestamp '1900-01-01' end,
                      left('D' || l_partkey || '0000000', 7), date '1900-01-01' from fresh),
     newest as (select l_orderkey, l_linenumber, plan5, l_suppkey, row_number() over
                   (partition by l_orderkey, l_linenumber, plan5 order by cast(l_shipdate as date) desc, l_suppkey desc) as r

@@ -69,6 +69,13 @@ def test_one_row_of_each_key_is_first(spark):
     assert sorted(got_good + got_bad, key=str) == sorted(data, key=str)
 
 
+def test_copies_are_written_out_in_chunks(table, values):
+    rows = table("k int, v string", *[(1, "a")] * 25, *[(1, "b")] * 7, (2, "c"), (None, "n"), (None, "n"))
+    got = values(picking.mark_first(rows, ["k"], ["v"], chunk=4), "k", "v", "is_first")
+    want = [(1, "a", True), *[(1, "a", False)] * 24, *[(1, "b", False)] * 7, (2, "c", True), (None, "n", True), (None, "n", False)]
+    assert sorted(got, key=str) == sorted(want, key=str)
+
+
 def test_as_of_period_agrees_with_a_loop(spark):
     random.seed(11)
     base = date(2020, 1, 1)

@@ -42,6 +42,7 @@ RULES = {
     "date": lambda s: amounts.typed(_source(s), "date"),
     "timestamp": lambda s: amounts.typed(_source(s), "timestamp_ntz"),
     "date_or": lambda s, default=None: dates.date_or(_source(s), default),
+    "midnight_or": lambda s, default=None: dates.date_or(_source(s), default).cast("timestamp_ntz"),
     "money": lambda s: amounts.money(_source(s)),
     "packed_money": lambda s: amounts.packed_money(_source(s)),
     "packed_quantity": lambda s: amounts.packed_quantity(_source(s)),
@@ -350,7 +351,7 @@ MEDICAL_FEEDS = {
             "place_of_service": ("text", "place of service", 2),
             "claim_status": ("short", "claim status"),
             "claim_submit_date": ("date", "claim submit date"),
-            "admission_date": ("date_or", "admission date", _NO_DATE),
+            "admission_date": ("midnight_or", "admission date", _NO_DATE),
             "admission_type": ("short", "admission type"),
             "discharge_date": ("date_or", "discharge date", _NO_DATE),
             "discharge_status": ("text", "discharge status", 2),

@@ -7,14 +7,22 @@ from pyspark.sql import functions as F
 
 
 def discover_files(spark: SparkSession, root: str, pattern: str = "*") -> DataFrame:
-    """Files below ``root`` whose name fits the pattern; contents are not read."""
+    """Files below ``root`` whose name fits the pattern; contents are not read.
+
+    A scan passes over files without content, so the names come from the file
+    index that Spark keeps for the scan, and sizes and times are joined to them.
+    """
     listing = (spark.read.format("binaryFile").option("recursiveFileLookup", "true")
                .option("pathGlobFilter", pattern).load(root))
-    return listing.select(
+    names = spark.createDataFrame([(name,) for name in listing.inputFiles()], "path string")
+    sizes = listing.select(plain_path(F.col("path")).alias("path"), "length", "modificationTime")
+    files = names.select(plain_path(F.col("path")).alias("path")).join(sizes, "path", "left")
+    parts = F.split("path", "/")
+    return files.select(
         "path",
-        F.element_at(F.split("path", "/"), -1).alias("file_name"),
-        F.element_at(F.split("path", "/"), -2).alias("folder"),
-        F.col("length").alias("file_size"),
+        F.element_at(parts, -1).alias("file_name"),
+        F.element_at(parts, -2).alias("folder"),
+        F.coalesce("length", F.lit(0)).alias("file_size"),
         "modificationTime",
     )
 
@@ -45,17 +53,14 @@ def file_stats(spark: SparkSession, root: str, pattern: str = "*") -> DataFrame:
     lines = (spark.read.format("text").option("lineSep", "\n").option("recursiveFileLookup", "true")
              .option("pathGlobFilter", pattern).load(root))
     counts = count_records(lines)
-    # Both sides spell a path in the same percent-encoded form only after decoding.
-    files = files.withColumn("__path", plain_path(F.col("path")))
-    counts = counts.select(plain_path(F.col("path")).alias("__path"), "record_count")
-    joined = files.join(counts, "__path", "left")
-    return joined.select(
+    counts = counts.select(plain_path(F.col("path")).alias("path"), "record_count")
+    return files.join(counts, "path", "left").select(
         "path", "folder", "file_name", "file_size",
         F.coalesce("record_count", F.lit(0)).alias("record_count"), "modificationTime")
 
 
 def plain_path(path: Column) -> Column:
-    """Path without scheme slashes and percent signs, for comparing two spellings."""
+    """Decoded path, since a scan and the file index spell the same path differently."""
     decoded = F.coalesce(F.try_url_decode(F.replace(path, F.lit("+"), F.lit("%2B"))), path)
     return F.regexp_replace(decoded, "^file:/+", "/")
 
