@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tidewell.functions import dates
 from tidewell.operators.changes import assign, flag_matched, with_marker
 from tidewell.operators.matching import only_new
-from tidewell.operators.totals import max_or
+from tidewell.operators.totals import max_or, scalar
 from tidewell.params import RunParams
 from tidewell.sources.tables import append, archive, overwrite
 
@@ -74,7 +74,8 @@ def run_open(ledger: DataFrame, p: RunParams) -> DataFrame:
         F.lit(p.run_id).cast("bigint").alias("run_id"), F.lit(p.client_id).alias("pmd_client_id"),
         dates.moment(p.as_of).alias("run_datetime"),
         F.lit(INCOMPLETE).alias("stars_patients"), F.lit(INCOMPLETE).alias("stars_patients_detail"))
-    return ledger.unionByName(only_new(row, ledger, ["run_id"]), allowMissingColumns=True)
+    known = scalar(ledger.where(F.col("run_id") == p.run_id), F.count(F.lit(1)))
+    return ledger.unionByName(row.where(known == 0), allowMissingColumns=True)
 
 
 def run_close(ledger: DataFrame, p: RunParams, status_col: str, counts: dict[str, Column]) -> DataFrame:
