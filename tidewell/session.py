@@ -31,7 +31,9 @@ BROADCAST_LIMIT = 32 * 1024 * 1024
 def build_session(app: str = "tidewell", cores: int | str = "*", **extra: str) -> SparkSession:
     """Local session for tests and the benchmark; a cluster brings its own."""
     builder = SparkSession.builder.master(f"local[{cores}]").appName(app)
-    settings = {"spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false", **SETTINGS, **extra}
+    settings = {"spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false",
+                # Recording the Python line of every column costs more than building the plan.
+                "spark.python.sql.dataFrameDebugging.enabled": "false", **SETTINGS, **extra}
     for key, value in settings.items():
         builder = builder.config(key, value)
     return tune(builder.getOrCreate())
