@@ -5,6 +5,7 @@ import os
 import pytest
 
 import __spark_entry__ as entry
+from checks import registry
 from checks.compare import connect, differences
 
 FOLDER = "/root/testdata/sf0.001"
@@ -16,7 +17,7 @@ def oracle():
     return connect(FOLDER)
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(registry.QUERIES))
 def test_query(spark, oracle, name):
     df = entry.queries()[name](spark, FOLDER)
     plan = df._jdf.queryExecution().executedPlan().toString()
