@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from tidewell.llm.common import fresh, read_table, shared_folder, staged
 
-BUCKETS = 64  # files of the index per append; raise it with the number of distinct texts
+BUCKETS = 32  # files of the index per append; raise it with the number of distinct texts
 
 
 def digest(text: str | Column) -> Column:
@@ -55,9 +55,10 @@ class DigestIndex:
 
     def append(self, groups: DataFrame) -> None:
         """Add (digest, keep_id) rows that the index lacks."""
-        new = staged(self.unseen(groups).select("digest", "keep_id"), "unseen")
-        # The same hash that gives the bucket deals the rows out: a task writes one file.
-        new.repartition(self.buckets, "digest").write.insertInto(self.table)
+        # Dealt out by the number of the bucket, so that each bucket is written by one task.
+        bucket = F.pmod(F.hash("digest"), F.lit(self.buckets))
+        new = self.unseen(groups).select("digest", "keep_id").withColumn("bucket", bucket)
+        new.repartition(self.buckets, "bucket").drop("bucket").write.insertInto(self.table)
 
 
 def one_per_digest(digests: DataFrame) -> DataFrame:
