@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import sys
+import types
 import uuid
 from collections.abc import Callable, Iterator
 
@@ -59,6 +61,11 @@ def map_batches(df: DataFrame, fn: Callable[[Iterator[dict]], Iterator[dict]], s
     return df.mapInArrow(run, out)
 
 
+def extended(schema: T.StructType, ddl: str) -> T.StructType:
+    """``schema`` with further columns."""
+    return T.StructType([*schema.fields, *T.StructType.fromDDL(ddl).fields])
+
+
 def as_arrow(values, kind: pa.DataType) -> pa.Array:
     if isinstance(values, pa.ChunkedArray):
         values = values.combine_chunks()
@@ -82,6 +89,14 @@ def texts_of(column: pa.Array) -> list[str]:
     return [t or "" for t in column.to_pylist()]
 
 
+def worker_state(name: str, make: Callable):
+    """What ``make`` returns, made once per Python worker and kept between its tasks."""
+    kept = sys.modules.setdefault("worker_state_of_llm", types.ModuleType("worker_state_of_llm"))
+    if not hasattr(kept, name):
+        setattr(kept, name, make())
+    return getattr(kept, name)
+
+
 def bucket_of(doc_id: str | Column) -> Column:
     """crc32 of the id as text, modulo 5: rows at 0 are held out of any fit."""
     return F.crc32(F.col(doc_id).cast("string") if isinstance(doc_id, str) else doc_id.cast("string")) % 5

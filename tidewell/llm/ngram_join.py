@@ -395,7 +395,7 @@ WITH RECURSIVE words AS (
 sets AS (
   SELECT doc_id, CASE WHEN len(w) = 0 THEN []
                       WHEN len(w) < {WORDS} THEN [array_to_string(w, ' ')]
-                      ELSE list_distinct(list_transform(range(1, len(w) - {WORDS} + 2), i -> array_to_string(w[i:i + {WORDS} - 1], ' ')))
+                      ELSE list_distinct(list_transform(range(1, len(w) - {WORDS} + 2), lambda i: array_to_string(w[i:i + {WORDS} - 1], ' ')))
                  END AS s
   FROM words),
 tokens AS (SELECT doc_id, len(s) AS n, unnest(s) AS token FROM sets),

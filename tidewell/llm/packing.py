@@ -26,7 +26,7 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tidewell.llm.common import map_batches, read_table, staged, texts_of, worker_state
+from tidewell.llm.common import extended, map_batches, read_table, staged, texts_of, worker_state
 
 LIMIT = 4096
 END = 1  # id behind each document
@@ -223,8 +223,7 @@ def pack(staged_pieces: DataFrame, limit: int = LIMIT) -> DataFrame:
             sequence, offset = places.value.find(batch["length"].to_numpy(), batch["rank"].to_numpy())
             yield batch | {"sequence_id": sequence, "offset": offset}
 
-    out = type(columns)([*columns.fields]).add("sequence_id", "bigint").add("offset", "bigint")
-    return map_batches(numbered.select(*columns.names, "rank"), run, out)
+    return map_batches(numbered.select(*columns.names, "rank"), run, extended(columns, "sequence_id bigint, offset bigint"))
 
 
 def pack_documents(docs: DataFrame, path: str | None = None) -> DataFrame:

@@ -6,12 +6,17 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidewell.llm import exact_dedup
+from tidewell.llm import byte_bpe, exact_dedup, ngram_join, packing, quality_rules
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op3_quality_rules": quality_rules.op3_quality_rules,
+    "op4_packing": packing.op4_packing,
     "op5_exact_dedup": exact_dedup.op5_exact_dedup,
+    "op8_byte_bpe": byte_bpe.op8_byte_bpe,
+    "op9_ngram_join": ngram_join.op9_ngram_join,
 }
 
 ORACLES: dict[str, str] = {
     "op5_exact_dedup": exact_dedup.SQL.strip(),
+    "op9_ngram_join": ngram_join.SQL.strip(),
 }
