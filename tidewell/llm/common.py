@@ -9,6 +9,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -89,6 +90,12 @@ def texts_of(column: pa.Array) -> list[str]:
     return [t or "" for t in column.to_pylist()]
 
 
+def share(spark: SparkSession, value) -> Callable:
+    """Broadcast ``value``; tasks call what is returned to get it. Its class travels with it."""
+    sent = spark.sparkContext.broadcast(cloudpickle.dumps(value))
+    return lambda: cloudpickle.loads(sent.value)
+
+
 def worker_state(name: str, make: Callable):
     """What ``make`` returns, made once per Python worker and kept between its tasks."""
     kept = sys.modules.setdefault("worker_state_of_llm", types.ModuleType("worker_state_of_llm"))

@@ -26,7 +26,7 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tidewell.llm.common import extended, map_batches, read_table, staged, texts_of, worker_state
+from tidewell.llm.common import extended, map_batches, read_table, share, staged, texts_of, worker_state
 
 LIMIT = 4096
 END = 1  # id behind each document
@@ -206,7 +206,7 @@ def pack(staged_pieces: DataFrame, limit: int = LIMIT) -> DataFrame:
     counts = {r["length"]: r["n"] for r in staged_pieces.groupBy("length").agg(F.count("*").alias("n")).collect()}  # limit rows at most
     histogram = np.zeros(limit + 1, np.int64)
     histogram[list(counts)] = list(counts.values())
-    places = staged_pieces.sparkSession.sparkContext.broadcast(Places(plan_patterns(histogram, limit)))
+    shared = share(staged_pieces.sparkSession, Places(plan_patterns(histogram, limit)))
 
     # A piece's number among those of its length: those in earlier blocks of files, and those before it in its block.
     row = F.col("_metadata.row_index")
@@ -219,8 +219,9 @@ def pack(staged_pieces: DataFrame, limit: int = LIMIT) -> DataFrame:
     columns = staged_pieces.schema
 
     def run(batches):
+        places = shared()
         for batch in batches:
-            sequence, offset = places.value.find(batch["length"].to_numpy(), batch["rank"].to_numpy())
+            sequence, offset = places.find(batch["length"].to_numpy(), batch["rank"].to_numpy())
             yield batch | {"sequence_id": sequence, "offset": offset}
 
     return map_batches(numbered.select(*columns.names, "rank"), run, extended(columns, "sequence_id bigint, offset bigint"))
