@@ -17,6 +17,7 @@ other columns are not looked at.
 from __future__ import annotations
 
 import os
+import unicodedata
 import zlib
 from array import array
 from collections import Counter
@@ -26,12 +27,14 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from tidewell.llm.byte_bpe import byte_characters
 from tidewell.llm.common import extended, map_batches, read_table, share, staged, texts_of, worker_state
 
 LIMIT = 4096
 END = 1  # id behind each document
 VOCABULARY = "word_bpe_49k.json"
-KNOWN_WORDS = 200_000  # words whose ids a worker keeps; when full it starts again
+KNOWN_WORDS = 600_000  # words whose ids a worker keeps; when full it starts again
+LONGEST_KNOWN = 48  # bytes of a word that is kept
 PARTNERS = 12  # triples enumerated for each length
 STEPS = 200  # of the least-squares fit
 BLOCK = 1 << 16  # rows of a file that are numbered together
@@ -42,30 +45,75 @@ def vocabulary_path(name: str = VOCABULARY) -> str:
     return public_tokenizers.path(name)
 
 
-class WordIds:
-    """Ids of texts under a tokenizer whose tokens never span ASCII white space.
+class WordIds(dict):
+    """Ids of words, as bytes, under a tokenizer that drops white space and lower-cases.
 
-    Each distinct word between white space is encoded once and its ids are kept.
+    Its tokens never span ASCII white space, nor a letter and a mark behind it, and its first
+    step, Unicode's normal form, changes no ASCII text. So each distinct word is encoded once, without the
+    marks that end a sentence and, if it has letters alone, in lower case and as the model itself spells it.
     """
 
     def __init__(self, path: str):
+        super().__init__()
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks are the parallelism
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
-        self.known: dict[bytes, bytes] = {}
+        self.model = self.tokenizer.model
+        self.parts: dict[bytes, bytes] = {}
+        self.spelling = byte_characters()
+
+    def __missing__(self, word: bytes) -> bytes:
+        core = word.rstrip(b".,;:!?")
+        if core and len(core) < len(word) and ends_in_letter(core):
+            ids = self.part(core) + self.part(word[len(core):])
+        else:
+            ids = self.part(word)
+        if len(word) <= LONGEST_KNOWN:
+            if len(self) >= KNOWN_WORDS:
+                self.clear()
+            self[word] = ids
+        return ids
+
+    def part(self, part: bytes) -> bytes:
+        word = None  # in lower case, where that is sure to be what the tokenizer makes of it
+        if part.isascii():
+            part = part.lower()
+            if part.isalpha():
+                word = part.decode()
+        elif plain_letters(text := part.decode()):
+            part = text.lower().encode()
+            word = "".join([self.spelling[b] for b in part])
+        ids = self.parts.get(part)
+        if ids is None:
+            if word:
+                ids = array("I", [t.id for t in self.model.tokenize(word)]).tobytes()
+            else:
+                ids = array("I", self.tokenizer.encode(part.decode(), add_special_tokens=False).ids).tobytes()
+            if len(part) <= LONGEST_KNOWN:
+                if len(self.parts) >= KNOWN_WORDS:
+                    self.parts.clear()
+                self.parts[part] = ids
+        return ids
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit numbers."""
-        split = [t.encode().split() for t in texts]
-        words = set().union(*split)
-        new = list(words - self.known.keys())
-        if len(self.known) + len(new) > KNOWN_WORDS:
-            self.known.clear()
-            new = list(words)
-        for word, found in zip(new, self.tokenizer.encode_batch_fast([w.decode() for w in new], add_special_tokens=False)):
-            self.known[word] = array("I", found.ids).tobytes()
-        return [b"".join(map(self.known.__getitem__, s)) for s in split]
+        return [b"".join(map(self.__getitem__, t.encode().split())) for t in texts]
+
+
+def plain_letters(word: str) -> bool:
+    """Whether a word has letters of the older, stable part of Unicode alone, each with one lower-case letter
+    that doesn't depend on its neighbours, and is in normal form."""
+    return (word.isalpha() and max(word) < "\u0530" and unicodedata.is_normalized("NFC", word)
+            and "\u0130" not in word and "\u03a3" not in word)
+
+
+def ends_in_letter(word: bytes) -> bool:
+    """Whether the last character is a letter of the older, stable part of Unicode."""
+    if word[-1] < 128:
+        return word[-1:].isalpha()
+    last = word.decode()[-1]
+    return last.isalpha() and last < "\u0530" and len(last.lower()) == 1
 
 
 def pieces(docs: DataFrame, path: str | None = None, with_ids: bool = False) -> DataFrame:
