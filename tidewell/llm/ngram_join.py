@@ -5,7 +5,7 @@ link. Tokens are 64-bit hashes of shingles and a set is known by the 64-bit hash
 tokens, so documents with equal sets are one vertex from the start.
 
 1. Sets without partners go first. Linked sets x, y share at least 75% of the larger one. A fixed
-   part of the hash space (``SKETCH``) is sent, token by token, to wherever equal tokens meet;
+   part of the hash space (``SKETCH``) is sent, token by token, to where equal tokens meet;
    a set stays only if enough of its tokens there occur in a second set.
 2. For the sets that stay, tokens are counted exactly and ordered, rare ones first. The first
    |x| - ceil(0.75 |x|) + 1 tokens of x (its prefix) hold one of any linked partner's prefix. Where the
@@ -33,7 +33,7 @@ import string
 
 import numpy as np
 import xxhash
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidewell.llm.common import fresh, lists_of, map_batches, read_table, staged, texts_of
@@ -81,7 +81,8 @@ def allowed_misses(n):
 
 
 # Rows of the first exchange: what a row says is packed with its kind into ``val``.
-TOKEN, COUNTED_TOKEN, SET, DOCUMENT = 0, 1, 2, 3
+TOKEN, COUNTED_TOKEN, SET, DOCUMENT, NAMELESS = 0, 1, 2, 3, 4
+KIND_BITS, HITS_BITS = 3, 28
 LIMIT = np.uint64(int(SKETCH * 2 ** 32))
 
 
@@ -104,8 +105,10 @@ def sketch_rows(docs: DataFrame) -> DataFrame:
                     sets.setdefault(sid, tokens)
                 of_row.append(sid)
                 n_row.append(len(tokens))
-            n_row = np.array(n_row, np.int64)
-            yield {"key": ids, "sid": of_row, "val": n_row * 4 + DOCUMENT}
+            n_row = np.array(n_row, np.int64) << KIND_BITS
+            named = ids.is_valid().to_numpy(zero_copy_only=False)
+            spread = mixed((np.arange(len(n_row)) + n_row).astype(np.uint64)).view(np.int64)
+            yield {"key": np.where(named, ids.fill_null(0).to_numpy(), spread), "sid": of_row, "val": n_row + np.where(named, DOCUMENT, NAMELESS)}
             if not sets:
                 continue
             sids = np.fromiter(sets, np.int64, len(sets))
@@ -121,8 +124,7 @@ def sketch_rows(docs: DataFrame) -> DataFrame:
             several = np.bincount(group)[group] > 1 if len(tokens) else first
             hits = np.bincount(owner[several], minlength=len(sids))
             needed = np.bincount(owner, minlength=len(sids)) - allowed_misses(sizes)
-            # What a set still needs goes with it; hits are taken off here and, later, elsewhere.
-            yield {"key": sids, "sid": sids, "val": ((np.maximum(needed, 0) << 28) + hits) * 4 + SET}
+            yield {"key": sids, "sid": sids, "val": (((np.maximum(needed, 0) << HITS_BITS) + hits) << KIND_BITS) + SET}
             yield {"key": tokens[first], "sid": sids[owner[first]],
                    "val": np.where(several[first], COUNTED_TOKEN, TOKEN)}
 
@@ -130,58 +132,17 @@ def sketch_rows(docs: DataFrame) -> DataFrame:
 
 
 def meet(rows: DataFrame) -> DataFrame:
-    """(kind, id, sid, n, needed, hits): documents with n; sets with needed and hits, to be added up.
+    """(kind, id, sid, val): documents, sets, and one row for each further token that a set shares.
 
-    Equal tokens stand together in a partition, in order; only the last token of a batch
-    is carried on, as one row and a flag.
+    Equal tokens come together in order; the least and greatest set of a token tell whether
+    there are several. Tokens without a second set, most of them, end here.
     """
-
-    def run(batches):
-        held_key, held_sid, held_counted, is_shared = None, None, False, False
-        for batch in batches:
-            val = batch["val"].to_numpy()
-            kind = val & 3
-            documents = np.flatnonzero(kind == DOCUMENT)
-            zeros = np.zeros(len(documents), np.int64)
-            if len(documents):
-                yield {"kind": zeros + DOCUMENT, "id": batch["key"].take(documents), "sid": batch["sid"].take(documents),
-                       "n": val[documents] >> 2, "needed": zeros, "hits": zeros}
-            at = np.flatnonzero(kind == SET)
-            if len(at):
-                packed = val[at] >> 2
-                sid = batch["sid"].take(at)
-                yield {"kind": np.full(len(at), SET), "id": sid, "sid": sid, "n": np.zeros(len(at), np.int64),
-                       "needed": packed >> 28, "hits": packed & ((1 << 28) - 1)}
-            at = np.flatnonzero(kind <= COUNTED_TOKEN)
-            if not len(at):
-                continue
-            key, sid = batch["key"].take(at).to_numpy(), batch["sid"].take(at).to_numpy()
-            counted = kind[at] == COUNTED_TOKEN
-            if held_key is not None:
-                key, sid, counted = np.r_[held_key, key], np.r_[held_sid, sid], np.r_[held_counted, counted]
-            # One row per token and set.
-            new = np.r_[True, (key[1:] != key[:-1]) | (sid[1:] != sid[:-1])]
-            starts = np.flatnonzero(new)
-            counted = np.logical_or.reduceat(counted, starts)
-            key, sid = key[starts], sid[starts]
-            first = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
-            n = np.diff(np.r_[first, len(key)])
-            shared = n > 1
-            if is_shared and key[0] == held_key:
-                shared[0] = True
-            in_shared = np.repeat(shared, n)
-            give = in_shared & ~counted
-            last_shared = bool(shared[-1])
-            held_key, held_sid, is_shared = key[-1], sid[-1], last_shared
-            # Of a token seen in two sets nothing waits; the row carried on has been given.
-            held_counted = bool(counted[-1]) or last_shared
-            owners, hits = np.unique(sid[give], return_counts=True)
-            if len(owners):
-                zeros = np.zeros(len(owners), np.int64)
-                yield {"kind": zeros + SET, "id": owners, "sid": owners, "n": zeros, "needed": zeros, "hits": hits}
-
-    together = rows.repartition("key").sortWithinPartitions("key", "sid")
-    return map_batches(together, run, "kind int, id bigint, sid bigint, n bigint, needed bigint, hits bigint")
+    kind = F.col("val").bitwiseAND(F.lit((1 << KIND_BITS) - 1))
+    # Documents stand by themselves wherever they fall.
+    same = Window.partitionBy("key")
+    seen = rows.withColumn("kind", kind).withColumn("least", F.min("sid").over(same)).withColumn("greatest", F.max("sid").over(same))
+    told = (F.col("kind") >= SET) | (F.col("kind") == TOKEN) & (F.col("least") < F.col("greatest"))
+    return seen.where(told).select("kind", "key", "sid", F.shiftright("val", KIND_BITS).alias("val"))
 
 
 PARITY = ("p0", "p1", "p2", "p3")  # 256 bits: bit h is set if an odd number of tokens hash to h
@@ -356,9 +317,12 @@ def linked_sets(sets: DataFrame) -> DataFrame:
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """One row per row of ``docs``: doc_id, n_shingles, component_id (its least doc_id)."""
     profile = staged(meet(sketch_rows(docs)), "profile")
-    rows = profile.where(F.col("kind") == DOCUMENT).select(F.col("id").alias("doc_id"), "sid", F.col("n").alias("n_shingles"))
-    alive = profile.where(F.col("kind") == SET).groupBy("sid").agg(
-        F.sum("hits").alias("hits"), F.max("needed").alias("needed")).where("hits >= needed").select("sid")
+    rows = profile.where(F.col("kind") >= DOCUMENT).select(
+        F.when(F.col("kind") == DOCUMENT, F.col("key")).alias("doc_id"), "sid", F.col("val").alias("n_shingles"))
+    is_set = F.col("kind") == SET
+    hits = F.when(is_set, F.col("val").bitwiseAND(F.lit((1 << HITS_BITS) - 1))).otherwise(1)
+    alive = profile.where(F.col("kind") <= SET).groupBy("sid").agg(
+        F.sum(hits).alias("hits"), F.max(F.when(is_set, F.shiftright("val", HITS_BITS))).alias("needed")).where("hits >= needed").select("sid")
     # One document per set that stays: its text gives the set.
     named = rows.where("doc_id is not null and sid is not null").join(alive, "sid", "left_semi")
     chosen = named.groupBy("sid").agg(F.min("doc_id").alias("doc_id")).select("doc_id").distinct()
