@@ -200,11 +200,11 @@ def _(t):
 def _(t):
     feed = PHARMACY_FEEDS[69]
     number = F.concat(as_text("l_orderkey"), as_text("l_linenumber"))
-    raw = lines(t).where("o_orderstatus <> 'F' or l_returnflag = 'R'").select(
+    raw = lines(t).select(
         as_text("o_custkey").alias("memberid"), F.lit("1950-02-03").alias("memberdob"),
         F.to_date("l_shipdate").cast("string").alias("datefilled"), text.pad_code("l_partkey").alias("ndc"),
         F.lit("drug").alias("productdesc"), as_text("l_quantity").alias("metricqty"),
-        as_text("l_linenumber").alias("dayssupply"), as_text("l_suppkey").alias("prescriber_npi_nbr"),
+        F.concat(as_text("l_linenumber"), F.lit(".6")).alias("dayssupply"), as_text("l_suppkey").alias("prescriber_npi_nbr"),
         as_text("l_suppkey").alias("pharmcacy_npi_nbr"), F.concat(F.lit(" "), number, F.lit("  ")).alias("authnumber"),
         F.concat(F.lit("G"), as_text("o_custkey"), F.lit("-plan")).alias("groupnumber"),
         as_text("l_orderkey").alias("rxnumber"),
@@ -289,7 +289,7 @@ def _(t):
 SHIFT = 6500  # days; moves the service dates around the change-over of the rules
 
 
-@query("load_claims_67", f"""
+LOAD_67 = f"""
     with {LINES}, {DRUGS},
     raw as (select *, cast(l_orderkey as varchar) || cast(l_linenumber as varchar) as txn,
                    cast(cast(l_shipdate as date) + {SHIFT} as timestamp) as served from li),
@@ -298,24 +298,26 @@ SHIFT = 6500  # days; moves the service dates around the change-over of the rule
               from raw left join dr on ndc11 = right('00000000000' || l_partkey, 11)
               where l_returnflag <> 'R' and o_orderstatus <> 'F'
                 and not exists (select 1 from old where old.txn = raw.txn and year(old.served) = year(raw.served))),
-    state as (select txn, served, l_partkey, null as medstaken from old
-              union all select txn, served, l_partkey, medstaken from fresh),
+    state as (select txn, served, l_partkey, null as medstaken, null as supply from old
+              union all select txn, served, l_partkey, medstaken, l_linenumber::int + 1 from fresh),
     rev as (select txn, cast(l_orderkey as varchar) || '1' as original from raw where l_returnflag = 'R')
     select txn as transaction_id, served as date_of_service, right('00000000000' || l_partkey, 11) as product_service_id,
-           medstaken as compositionname,
+           medstaken as compositionname, supply as days_supply,
            case when year(served) = 2016 and served <= timestamp '2016-09-01' and txn in (select original from rev) then 333
                 when year(served) = 2016 and served > timestamp '2016-09-01' and txn in (select txn from rev) then 333
            end as claimexccd
-    from state""")
-def _(t):
-    feed = PHARMACY_FEEDS[67]
+    from state"""
+
+
+def feed_67(t):
+    """(raw rows, stored claims): known orders are in the feed again."""
     number = F.concat(as_text("l_orderkey"), as_text("l_linenumber"))
     served = F.date_add(F.to_date("l_shipdate"), SHIFT)
-    raw = lines(t).where("o_orderstatus <> 'F' or l_returnflag = 'R'").select(
+    raw = lines(t).select(
         number.alias("transaction_id"), F.concat(as_text("l_orderkey"), F.lit("1")).alias("reversed_claim_id"),
         as_text("o_custkey").alias("patient_id"), served.cast("string").alias("date_of_service"),
         text.pad_code("l_partkey").alias("ndc_code"), F.lit("drug").alias("productnameshort"),
-        as_text("l_quantity").alias("quantity_dispensed"), as_text("l_linenumber").alias("days_supply"),
+        as_text("l_quantity").alias("quantity_dispensed"), F.concat(as_text("l_linenumber"), F.lit(".6")).alias("days_supply"),
         as_text("l_suppkey").alias("prescriber_npi"), as_text("l_suppkey").alias("pharmacy_npi"),
         F.lit("PLAN7").alias("plan_code"), as_text("l_orderkey").alias("prescription_num"),
         F.when(C("l_returnflag") == "R", "Reversal").otherwise(" Paid").alias("transaction_status"))
@@ -324,8 +326,48 @@ def _(t):
         as_text("o_custkey").alias("patient_id"), served.cast("timestamp_ntz").alias("date_of_service"),
         text.pad_code("l_partkey").alias("product_service_id"), F.year(served).alias("runyear"),
         F.lit(None).cast("int").alias("claimexccd"))
-    state = claims.load_claims(raw, drugs(t), existing, feed, params(67, 2016))
-    return state.select("transaction_id", "date_of_service", "product_service_id", "compositionname", "claimexccd")
+    return raw, existing
+
+
+COLUMNS_67 = ("transaction_id", "date_of_service", "product_service_id", "compositionname", "days_supply", "claimexccd")
+
+
+@query("load_claims_67", LOAD_67)
+def _(t):
+    raw, existing = feed_67(t)
+    return claims.load_claims(raw, drugs(t), existing, PHARMACY_FEEDS[67], params(67, 2016)).select(*COLUMNS_67)
+
+
+def with_unreadable(raw):
+    """The feed with rows that have no readable day, or no transaction, among the others."""
+    paid = raw.where("transaction_status = ' Paid' and transaction_id like '%1'")
+    return raw.unionByName(paid.withColumn("date_of_service", F.lit("unknown"))).unionByName(
+        paid.withColumn("transaction_id", F.lit(None).cast("string")))
+
+
+@query("load_claims_67_twice", LOAD_67)
+def _(t):
+    from tidewell.session import shared_folder
+    from tidewell.sources import tables
+    raw, existing = feed_67(t)
+    path = shared_folder(t.spark)
+    raw, p = with_unreadable(raw), params(67, 2016)
+    for run_id in (1, 2):  # the second load adds nothing
+        state = existing if run_id == 1 else tables.load_state(t.spark, path)
+        tables.save_state(claims.load_claims(raw, drugs(t), state, PHARMACY_FEEDS[67], p), path, run_id,
+                          ["pmd_client_id", "runyear"])
+    return tables.load_state(t.spark, path).select(*COLUMNS_67)
+
+
+@query("rejected_rows", f"""
+    with {LINES},
+    paid as (select cast(l_orderkey as varchar) || cast(l_linenumber as varchar) as txn from li
+             where l_returnflag <> 'R' and l_linenumber % 10 = 1)
+    select txn as transaction_id, 'unreadable service date' as reject_reason, 'date_of_service' as dirty from paid
+    union all select null, 'no transaction id', '' from paid""")
+def _(t):
+    rows = claims.rejected_rows(with_unreadable(feed_67(t)[0]), PHARMACY_FEEDS[67])
+    return rows.select("transaction_id", "reject_reason", F.array_join("dirty_columns", ",").alias("dirty"))
 
 
 @query("claims_two_rule_reversal", """
@@ -370,7 +412,7 @@ def raw_medical(t):
     return rows.select(*[c.alias(n) for n, c in {**made, **blank}.items()])
 
 
-@query("load_medical_62", f"""
+LOAD_MEDICAL = f"""
     with {LINES},
     raw as (select *, 'H' || o_orderpriority as plan, left('H' || o_orderpriority, 5) as plan5 from li),
     old as (select * from raw where o_orderstatus = 'F' and l_linestatus = 'O'),
@@ -391,17 +433,38 @@ def raw_medical(t):
            cast(l_shipdate as date) as claim_submit_date, facility as facility_npi, admitted as admission_date,
            dx as dx_code_principal, operated as procedure_date, year(l_shipdate)::int as runyear
     from state s left join newest n on n.l_orderkey = s.l_orderkey and n.l_linenumber = s.l_linenumber
-         and n.plan5 = s.plan5 and r = 1""")
-def _(t):
-    feed = MEDICAL_FEEDS[62]
-    existing = lines(t, "o_orderpriority").where("o_orderstatus = 'F' and l_linestatus = 'O'").select(
+         and n.plan5 = s.plan5 and r = 1"""
+
+
+def medical_state(t):
+    return lines(t, "o_orderpriority").where("o_orderstatus = 'F' and l_linestatus = 'O'").select(
         F.lit(62).alias("pmd_client_id"), F.left(F.concat(F.lit("H"), C("o_orderpriority")), F.lit(5)).alias("plan_code"),
         as_text("l_orderkey").alias("claim_id"), C("l_linenumber").cast("bigint").alias("claim_line_num"),
         F.lit(0).cast("smallint").alias("claim_status"), F.to_date("l_shipdate").alias("claim_submit_date"),
         F.year("l_shipdate").alias("runyear"))
-    state = claims.load_medical(raw_medical(t), existing, feed, params(62))
-    return state.select("claim_id", "claim_line_num", "plan_code", "claim_status", "claim_submit_date", "facility_npi",
-                        "admission_date", "dx_code_principal", "procedure_date", "runyear")
+
+
+COLUMNS_MEDICAL = ("claim_id", "claim_line_num", "plan_code", "claim_status", "claim_submit_date", "facility_npi",
+                   "admission_date", "dx_code_principal", "procedure_date", "runyear")
+
+
+@query("load_medical_62", LOAD_MEDICAL)
+def _(t):
+    return claims.load_medical(raw_medical(t), medical_state(t), MEDICAL_FEEDS[62], params(62)).select(*COLUMNS_MEDICAL)
+
+
+@query("load_medical_62_twice", f"""
+    with {LINES},
+    raw as (select *, left('H' || o_orderpriority, 5) as plan5 from li where year(l_shipdate) = 1998)
+    select distinct cast(l_orderkey as varchar) as claim_id, l_linenumber as claim_line_num, plan5 as plan_code,
+           cast(l_shipdate as date) as claim_submit_date from raw""")
+def _(t):
+    raw = raw_medical(t).where("runyear = 1998")
+    raw = raw.unionByName(raw.withColumn("claim line number", F.lit("first")))
+    state = medical_state(t).where("false")
+    for _ in range(2):  # the second load adds nothing, and unreadable lines are not loaded
+        state = claims.load_medical(raw, state, MEDICAL_FEEDS[62], params(62))
+    return state.select("claim_id", "claim_line_num", "plan_code", "claim_submit_date")
 
 
 @query("new_load_errors", """

@@ -17,11 +17,10 @@ LINE = ["l_orderkey", "l_linenumber", "l_partkey", "l_shipdate"]
          join nation on c_nationkey = n_nationkey join part on l_partkey = p_partkey
     group by all""")
 def _(t):
-    from tidewell.session import broadcast_if_bounded as small
     rows = t.lineitem.join(t.orders, F.col("l_orderkey") == F.col("o_orderkey"))
-    rows = rows.join(small(t.part), F.col("l_partkey") == F.col("p_partkey"))
+    rows = rows.join(t.part, F.col("l_partkey") == F.col("p_partkey"))
     rows = rows.join(t.customer, F.col("o_custkey") == F.col("c_custkey"))
-    rows = rows.join(small(t.nation), F.col("c_nationkey") == F.col("n_nationkey"))
+    rows = rows.join(t.nation, F.col("c_nationkey") == F.col("n_nationkey"))
     return rows.groupBy("n_name", "p_type").agg(
         F.count(F.lit(1)).alias("n_claims"), F.sum(F.col("l_quantity").cast("bigint")).alias("days"))
 

@@ -56,20 +56,27 @@ CLAMPED = """
            least(e, date '1998-12-31') as eligibilityenddate, 1998 as runyear from g"""
 
 
-def member_file(t, **names):
-    """Orders as lines of a member file, with unreadable dates among them."""
+# Codes that differ in the middle only: they share what is left of them in the target.
+FULL_CODE = "o_orderstatus || '-' || left(o_orderpriority, 3) || (o_orderkey % 3) || o_orderpriority"
+
+
+def member_file(t, stamps=False, **names):
+    """Orders as lines of a member file, with unreadable dates among them, or (``stamps``) with timestamps."""
     start, end = F.to_date("o_orderdate"), F.date_add(F.to_date("o_orderdate"), F.floor(C("o_totalprice") / 500).cast("int"))
     columns = {
         "member": C("o_custkey").cast("string"),
-        "start": F.when(C("o_orderpriority") == "5-LOW", "unknown").otherwise(start.cast("string")),
-        "end": F.when(C("o_orderpriority") == "1-URGENT", "open").otherwise(end.cast("string")),
+        "start": F.when(C("o_orderpriority") == "5-LOW", None if stamps else "unknown").otherwise(
+            start.cast("timestamp_ntz" if stamps else "string")),
+        "end": F.when(C("o_orderpriority") == "1-URGENT", None if stamps else "open").otherwise(
+            end.cast("timestamp_ntz" if stamps else "string")),
         "account": F.when(C("o_orderstatus") == "P", "").otherwise(C("o_orderpriority")),
-        "plan": F.concat(C("o_orderstatus"), F.lit("-"), C("o_orderpriority"))}
+        "plan": F.expr(FULL_CODE)}
     return t.orders.select(*[columns[kind].alias(name) for kind, name in names.items()], F.lit(1998).alias("runyear"))
 
 
-FILE = """
+FILE = f"""
     raw as (select o_custkey as ident, o_orderstatus, o_orderpriority, o_orderstatus || '-' || o_orderpriority as plancode,
+                   {FULL_CODE} as fullcode,
                    case when o_orderpriority = '5-LOW' then date '1900-01-01' else cast(o_orderdate as date) end as s,
                    case when o_orderpriority = '1-URGENT' then date '1998-12-31'
                         else cast(o_orderdate as date) + cast(floor(o_totalprice / 500) as int) end as e
@@ -81,13 +88,13 @@ FILE = """
     g as (select ident, 'H0251' as plan, o_orderpriority as pbp, s, max(e) as e from raw where o_orderstatus <> 'P' group by all)
     {CLAMPED.format(client=52)}""")
 def _(t):
-    raw = member_file(t, member="unique_patient_id", start="mbr_plan_eff_dt", end="dsenrl_dt", account="account_code")
+    raw = member_file(t, stamps=True, member="unique_patient_id", start="mbr_plan_eff_dt", end="dsenrl_dt", account="account_code")
     return eligibility.eligibility_periods(raw, customers(t, 52), MEMBERSHIP_FEEDS[52], run(52))
 
 
 @query("eligibility_periods_62", f"""
     with {FILE},
-    g as (select ident, left(plancode, 5) as plan, right(plancode, 3) as pbp, s, max(e) as e from raw group by all)
+    g as (select ident, left(fullcode, 5) as plan, right(fullcode, 3) as pbp, s, max(e) as e from raw group by ident, fullcode, s)
     {CLAMPED.format(client=62)}""")
 def _(t):
     raw = member_file(t, member="patientid", start="patient_effdate", end="prgm_term_date", plan="plan_code")
@@ -96,8 +103,8 @@ def _(t):
 
 @query("eligibility_periods_69", f"""
     with {FILE},
-    g as (select ident, left(plancode, 5) as plan, o_orderpriority as pbp, s, max(e) as e from raw
-          where o_orderstatus <> 'P' group by all)
+    g as (select ident, left(fullcode, 5) as plan, o_orderpriority as pbp, s, max(e) as e from raw
+          where o_orderstatus <> 'P' group by ident, fullcode, o_orderpriority, s)
     {CLAMPED.format(client=69)}""")
 def _(t):
     raw = member_file(t, member="patient_id", start="patient_effective_date", end="patient_term_date",

@@ -147,14 +147,19 @@ BAD_PHONE = "(left({0}, 3) in ('999','111','222','333','444','555','666','777','
     select * from open_and_closed
     union all
     select member, address, plan, phone, timestamp '2012-01-01', timestamp '2013-01-01'
-    from {DETAIL.format(day='1996-01-01')} where r = 1 and member in (select om from j)""")
+    from {DETAIL.format(day='1996-01-01')} where r = 1 and member in (select om from j)
+    union all
+    select om, oa, op, oph, timestamp '2012-06-01', timestamp '2014-06-30' from j where om % 7 = 0""")
 def _(t):
     no_end = F.lit(None).cast("timestamp_ntz")
     first = F.lit("2013-01-01").cast("timestamp_ntz")
     current = detail(t, "1997-01-01").withColumns({"start_date": first, "end_date": no_end})
     closed = detail(t, "1996-01-01").withColumns({"start_date": F.lit("2012-01-01").cast("timestamp_ntz"), "end_date": first})
-    return history.scd2_merge(current.unionByName(closed), detail(t, "1998-01-01"), "member",
-                              ["address", "plan", "phone"], datetime(2014, 6, 30), repair="phone")
+    older = current.where("member % 7 = 0").withColumn("start_date", F.lit("2012-06-01").cast("timestamp_ntz"))
+    newest = detail(t, "1998-01-01").withColumn("seen", F.lit(2))
+    staged = newest.unionByName(newest.where("member % 5 = 0").withColumns({"plan": F.lit("9-STALE"), "seen": F.lit(1)}))
+    return history.scd2_merge(current.unionByName(closed).unionByName(older), staged, "member",
+                              ["address", "plan", "phone"], datetime(2014, 6, 30), repair="phone", order=["seen"])
 
 
 @query("guardian_upsert", """
@@ -243,10 +248,12 @@ def _(t):
 
 @query("run_ledger", """
     select o_orderkey as run_id, o_custkey::int as pmd_client_id, o_orderdate as run_datetime, 'Success' as stars_patients,
-           'Not Complete' as stars_patients_detail, cast(null as bigint) as patients_imported
+           'Not Complete' as stars_patients_detail, cast(null as bigint) as patients_imported,
+           cast(null as timestamp) as stars_patients_complete_datetime
     from orders where o_orderstatus = 'F'
     union all
-    select -1, 1, timestamp '1998-06-30 12:00:00', 'Success', 'Not Complete', (select count(*) from customer)""")
+    select -1, 1, timestamp '1998-06-30 12:00:00', 'Success', 'Not Complete', (select count(*) from customer),
+           timestamp '1998-06-30 12:00:00'""")
 def _(t):
     p = RunParams(client_id=1, run_year=1998, as_of=datetime(1998, 6, 30, 12), run_id=-1)
     ledger = t.orders.where("o_orderstatus = 'F'").select(

@@ -223,7 +223,7 @@ def _(t):
     select l_orderkey, l_linenumber,
            case when l_returnflag = 'R' then null else l_linenumber end as typed_value,
            l_returnflag = 'R' as is_dirty, l_extendedprice as amount,
-           cast(round(l_quantity) as int) as rounded
+           cast(round(l_quantity + 0.6) as int) as rounded
     from lineitem""")
 def _(t):
     raw = F.when(F.col("l_returnflag") == "R", F.lit("12.7x")).otherwise(F.col("l_linenumber").cast("string"))
@@ -231,7 +231,7 @@ def _(t):
     return t.lineitem.select(
         "l_orderkey", "l_linenumber", amounts.typed(raw, "int").alias("typed_value"),
         amounts.dirty(raw, "int").alias("is_dirty"), amounts.money(money).cast("double").alias("amount"),
-        amounts.rounded("l_quantity").cast("int").alias("rounded"))
+        amounts.rounded(F.col("l_quantity") + 0.6).cast("int").alias("rounded"))
 
 
 @query("blank_sentinel", """

@@ -49,7 +49,7 @@ def _(t):
 
 
 @query("state_by_run", """
-    select o_custkey, count(*) filter (o_orderstatus = 'F') as n from orders group by 1""")
+    select o_custkey, count(*) filter (o_orderstatus = 'F') as n, bool_or(o_orderstatus = 'F') as any_done from orders group by 1""")
 def _(t):
     path = shared_folder(t.spark)
     counts = t.orders.groupBy("o_custkey").agg(F.count(F.lit(1)).alias("n"))
@@ -57,7 +57,7 @@ def _(t):
     final = t.orders.where("o_orderstatus = 'F'").groupBy("o_custkey").agg(F.count(F.lit(1)).alias("done"))
     current = tables.load_state(t.spark, path)
     tables.save_state(current.join(final, "o_custkey", "left").select(
-        "o_custkey", F.coalesce("done", F.lit(0)).cast("bigint").alias("n")), path, 2)
+        "o_custkey", F.coalesce("done", F.lit(0)).cast("bigint").alias("n"), C("done").isNotNull().alias("any_done")), path, 2)
     return tables.load_state(t.spark, path)
 
 
@@ -66,7 +66,7 @@ def _(t):
     union all select 'current', count(*) from orders where o_totalprice < 0""")
 def _(t):
     root = shared_folder(t.spark)
-    tables.append(t.orders.where("o_orderstatus = 'F'"), f"{root}/history")
+    tables.write_run(t.orders.where("o_orderstatus = 'F'"), f"{root}/history", 1)
     tables.save_state(t.orders.where("o_orderstatus <> 'F'"), f"{root}/current", 1)
     tables.roll_to_history(tables.load_state(t.spark, f"{root}/current"), f"{root}/history", f"{root}/current", 2)
     history, current = t.spark.read.parquet(f"{root}/history"), tables.load_state(t.spark, f"{root}/current")
@@ -78,14 +78,18 @@ def _(t):
     select 'claims' as place, date '2001-09-01' as stamped, count(*) as n from lineitem
     union all select 'claims_current', date '2001-09-01', count(*) from lineitem
     union all select 'eligibility', null, count(*) from orders
+    union all select 'eligibility_current', null, count(*) from orders
     union all select 'single', null, count(*) from (select distinct o_custkey from orders)
+    union all select 'multiple', null, count(*) from customer
+    union all select 'insulin', null, count(*) from supplier
     union all select 'covered', date '2001-09-01', count(*) from customer""")
 def _(t):
     root = shared_folder(t.spark)
     staged = t.lineitem.select("l_orderkey", C("l_shipdate").alias("date_of_service"), F.lit(1).alias("pmd_client_id"),
                                F.year("l_shipdate").alias("runyear"))
-    archive_evaluation(root, P, staged, t.orders.select("o_orderkey"), t.orders.select("o_custkey"),
-                       t.customer.select("c_custkey"), t.customer.select("c_custkey"))
+    for _ in range(2):  # a repeated run replaces its rows
+        archive_evaluation(root, P, staged, t.orders.select("o_orderkey"), t.orders.select("o_custkey"),
+                           t.customer.select("c_custkey"), t.customer.select("c_custkey"), t.supplier.select("s_suppkey"))
 
     def counted(name, place, stamp=None):
         stamped = C(stamp) if stamp else F.lit(None).cast("date")
@@ -93,7 +97,8 @@ def _(t):
             F.count(F.lit(1)).alias("n"))
     parts = [counted("adherence_claims", "claims", "evaluation_date"),
              counted("adherence_claims_current", "claims_current", "evaluation_date"), counted("eligibility", "eligibility"),
-             counted("single_drug_review", "single"), counted("days_covered", "covered", "archive_date")]
+             counted("eligibility_current", "eligibility_current"), counted("multiple_drug_review", "multiple"),
+             counted("insulin_claims", "insulin"), counted("single_drug_review", "single"), counted("days_covered", "covered", "archive_date")]
     out = parts[0]
     for part in parts[1:]:
         out = out.unionByName(part)
@@ -138,13 +143,15 @@ def _(t):
 
 
 def arrival(t):
+    """Watched folders of two levels, and folders of the same last names below another parent."""
     root = shared_folder(t.spark)
-    write_feed(t, root)
+    write_feed(t, f"{root}/in")
+    write_feed(t, f"{root}/unwatched")
     statuses = t.orders.select("o_orderstatus").distinct()
     config = statuses.select(
         F.ascii("o_orderstatus").alias("pmd_client_id"), F.lit("claims").alias("filetype"), F.lit("part-*.c?v").alias("filename"),
         F.lit("none").alias("filelocation"), F.lit("none").alias("filelocationdev"),
-        F.concat(F.lit("client="), "o_orderstatus").alias("filelocationqa"), F.lit(True).alias("active"),
+        F.concat(F.lit("in/client="), "o_orderstatus").alias("filelocationqa"), F.lit(True).alias("active"),
         F.lit(True).alias("trigger_eval_engine"), F.lit(None).cast("timestamp_ntz").alias("lastdatereceived"),
         F.lit(0).alias("unprocessed_filecount"))
     control = t.orders.select(
@@ -171,7 +178,7 @@ def _(t):
 
 
 @query("arrival_history", """
-    select distinct ascii(o_orderstatus)::int as pmd_client_id, 'client=' || o_orderstatus as filelocation,
+    select distinct ascii(o_orderstatus)::int as pmd_client_id, 'in/client=' || o_orderstatus as filelocation,
            timestamp '2001-09-01 08:00:00' as lastdatereceived from orders where o_orderstatus <> 'P'""")
 def _(t):
     return arrival(t).history.select("pmd_client_id", "filelocation", "lastdatereceived")

@@ -42,10 +42,14 @@ def test_concat_skips_null_and_hash_collides_without_separator(spark):
 
 
 def test_date_or(spark):
-    raw = ["2020-02-29", "2020-13-01", "", None, "2020", "02/28/2021", "20210301", "2021-02-30", "1/2/2020"]
+    raw = ["2020-02-29", "2020-13-01", "", None, "2020", "02/28/2021", "20210301", "2021-02-30", "1/2/2020",
+           "2021-03-04 00:00:00", "2021-3-4T10:20:30.5Z", "03/04/2021 1:05 PM", "2021-03-04x", "20210304 99"]
     got = column(spark, raw, "string", dates.date_or("v", date(1900, 1, 1)))
     blank = date(1900, 1, 1)
-    assert got == [date(2020, 2, 29), blank, blank, blank, blank, date(2021, 2, 28), date(2021, 3, 1), blank, blank]
+    assert got == [date(2020, 2, 29), blank, blank, blank, blank, date(2021, 2, 28), date(2021, 3, 1), blank, date(2020, 1, 2),
+                   date(2021, 3, 4), date(2021, 3, 4), date(2021, 3, 4), blank, blank]
+    stamped = column(spark, [datetime(2021, 3, 4, 5), None], "timestamp_ntz", dates.date_or("v", date(1900, 1, 1)))
+    assert stamped == [date(2021, 3, 4), blank]
     assert column(spark, ["bad", None], "string", dates.date_or("v")) == [None, None]
 
 

@@ -7,7 +7,7 @@ import pytest
 
 from tidewell.params import RunParams
 from tidewell.plans.arrivals import file_arrival
-from tidewell.session import BROADCAST_LIMIT, broadcast_if_bounded, estimated_bytes, shared_folder
+from tidewell.session import shared_folder
 from tidewell.sources import files, tables
 from tidewell.streaming.arrivals import stream_file_facts
 
@@ -65,7 +65,7 @@ def test_stream_counts_each_file_once(spark, feed, tmp_path):
         return {r.file_name: r.record_count for r in spark.read.parquet(target).collect()}
 
     first = run()
-    assert first == {n: expected(d) for n, d in contents.items() if n.endswith(".txt") and d}
+    assert first == {n: expected(d) for n, d in contents.items() if n.endswith(".txt")}
     with open(os.path.join(root, "client one", "late.txt"), "wb") as late:
         late.write(b"h\n1\n2\n")
     assert run() == {**first, "late.txt": 2}
@@ -116,12 +116,5 @@ def test_arrival_queues_each_client_by_its_own_files(spark, feed, table, values)
     assert "<td>client one</td>" in out.report.collect()[0][0]
 
 
-def test_broadcast_needs_a_proven_size(spark):
-    small, large = spark.range(10), spark.range(BROADCAST_LIMIT)
-    assert estimated_bytes(small) < BROADCAST_LIMIT < estimated_bytes(large)
-    assert broadcast_if_bounded(large) is large
-    assert broadcast_if_bounded(small) is not small
-
-
 def test_shared_folder_is_new_each_time(spark):
     assert shared_folder(spark) != shared_folder(spark)

@@ -19,8 +19,12 @@ def moment(value: datetime | date) -> Column:
     return F.lit(value.isoformat(sep=" ")).cast("timestamp_ntz")
 
 
+def first_day(year: int) -> date:
+    return date(year, 1, 1)
+
+
 def year_start(year: int) -> Column:
-    return F.lit(date(year, 1, 1))
+    return F.lit(first_day(year))
 
 
 def year_end(year: int) -> Column:
@@ -56,9 +60,13 @@ def days_between(later: Column | str, earlier: Column | str) -> Column:
     return F.datediff(_col(later), _col(earlier))
 
 
+# What may stand behind a date: nothing, or a time of day with or without a zone.
+TIME_OF_DAY = r"^$|^[ T]\d{1,2}:\d{2}(:\d{2}(\.\d+)?)?( ?(Z|UTC|[AaPp][Mm]|[+-]\d{1,2}:?\d{0,2}))?$"
+
+
 def _as_iso(text: Column, layout: str) -> tuple[Column, Column]:
-    """Does the text have the layout's separators, and its parts in ISO order."""
-    fits = F.length(text) == len(layout)
+    """Does the text have the layout's separators and nothing but a time behind, and its parts in ISO order."""
+    fits = F.rlike(F.substring(text, len(layout) + 1, 64), F.lit(TIME_OF_DAY)) & (F.length(text) >= len(layout))
     for place, sign in enumerate(layout):
         if not sign.isalpha():
             fits = fits & (F.substring(text, place + 1, 1) == sign)
@@ -69,10 +77,13 @@ def _as_iso(text: Column, layout: str) -> tuple[Column, Column]:
 def date_or(value: Column | str, default=None, formats=DATE_FORMATS) -> Column:
     """Date in the first layout that the text fits, else ``default`` (NULL when not given).
 
-    Parts are put in ISO order and cast once; a cast that fails gives NULL at no
-    cost, where a parser would raise an exception for every unreadable row.
+    Dates and timestamps are taken as they are; in a text a time of day may follow,
+    and a month or day of one digit counts as padded. Parts are put in ISO order and
+    cast once; a cast that fails gives NULL at no cost, where a parser would raise an
+    exception for every unreadable row.
     """
-    text, iso = _col(value).cast("string"), None
+    text, iso = F.trim(_col(value).cast("string")), None
+    text = F.regexp_replace(text, r"(?<=^|[/-])(\d)(?=[/-]|$|[ T])", "0$1")
     for layout in formats:
         fits, ordered = _as_iso(text, layout)
         iso = F.when(fits, ordered) if iso is None else iso.when(fits, ordered)

@@ -52,38 +52,48 @@ def delete_matched(df: DataFrame, second: DataFrame, keys: Sequence[Key], residu
 
 
 def update_from(df: DataFrame, source: DataFrame, keys: Sequence[Key], cols: Mapping[str, str],
-                scope: Column | None = None, reset: bool = False, order: Sequence[str] = ()) -> DataFrame:
+                scope: Column | None = None, reset: bool = False, order: Sequence[str] = (),
+                unique: bool = False, also: Mapping | None = None) -> DataFrame:
     """Copy ``cols`` (target name to source name) from the matching source row.
 
-    The source is first cut to one row per key, the greatest by ``order``. A
-    matched NULL is copied. With ``reset`` rows in scope without a match become
-    NULL. One left join, one pass.
+    The source is first cut to one row per key, the greatest by ``order``, unless
+    ``unique`` says that it has no more. A matched NULL is copied. With ``reset`` rows
+    in scope without a match become NULL. ``also`` gives further values for the rows
+    that are set, such as the time of the update. One left join, one pass.
     """
     right_keys = [k[1] if isinstance(k, tuple) else k for k in keys]
     wanted = list(dict.fromkeys(cols.values()))
-    slim = one_per_key(source, right_keys, wanted, order=order).withColumn("__matched", F.lit(True))
+    slim = source.select(*dict.fromkeys([*right_keys, *wanted])) if unique else one_per_key(source, right_keys, wanted, order=order)
+    slim = slim.withColumn("__matched", F.lit(True))
     side, condition = match_side(slim, keys, carry=[*wanted, "__matched"])
     joined = df.join(side, condition, "left")
     hit = F.lit(True) if reset else other("__matched").isNotNull()
     if scope is not None:
         hit = hit & F.coalesce(scope, F.lit(False))
-    out = [F.col(f"`{c}`") for c in df.columns if c not in cols]
+    also = also or {}
+    out = [F.col(f"`{c}`") for c in df.columns if c not in cols and c not in also]
     new = [F.when(hit, other(src)).otherwise(_old(df, name)).alias(name) for name, src in cols.items()]
+    new += [F.when(hit, value).otherwise(_old(df, name)).alias(name) for name, value in also.items()]
     final = joined.select(*out, *new)
-    names = list(dict.fromkeys([*df.columns, *cols]))
+    names = list(dict.fromkeys([*df.columns, *cols, *also]))
     return final.select(*[F.col(f"`{c}`") for c in names])
 
 
 def fill_blank_from_period(df: DataFrame, periods: DataFrame, key: str, at: str, start: str, end: str,
                            target: str, source: str, scope: Column | None = None,
-                           transform=lambda c: c) -> DataFrame:
-    """Fill an empty column from the period that covers the row's day."""
+                           transform=lambda c: c, also: Mapping | None = None) -> DataFrame:
+    """Fill an empty column from the period that covers the row's day.
+
+    Only rows in scope whose column is empty are joined; the others pass by. ``also``
+    gives further values for the rows that are filled.
+    """
     spans = periods.withColumn("__fill", transform(F.col(source))).select(key, start, end, "__fill")
-    placed = as_of_period(df, spans, key, at, start, end, ["__fill"])
     blank = F.length(F.coalesce(F.col(target), F.lit(""))) == 0
     if scope is not None:
         blank = blank & F.coalesce(scope, F.lit(False))
-    return assign(placed, blank & F.col("__fill").isNotNull(), {target: F.col("__fill")}).drop("__fill")
+    placed = as_of_period(df.where(blank), spans, key, at, start, end, ["__fill"])
+    filled = assign(placed, F.col("__fill").isNotNull(), {target: F.col("__fill"), **(also or {})}).drop("__fill")
+    return filled.unionByName(df.where(~blank), allowMissingColumns=True)
 
 
 def refresh_flag(df: DataFrame, scope_ids: DataFrame, set_ids: DataFrame, key: str, flag: str,
@@ -111,17 +121,19 @@ def refresh_flag(df: DataFrame, scope_ids: DataFrame, set_ids: DataFrame, key: s
 
 
 def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str], update_cols: Sequence[str],
-           insert_values: Mapping | None = None) -> DataFrame:
+           insert_values: Mapping | None = None, order: Sequence[str] = ()) -> DataFrame:
     """Update matched rows and add the others; the source is made unique first.
 
+    Of several source rows of a key the greatest by ``order`` wins, then by the other
+    columns by name, so the order of the columns doesn't matter.
     A source row with a NULL key matches nothing and is added. A left join plus
     an anti join, both of which AQE can split for a hot key (a full outer join it
     cannot).
     """
-    rest = [c for c in source.columns if c not in keys]
+    rest = sorted(c for c in source.columns if c not in keys)
     keyed = reduce(and_, [F.col(k).isNotNull() for k in keys])
-    unique = one_per_key(source.where(keyed), keys, rest)
-    updated = update_from(target, unique, list(keys), {c: c for c in update_cols})
+    unique = one_per_key(source.where(keyed), keys, rest, order=order)
+    updated = update_from(target, unique, list(keys), {c: c for c in update_cols}, unique=True)
     added = only_new(unique, target, list(keys)).unionByName(source.where(~keyed).distinct())
     for name, value in (insert_values or {}).items():
         added = added.withColumn(name, value if isinstance(value, Column) else F.lit(value))

@@ -7,7 +7,7 @@ from datetime import date, datetime
 from functools import reduce
 from operator import and_
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidewell.functions.dates import moment
@@ -21,7 +21,7 @@ FIRST_START = datetime(2013, 1, 1)
 def scd2_merge(dim: DataFrame, staged: DataFrame, key: str, cols: Sequence[str], as_of: date | datetime,
                first_start: datetime = FIRST_START, repair: str | None = None,
                extra: dict[str, Column] | None = None, defaults: dict | None = None,
-               as_written: bool = False) -> DataFrame:
+               as_written: bool = False, order: Sequence[str] = ()) -> DataFrame:
     """New state of the dimension after merging staged rows.
 
     * a key never seen gets one open row from ``first_start``;
@@ -30,8 +30,10 @@ def scd2_merge(dim: DataFrame, staged: DataFrame, key: str, cols: Sequence[str],
     * a key with closed rows only gets a new open row at ``as_of``;
     * everything else is left alone, so a rerun changes nothing.
 
-    Several staged rows of a key collapse to one first, which keeps at most one
-    open row per key. ``repair`` names a phone column: an invalid number is
+    Of several staged rows of a key the greatest by ``order`` (say, its time) counts,
+    then by the carried columns by name. Of several open rows of a key the one that
+    starts last stays open and the others are closed at ``as_of``, so that each key has
+    one open row. ``repair`` names a phone column: an invalid number is
     replaced by that of the open row, so it opens no version of its own and a
     feed that repeats it changes nothing. ``extra`` gives bookkeeping columns for
     opened rows; ``defaults`` gives values that count as equal to NULL when versions
@@ -48,8 +50,13 @@ def scd2_merge(dim: DataFrame, staged: DataFrame, key: str, cols: Sequence[str],
     names = dim.columns
 
     closed = dim.where(F.col("end_date").isNotNull())
-    current = dim.where(F.col("end_date").isNull())
-    fresh = one_per_key(staged.where(F.col(key).isNotNull()), [key], carried)
+    latest = Window.partitionBy(key).orderBy(F.col("start_date").desc_nulls_last(), *[F.col(c).desc() for c in sorted(names)])
+    opened = dim.where(F.col("end_date").isNull())
+    ranked = opened.where(F.col(key).isNotNull()).withColumn("__rank", F.row_number().over(latest))
+    current = ranked.where("__rank = 1").drop("__rank")
+    superseded = ranked.where("__rank > 1").withColumn("end_date", today.cast(dim.schema["end_date"].dataType)).select(*names)
+    nameless = opened.where(F.col(key).isNull())
+    fresh = one_per_key(staged.where(F.col(key).isNotNull()), [key], sorted(carried), order=order)
     seen = closed.select(key).distinct().withColumn("__seen", F.lit(True))
     fresh = fresh.join(seen, key, "left")
 
@@ -102,4 +109,4 @@ def scd2_merge(dim: DataFrame, staged: DataFrame, key: str, cols: Sequence[str],
     else:
         rows += [F.when(unseen, version(first, no_end, False))]
     merged = both.select(F.inline(F.array_compact(F.array(*rows))))
-    return closed.unionByName(merged.select(*names))
+    return closed.unionByName(superseded).unionByName(nameless).unionByName(merged.select(*names))

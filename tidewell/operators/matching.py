@@ -1,8 +1,8 @@
 """Joins by meaning: new rows, matching rows, lookups, periods.
 
-No join here carries an unconditional broadcast hint. Spark broadcasts a side by
-its size; dimension lookups ask ``broadcast_if_bounded``. Beyond the bound the
-join shuffles, and AQE splits a partition that one key has made too large.
+No join here carries a broadcast hint. Spark broadcasts a side by the size it finds
+at run time; beyond its bound the join shuffles, and AQE splits a partition that one
+key has made too large.
 """
 
 from __future__ import annotations
@@ -15,7 +15,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidewell.functions.text import _col
-from tidewell.session import broadcast_if_bounded
 
 Key = str | tuple[str | Column, str | Column]
 
@@ -100,7 +99,7 @@ def lookup(df: DataFrame, dim: DataFrame, on: Sequence[Key], cols: Sequence[str]
         least = dim.groupBy(*names).agg(F.min(F.struct(*cols)).alias("__least"))
         dim = least.select(*names, *[F.col("__least")[c].alias(c) for c in cols])
     side, condition = match_side(dim, on, carry=cols)
-    joined = df.join(broadcast_if_bounded(side), condition, "left")
+    joined = df.join(side, condition, "left")
     return drop_other(joined.select(*df.columns, *[other(c).alias(c) for c in cols]))
 
 

@@ -13,7 +13,6 @@ from tidewell.operators.changes import not_reversed
 from tidewell.operators.matching import having_match
 from tidewell.operators.totals import collapse, count_of_counts
 from tidewell.params import RunParams
-from tidewell.session import broadcast_if_bounded
 
 # Measures whose contracts take part, by staging.
 ADHERENCE_MEASURES = ("ras", "statin", "diabetes", "insulin", "asthma", "dts")
@@ -34,6 +33,19 @@ def active_contracts(contracts: DataFrame, measures: Sequence[str], p: RunParams
     return rows.where(F.col("analytics_contract") & text.in_ci("measure_use", measures))
 
 
+# Widths of the target columns. Rows are grouped by full values and cut after that.
+WIDTHS = {"prescriber_id": 50, "pharmacy_id": 50, "measureuse": 14, "drug_name": 60, "drug description": 255,
+          "drug_strength": 15, "unit_of_measure": 10, "dosage_form": 4, "gpi": 50, "ndc": 50}
+SHORT_DESCRIPTION = {"drug description": 250}  # of the exclusion stagings
+
+
+def cut_to_width(df: DataFrame, **other_widths: int) -> DataFrame:
+    """Texts cut to the widths of the target; rows that become equal are one row."""
+    widths = WIDTHS | other_widths
+    return df.select(*[text.varchar(F.col(f"`{c}`"), widths[c]).alias(c) if c in widths else F.col(f"`{c}`")
+                       for c in df.columns]).distinct()
+
+
 def _staged_columns(p: RunParams, measure: Column) -> dict[str, Column]:
     end = dates.supply_end("date_of_service", "days_supply")
     return {
@@ -49,18 +61,18 @@ def _staged_columns(p: RunParams, measure: Column) -> dict[str, Column]:
         "julianstart": dates.day_of_year("date_of_service"),
         "julianend": dates.day_of_year(end),  # wraps after 31 December; supply_end does not
         "supply_end": end,
-        "prescriber_id": text.varchar("prescriber_id", 50),
-        "pharmacy_id": text.varchar("pharmacy_id", 50),
+        "prescriber_id": F.col("prescriber_id").cast("string"),
+        "pharmacy_id": F.col("pharmacy_id").cast("string"),
         "measureuse": measure,
-        "drug_name": text.varchar(F.col("`Drug Name`"), 60),
+        "drug_name": F.col("`Drug Name`").cast("string"),
         "days_supply": F.col("days_supply"),
         "quantity_dispensed": F.col("quantity_dispensed"),
-        "drug description": text.varchar(F.col("`Drug Description`"), 255),
-        "drug_strength": text.varchar("strength", 15),
-        "unit_of_measure": text.varchar("strength_unit_of_measure", 10),
-        "dosage_form": text.varchar("dosage_form", 4),
-        "gpi": text.varchar("gpi", 50),
-        "ndc": text.varchar("ndc", 50),
+        "drug description": F.col("`Drug Description`").cast("string"),
+        "drug_strength": F.col("strength").cast("string"),
+        "unit_of_measure": F.col("strength_unit_of_measure").cast("string"),
+        "dosage_form": F.col("dosage_form").cast("string"),
+        "gpi": F.col("gpi").cast("string"),
+        "ndc": F.col("ndc").cast("string"),
         "prescription_service_reference_num": F.col("prescription_service_reference_num"),
     }
 
@@ -70,7 +82,7 @@ def _measured(claims: DataFrame, drugs: DataFrame, members: DataFrame, contracts
     """Claims of the client with a listed drug, a member and an active contract.
 
     The year and client filters reach the claim scan. Contracts only restrict, so
-    they are a semi join; drugs are broadcast when their size allows. Every staging
+    they are a semi join. Every staging
     removes duplicate rows at the end, so copies in the lists go first.
     """
     mine = claims.where(F.col("pmd_client_id") == p.client_id)
@@ -78,7 +90,7 @@ def _measured(claims: DataFrame, drugs: DataFrame, members: DataFrame, contracts
     drugs = drugs.select(*[F.col(f"`{c}`") for c in DRUG_COLUMNS]).distinct()
     signed = active_contracts(contracts, measures, p)
     rows = having_match(mine, signed, [("accountid2", "planidentifier_pclm")])
-    rows = rows.join(broadcast_if_bounded(drugs), F.col("product_service_id") == F.col("ndc"))
+    rows = rows.join(drugs, F.col("product_service_id") == F.col("ndc"))
     return rows.join(people, "patient_id")
 
 
@@ -87,8 +99,8 @@ def stage_adherence(claims: DataFrame, drugs: DataFrame, members: DataFrame, con
     """Measure claims of the run, one row per claim, drug and member."""
     valid = not_reversed(claims).where((F.col("runyear") == p.run_year) & text.in_ci("medicare_part_d_ind", PART_D))
     rows = _measured(valid, drugs, members, contracts, ADHERENCE_MEASURES, p)
-    staged = _staged_columns(p, text.varchar("measureuse", 14))
-    return collapse(rows.select(*[c.alias(n) for n, c in staged.items()]), COLLAPSED)
+    staged = _staged_columns(p, F.col("measureuse").cast("string"))
+    return cut_to_width(collapse(rows.select(*[c.alias(n) for n, c in staged.items()]), COLLAPSED))
 
 
 def stage_insulin(claims: DataFrame, drugs: DataFrame, members: DataFrame, contracts: DataFrame,
@@ -98,8 +110,8 @@ def stage_insulin(claims: DataFrame, drugs: DataFrame, members: DataFrame, contr
     rows = _measured(valid, drugs, members, contracts, INSULIN_MEASURES, p)
     staged = _staged_columns(p, F.lit(INSULIN_LABEL))
     staged.pop("prescription_service_reference_num")
-    staged["drug description"] = text.varchar(F.col("`Drug Description`"), 250)
-    return rows.select(*[c.alias(n) for n, c in staged.items()]).distinct()
+    label = {"measureuse": len(INSULIN_LABEL)}
+    return cut_to_width(rows.select(*[c.alias(n) for n, c in staged.items()]), **SHORT_DESCRIPTION, **label)
 
 
 def stage_ras_exclusion(claims: DataFrame, drugs: DataFrame, members: DataFrame, contracts: DataFrame,
@@ -108,9 +120,8 @@ def stage_ras_exclusion(claims: DataFrame, drugs: DataFrame, members: DataFrame,
     valid = not_reversed(claims).where((F.col("runyear") == p.run_year) & text.in_ci("medicare_part_d_ind", PART_D))
     listed = having_match(valid, excluding, [("product_service_id", "ndc")])
     rows = _measured(listed, drugs, members, contracts, RAS_MEASURES, p)
-    staged = _staged_columns(p, text.varchar("measureuse", 14))
-    staged["drug description"] = text.varchar(F.col("`Drug Description`"), 250)
-    return rows.select(*[c.alias(n) for n, c in staged.items()]).distinct()
+    staged = _staged_columns(p, F.col("measureuse").cast("string"))
+    return cut_to_width(rows.select(*[c.alias(n) for n, c in staged.items()]), **SHORT_DESCRIPTION)
 
 
 def classify_drugs(staged: DataFrame, drug_col: str = "drug_name") -> DataFrame:

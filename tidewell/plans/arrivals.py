@@ -12,9 +12,8 @@ from tidewell.operators.changes import update_from
 from tidewell.operators.matching import only_new
 from tidewell.params import RunParams
 from tidewell.plans.runs import history_upsert, queue_clients
-from tidewell.sources.files import file_stats, glob_to_regex
+from tidewell.sources.files import discover_files, glob_to_regex, with_counts
 from tidewell.sources.watch import active_watch_config, html_report, location_column
-from tidewell.session import broadcast_if_bounded
 
 
 @dataclass(frozen=True)
@@ -35,11 +34,36 @@ def ready_entries(config: DataFrame, control: DataFrame, env: str) -> DataFrame:
 
 
 def match_files(files: DataFrame, entries: DataFrame) -> DataFrame:
-    """Files with the client whose folder and name pattern they fit."""
-    wanted = broadcast_if_bounded(entries.select("pmd_client_id", "filetype", "filename", "filelocation"))
-    pairs = files.join(wanted, F.col("folder") == F.col("filelocation"))
-    return pairs.where(F.rlike("file_name", glob_to_regex(F.col("filename")))).select(
-        "pmd_client_id", "filetype", "filename", "filelocation", "file_name", "file_size", "record_count")
+    """Files with the client whose location and name pattern they fit.
+
+    A location is a path of any depth. It holds the files in it and below it; below it,
+    as the watched store lists them, the path too must begin as the pattern does.
+    """
+    wanted = entries.select("pmd_client_id", "filetype", "filename", "filelocation").withColumn(
+        "__location", F.regexp_replace("filelocation", "^/+|/+$", ""))
+    steps = F.split("folder", "/")
+    # Every folder above a file, so that the join is on equal paths.
+    above = files.withColumn("__above", F.explode(F.transform(
+        F.sequence(F.lit(1), F.size(steps)), lambda n: F.array_join(F.slice(steps, 1, n), "/"))))
+    pairs = above.join(wanted, F.col("__above") == F.col("__location"))
+    rest = F.substring(F.concat_ws("/", "folder", "file_name"), F.length("__location") + 2, F.lit(1 << 30))
+    head = F.regexp_extract("filename", r"^[^*?\[]*", 0)
+    fits = F.rlike("file_name", glob_to_regex(F.col("filename"))) & F.startswith(rest, head)
+    return pairs.where(fits).drop("__above", "__location")
+
+
+ARRIVED = ("pmd_client_id", "filetype", "filename", "filelocation", "file_name", "file_size", "record_count")
+
+
+def arrived_files(spark: SparkSession, root: str, entries: DataFrame) -> DataFrame:
+    """New files of the watched locations with their record counts; no other file is read.
+
+    The locations are rows of the configuration, a table kept by hand.
+    """
+    found = match_files(discover_files(spark, root), entries)
+    locations = [r["filelocation"].strip("/") for r in found.select("filelocation").distinct().collect()]
+    paths = sorted(f"{root.rstrip('/')}/{x}" for x in locations if not any(x != y and f"{x}/".startswith(f"{y}/") for y in locations))
+    return with_counts(found, paths).select(*ARRIVED)
 
 
 def count_waiting(config: DataFrame, found: DataFrame, p: RunParams) -> DataFrame:
@@ -53,7 +77,7 @@ def count_waiting(config: DataFrame, found: DataFrame, p: RunParams) -> DataFram
 def file_arrival(spark: SparkSession, root: str, config: DataFrame, control: DataFrame, history: DataFrame,
                  p: RunParams) -> Arrival:
     """One poll: each client is queued by its own files only."""
-    found = match_files(file_stats(spark, root), ready_entries(config, control, p.env))
+    found = arrived_files(spark, root, ready_entries(config, control, p.env))
     new_config = count_waiting(config, found, p)
     located = new_config.withColumn("filelocation", F.col(location_column(p.env)))
     return Arrival(

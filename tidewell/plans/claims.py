@@ -10,7 +10,7 @@ from tidewell.operators.changes import delete_matched, exclude_keys, fill_blank_
 from tidewell.operators.matching import having_match, lookup, only_new, other
 from tidewell.operators.picking import dedup_latest, latest_with_ties, split_occurrence
 from tidewell.params import RunParams
-from tidewell.plans.feeds import REVERSED, MedicalFeed, PharmacyFeed, Reversal, accept, build, standardize
+from tidewell.plans.feeds import REVERSED, MedicalFeed, PharmacyFeed, Reversal, accept, build, dirty_cells, standardize
 from tidewell.sources.tables import stamp
 
 
@@ -34,13 +34,44 @@ def drop_later_sequences(existing: DataFrame, raw: DataFrame, feed: PharmacyFeed
                           (other("least") < stored) & in_scope, carry=["least"])
 
 
+def unusable(feed: PharmacyFeed | MedicalFeed) -> dict[str, Column]:
+    """Reasons for which a row can't be told from one that is loaded, and so would load at every run."""
+    if isinstance(feed, MedicalFeed):
+        return {"unreadable line number": _cell(feed.line).try_cast("bigint").isNull(),
+                "no claim id": _cell(feed.claim).isNull()}
+    if feed.nulls_match:  # there missing keys are equal to each other
+        return {}
+    reasons = {"no transaction id": F.col(feed.transaction).isNull()}
+    if feed.known_by_year:
+        reasons["unreadable service date"] = F.col(feed.service_date).try_cast("date").isNull()
+    return reasons
+
+
+def usable_rows(rows: DataFrame, feed: PharmacyFeed | MedicalFeed) -> DataFrame:
+    for reason in unusable(feed).values():
+        rows = rows.where(~reason)
+    return rows
+
+
+def rejected_rows(raw: DataFrame, feed: PharmacyFeed | MedicalFeed) -> DataFrame:
+    """Rows of a feed that are not loaded for want of a key, with ``reject_reason``, and rows that load with a
+    value set to NULL because it can't be read, with ``dirty_columns``."""
+    rows = raw if isinstance(feed, MedicalFeed) else accept(raw, feed.tests)
+    reason = F.lit(None).cast("string")
+    for text_of, condition in unusable(feed).items():
+        reason = F.when(condition, F.lit(text_of)).otherwise(reason)
+    dirty = F.array_compact(F.array(*[F.when(condition, F.lit(name)) for name, condition in dirty_cells(feed.columns).items()]))
+    return rows.withColumns({"reject_reason": reason, "dirty_columns": dirty}).where(
+        F.col("reject_reason").isNotNull() | (F.size("dirty_columns") > 0))
+
+
 def new_claims(raw: DataFrame, drugs: DataFrame, existing: DataFrame, feed: PharmacyFeed, p: RunParams,
                exclude_patients: tuple = ()) -> DataFrame:
     """Canonical rows of a feed that are not loaded yet.
 
     ``exclude_patients`` are test members whose stored claims do not count as known.
     """
-    rows = accept(raw, feed.tests)
+    rows = usable_rows(accept(raw, feed.tests), feed)
     if feed.dedup == "min_sequence":
         rows = rows.withColumn("__sequence", F.col(feed.sequence).try_cast("int"))
         rows = latest_with_ties(rows, [feed.transaction], "__sequence", "min").drop("__sequence")
@@ -111,20 +142,32 @@ def fill_account(claims: DataFrame, members: DataFrame, periods: DataFrame, p: R
     scope = (F.col("pmd_client_id") == p.client_id) & (F.col("runyear") == p.run_year)
     return fill_blank_from_period(
         claims, spans, "patient_id", "date_of_service", "eligibilitystartdate", "eligibilityenddate",
-        "accountid2", "planidentifier_pclm", scope, lambda c: text.left(c, 5))
+        "accountid2", "planidentifier_pclm", scope, lambda c: text.left(c, 5),
+        also={"update_datetime": dates.moment(p.as_of)})
 
 
 def load_claims(raw: DataFrame, drugs: DataFrame, existing: DataFrame, feed: PharmacyFeed, p: RunParams,
                 members: DataFrame | None = None, periods: DataFrame | None = None,
                 exclude_patients: tuple = ()) -> DataFrame:
-    """New state of the pharmacy claims after loading one client's feed."""
-    kept = drop_later_sequences(existing, raw, feed, p)
-    added = new_claims(raw, drugs, kept, feed, p, exclude_patients)
+    """New state of the pharmacy claims after loading one client's feed.
+
+    Only claims of the client and run year, and the new ones, go through the joins;
+    of all others just the keys are read, and their rows pass by.
+    """
+    mine, others = own_partition(existing, p)
+    kept = drop_later_sequences(mine, raw, feed, p)
+    added = new_claims(raw, drugs, kept.unionByName(others), feed, p, exclude_patients)
     state = kept.unionByName(added, allowMissingColumns=True)
     state = apply_reversals(state, raw, feed, p)
     if feed.account_from_period and periods is not None:
         state = fill_account(state, members, periods, p)
-    return state
+    return state.unionByName(others, allowMissingColumns=True)
+
+
+def own_partition(existing: DataFrame, p: RunParams) -> tuple[DataFrame, DataFrame]:
+    """Rows of the client and run year, and all others; both tests reach a partitioned scan."""
+    own = (F.col("pmd_client_id") == p.client_id) & (F.col("runyear") == p.run_year)
+    return existing.where(own), existing.where(~F.coalesce(own, F.lit(False)))
 
 
 # ---- medical --------------------------------------------------------------------
@@ -139,7 +182,7 @@ def new_medical(raw: DataFrame, existing: DataFrame, feed: MedicalFeed, p: RunPa
     keys = [(_cell(feed.claim), "claim_id"),
             (_cell(feed.line).try_cast("bigint"), "claim_line_num"),
             (text.left(_cell(feed.plan), 5), "plan_code")]
-    rows = standardize(only_new(raw, known, keys), feed.columns).distinct()
+    rows = standardize(only_new(usable_rows(raw, feed), known, keys), feed.columns).distinct()
     return stamp(rows, create_date=dates.moment(p.as_of))
 
 
@@ -152,13 +195,18 @@ def refresh_status(lines: DataFrame, raw: DataFrame, feed: MedicalFeed, p: RunPa
         _cell(feed.status).try_cast("smallint").alias("status"))
     latest = latest_with_ties(rows, ["claim", "line", "plan"], "submitted")
     return update_from(lines, latest, [("plan_code", "plan5"), ("claim_id", "claim"), ("claim_line_num", "line")],
-                       {"claim_status": "status"}, scope=F.col("runyear") == p.run_year, order=["submitted"])
+                       {"claim_status": "status"}, scope=F.col("runyear") == p.run_year, order=["submitted"],
+                       also={"update_datetime": dates.moment(p.as_of)})
 
 
 def load_medical(raw: DataFrame, existing: DataFrame, feed: MedicalFeed, p: RunParams) -> DataFrame:
-    """New state of the medical claim lines after loading one client's feed."""
-    state = existing.unionByName(new_medical(raw, existing, feed, p), allowMissingColumns=True)
-    return refresh_status(state, raw, feed, p)
+    """New state of the medical claim lines after loading one client's feed.
+
+    Only lines of the client and run year, and the new ones, are joined.
+    """
+    mine, others = own_partition(existing, p)
+    state = mine.unionByName(new_medical(raw, mine, feed, p), allowMissingColumns=True)
+    return refresh_status(state, raw, feed, p).unionByName(others, allowMissingColumns=True)
 
 
 ERROR_KEY = ("errorcode", "pmd_client_id", "claim_id", "claim_line_num", "admission_date")

@@ -12,7 +12,7 @@ from tidewell.operators.changes import assign, flag_matched, update_from, upsert
 from tidewell.operators.matching import having_match, match_side, other
 from tidewell.operators.picking import latest_with_ties
 from tidewell.params import RunParams
-from tidewell.plans.feeds import MembershipFeed, accept, build
+from tidewell.plans.feeds import MembershipFeed, accept, build, sources
 
 UNREADABLE_START = date(1900, 1, 1)  # fixed value
 
@@ -21,25 +21,27 @@ def eligibility_periods(raw: DataFrame, members: DataFrame, feed: MembershipFeed
     """Plan-benefit periods of a member file, fitted to the run year.
 
     An unreadable start counts as 1900, an unreadable end as the last day of the
-    run year. Periods of one raw start, plan and benefit merge to the latest end.
+    run year. Periods of one raw start, plan and benefit code merge to the latest
+    end; the codes are cut to the width of the target only after that.
     """
     rows = accept(raw.where(F.col("runyear") == p.run_year), feed.tests)
+    full = list(dict.fromkeys([*sources(feed.plan), *sources(feed.benefit)]))
     rows = rows.select(
         F.col(feed.member).alias("member"),
         F.col(feed.start).cast("string").alias("raw_start"),
         dates.date_or(feed.start, UNREADABLE_START).alias("starts"),
         dates.date_or(feed.end, date(p.run_year, 12, 31)).alias("ends"),
-        build(feed.plan).alias("planidentifier_pclm"),
-        build(feed.benefit).alias("pbp_pclm"))
+        *full)
     # Merged once per file member, before the join, and once per member of the master.
-    keys = ["planidentifier_pclm", "pbp_pclm", "raw_start", "starts"]
+    keys = [*full, "raw_start", "starts"]
     rows = rows.groupBy("member", *keys).agg(F.max("ends").alias("ends"))
     mine = members.where(F.col("pmd_client_id") == feed.client_id).select("patient_id", "patient_unique_ident")
     rows = rows.join(mine, F.col("member") == F.col("patient_id"))
     rows = rows.groupBy("patient_unique_ident", *keys).agg(F.max("ends").alias("ends"))
     start, end = dates.clamp_period("starts", "ends", p.run_year)
     return rows.select(
-        F.lit(feed.client_id).alias("pmd_client_id"), "patient_unique_ident", "planidentifier_pclm", "pbp_pclm",
+        F.lit(feed.client_id).alias("pmd_client_id"), "patient_unique_ident",
+        build(feed.plan).alias("planidentifier_pclm"), build(feed.benefit).alias("pbp_pclm"),
         start.alias("eligibilitystartdate"), end.alias("eligibilityenddate"),
         F.lit(p.run_year).alias("runyear")).distinct()
 
@@ -72,8 +74,9 @@ GUARDIAN_KEY = ("patient_unique_ident", "planidentifier_pclm", "guardian_id", "e
 
 
 def merge_guardians(target: DataFrame, staged: DataFrame) -> DataFrame:
-    """Update end and phone of known guardian periods and add the others."""
-    return upsert(target, staged, list(GUARDIAN_KEY), ["eligibilityenddate", "guardian_phone"])
+    """Update end and phone of known guardian periods and add the others; the latest end wins."""
+    return upsert(target, staged, list(GUARDIAN_KEY), ["eligibilityenddate", "guardian_phone"],
+                  order=["eligibilityenddate", "guardian_phone"])
 
 
 EXCEPTION_KEY = ("excepttype", "patient_unique_ident", "planidentifier_pclm", "exceptionstartdate")
@@ -86,7 +89,7 @@ def merge_exceptions(target: DataFrame, staged: DataFrame, p: RunParams) -> Data
     latest = latest_with_ties(staged.select(*cols), ["patient_unique_ident", "planidentifier_pclm",
                                                      "exceptionstartdate"], "exceptionenddate").distinct()
     return upsert(target, latest, list(EXCEPTION_KEY), ["exceptionenddate"],
-                  {"updatedate": dates.moment(p.as_of)})
+                  {"updatedate": dates.moment(p.as_of)}, order=["exceptionenddate"])
 
 
 # ---- activation -----------------------------------------------------------------
@@ -186,9 +189,23 @@ def deactivate(members: DataFrame, client_id: int, ids: DataFrame | None = None)
 SPECIAL_RULES = {66: (True, 18, None), 95: (False, 5, 64)}
 
 
+# Member files whose marked members of the run year are inactive: client to (column, mark).
+INACTIVE_MARKS = {67: ("nurtur_member", "y")}
+
+
+def marked_inactive(membership: DataFrame, p: RunParams) -> DataFrame:
+    """Members that the client's file of the run year marks as inactive, as ``patient_id``."""
+    column, mark = INACTIVE_MARKS[p.client_id]
+    return membership.where((F.col("runyear") == p.run_year) & (F.col(column) == mark)).select("patient_id")
+
+
 def activate(members: DataFrame, periods: DataFrame, detail: DataFrame, p: RunParams,
-             inactive_ids: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
-    """Activation, soft deletion and the special rules of the client, as (members, detail)."""
+             inactive_ids: DataFrame | None = None, membership: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+    """Activation, soft deletion and the special rules of the client, as (members, detail).
+
+    ``inactive_ids`` lists members to set inactive; for a client whose member file marks
+    them, ``membership`` is that file.
+    """
     state = recompute_active(members, periods, p)
     state, new_detail = soft_delete(state, detail, p)
     if p.is_current_year and p.client_id in SPECIAL_RULES:
@@ -198,6 +215,8 @@ def activate(members: DataFrame, periods: DataFrame, detail: DataFrame, p: RunPa
         state = inactivate_age(state, p, low, high)
     if p.is_current_year and inactive_ids is not None:
         state = deactivate(state, p.client_id, inactive_ids)
+    if p.is_current_year and membership is not None and p.client_id in INACTIVE_MARKS:
+        state = deactivate(state, p.client_id, marked_inactive(membership, p))
     return state, new_detail
 
 

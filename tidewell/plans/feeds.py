@@ -37,6 +37,7 @@ RULES = {
     "code": lambda s, n=11: text.pad_code(_source(s), n),
     "long": lambda s: amounts.typed(F.trim(_source(s).cast("string")), "bigint"),
     "int": lambda s: amounts.typed(_source(s), "int"),
+    "whole": lambda s: amounts.rounded(amounts.typed(_source(s), "double")).cast("int"),
     "short": lambda s: amounts.typed(_source(s), "smallint"),
     "float": lambda s: amounts.typed(_source(s), "double"),
     "date": lambda s: amounts.typed(_source(s), "date"),
@@ -68,6 +69,25 @@ def build(rule: Rule) -> Column:
     return RULES[kind](*arguments)
 
 
+def sources(rule: Rule) -> list[str]:
+    """Raw columns that a rule reads."""
+    kind, *arguments = rule
+    if kind in ("const", "null"):
+        return []
+    return list(arguments[0]) if kind == "first_of" else [arguments[0]]
+
+
+# Kinds of rules that read a typed value, and its type.
+READ_AS = {"long": "bigint", "int": "int", "whole": "double", "short": "smallint", "float": "double", "date": "date",
+           "timestamp": "timestamp_ntz"}
+
+
+def dirty_cells(columns: Mapping[str, Rule]) -> dict[str, Column]:
+    """Per typed column: a value is there and can't be read."""
+    return {name: amounts.dirty(F.trim(_source(rule[1]).cast("string")), READ_AS[rule[0]])
+            for name, rule in columns.items() if rule[0] in READ_AS}
+
+
 def accept(df: DataFrame, tests: tuple) -> DataFrame:
     return df.where(reduce(and_, [TESTS[kind](*arguments) for kind, *arguments in tests]))
 
@@ -225,7 +245,7 @@ PHARMACY_FEEDS = {
             "product_service_id": ("code", "ndc"),
             "product_service_desc": ("text", "productdesc", 70),
             "quantity_dispensed": ("float", "metricqty"),
-            "days_supply": ("int", "dayssupply"),
+            "days_supply": ("whole", "dayssupply"),
             "prescriber_id": ("text", "prescriber_npi_nbr", 50),
             "pharmacy_id": ("text", "pharmcacy_npi_nbr", 50),
             "transaction_id": ("trimmed", "authnumber", 100),
@@ -297,7 +317,7 @@ PHARMACY_FEEDS = {
             "product_service_id": ("code", "ndc_code"),
             "product_service_desc": ("text", "productnameshort", 70),
             "quantity_dispensed": ("float", "quantity_dispensed"),
-            "days_supply": ("int", "days_supply"),
+            "days_supply": ("whole", "days_supply"),
             "prescriber_id": ("text", "prescriber_npi", 50),
             "pharmacy_id": ("text", "pharmacy_npi", 50),
             "transaction_id": ("trimmed", "transaction_id", 100),

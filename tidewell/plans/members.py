@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from tidewell.functions import codes, dates
 from tidewell.operators.changes import flag_matched, refresh_flag, update_from
 from tidewell.operators.history import FIRST_START, scd2_merge
-from tidewell.operators.picking import dedup_latest, latest_with_ties
+from tidewell.operators.picking import latest_with_ties
 from tidewell.operators.totals import scalar
 from tidewell.params import RunParams
 from tidewell.plans.eligibility import latest_plan
@@ -37,11 +37,12 @@ def stage_detail(staged: DataFrame, members: DataFrame, phones: DataFrame | None
 
 def refresh_detail(staged: DataFrame, members: DataFrame, detail: DataFrame, p: RunParams,
                    phones: DataFrame | None = None, first_start=FIRST_START, as_written: bool = False) -> DataFrame:
-    """New state of the member detail after merging a staged file."""
+    """New state of the member detail after merging a staged file; a member's newest staged row counts."""
     rows = stage_detail(staged, members, phones, p)
     today = dates.moment(p.today)
     return scd2_merge(detail, rows, "patient_unique_ident", DETAIL_COMPARED, p.as_of, first_start,
                       repair="phone_number", as_written=as_written, defaults=FLAG_DEFAULTS,
+                      order=[c for c in ("update_datetime",) if c in rows.columns],
                       extra={"run_id": F.lit(p.run_id), "create_datetime": today, "update_datetime": today})
 
 
@@ -122,7 +123,8 @@ def apply_rule(detail: DataFrame, members: DataFrame, feed: DataFrame, rule, p:
         rows, gate = feed, None
         if rule.dated:
             newest = scalar(feed, F.max(F.to_date(rule.dated)))
-            rows = feed.where(F.to_date(rule.dated) == newest)
+            # A range on the column itself, which reaches the scan.
+            rows = feed.where((F.col(rule.dated) >= newest) & (F.col(rule.dated) < F.date_add(newest, 1)))
             if last_import is not None:
                 gate = F.coalesce(newest, F.lit(date(1900, 1, 1))) >= F.lit(last_import)
         if rule.only:
@@ -189,11 +191,3 @@ def merge_dnc(members: DataFrame, feeds: Mapping[int, DataFrame], p: RunParams)
         return members
     return flag_matched(members, ids, ["patient_unique_ident"],
                         {"dnc_flag": F.lit(True), "dnc_flag_source": F.lit(DNC_SOURCE)})
-
-
-def newest_staged(staged: DataFrame, order: tuple = ("update_datetime",)) -> DataFrame:
-    """One staged row per member, the newest."""
-    rows = staged.withColumn("__tie", F.xxhash64(*staged.columns))
-    return dedup_latest(rows, ["patient_unique_ident"], list(order), ["__tie"]).drop("__tie")
-
-

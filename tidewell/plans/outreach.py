@@ -8,11 +8,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidewell.functions import codes, dates, text
-from tidewell.operators.matching import match_side, only_new, other
+from tidewell.operators.matching import having_match, match_side, only_new, other
 from tidewell.operators.picking import top1_per_key
 from tidewell.operators.totals import union_distinct
 from tidewell.params import RunParams
-from tidewell.session import broadcast_if_bounded
 
 # Call results and the days to wait after them.
 RETRY_DAYS = {(11, 12): 1, (7, 8, 9, 14): 3, (18,): 7, (15,): 10}
@@ -41,12 +40,12 @@ def best_phone(phones: DataFrame) -> DataFrame:
 def last_call(calls: DataFrame, call_dtps: DataFrame, dtps: DataFrame, measures: DataFrame,
               languages: DataFrame, p: RunParams) -> DataFrame:
     """Latest call of this year per member and measure, a missing time first."""
-    recent = calls.where(dates.days_between("created_at", dates.year_start(p.as_of.year)) >= 0)
+    recent = calls.where(F.col("created_at") >= dates.moment(dates.first_day(p.as_of.year)))  # a plain range reaches the scan
     recent = recent.select(F.col("id").alias("call_id"), "status_detail_id", "created_at", "entity_type", "entity_id")
     linked = recent.join(call_dtps.select("call_id", "dtp_id"), "call_id")
     linked = linked.join(dtps.select(F.col("id").alias("dtp_id"), "pmd_patient_id", "measure_id"), "dtp_id")
-    linked = linked.join(broadcast_if_bounded(
-        measures.select(F.col("id").alias("measure_id"), F.lower("key").alias("measure_key"))), "measure_id")
+    linked = linked.join(
+        measures.select(F.col("id").alias("measure_id"), F.lower("key").alias("measure_key")), "measure_id")
     newest = top1_per_key(linked, ["pmd_patient_id", "measure_key"],
                           [F.col("created_at").desc_nulls_first(), F.col("call_id").desc()])
     spoken = languages.where(F.col("primary")).groupBy(
@@ -72,9 +71,9 @@ def campaign_list(detail: DataFrame, measures: DataFrame, dtps: DataFrame, visib
     """Members with active opportunities whose last call allows another tomorrow."""
     year = p.as_of.year
     shown = visibilities.where(text.eq_ci("name", f"{year} Active")).select(F.col("id").alias("dtp_visibility_id"))
-    open_dtps = dtps.where(F.col("dtp_year") == year).join(broadcast_if_bounded(shown), "dtp_visibility_id")
+    open_dtps = dtps.where(F.col("dtp_year") == year).join(shown, "dtp_visibility_id")
     keyed = measures.select(F.col("id").alias("measure_id"), F.lower("key").alias("measure_key"))
-    open_dtps = open_dtps.join(broadcast_if_bounded(keyed), "measure_id")
+    open_dtps = open_dtps.join(keyed, "measure_id")
     # Several opportunities of a member and measure weigh in the sum; count them, do not pair them.
     open_dtps = open_dtps.groupBy(F.col("pmd_patient_id").alias("open_patient"), F.col("measure_key").alias("open_key")).agg(
         F.count(F.lit(1)).alias("n_open"))
@@ -129,7 +128,7 @@ class OutreachTables:
 
 def _named(df: DataFrame, key: str, name: str, source: str = "name") -> DataFrame:
     """Small name table, ready to join on ``key``."""
-    return broadcast_if_bounded(df.select(F.col("id").alias(key), F.col(source).alias(name)))
+    return df.select(F.col("id").alias(key), F.col(source).alias(name))
 
 
 def _call_columns(calls: DataFrame) -> DataFrame:
@@ -158,20 +157,28 @@ CONTACT_COLUMNS = (
     "call_status_details", "category", "subcategory", "call_type_id", "call_type_name")
 
 
-def contacts(t: OutreachTables) -> DataFrame:
+def current_dtps(t: OutreachTables, p: RunParams) -> DataFrame:
+    """This year's opportunities of the product line."""
+    return t.dtps.where((F.col("dtp_year") == p.as_of.year) & (F.col("product_line_id") == PRODUCT_LINE))
+
+
+def contacts(t: OutreachTables, p: RunParams) -> DataFrame:
     """Calls with details, calls without any, and details without a call.
 
-    The three kinds meet here, before the opportunity columns are joined, so that
-    those joins run once.
+    Links and details of other years' opportunities go first, by semi joins. The
+    three kinds meet here, before the opportunity columns are joined, so that those
+    joins run once.
     """
-    live = t.dtp_details.where(F.col("deleted_at").isNull())
-    calls = _call_columns(t.calls)
-    links = t.call_dtps.select("call_id", "dtp_id").distinct()
+    wanted = current_dtps(t, p)
+    every = t.dtp_details.where(F.col("deleted_at").isNull())
+    live = having_match(every, wanted, [("dtp_id", "id")])
+    links = having_match(t.call_dtps, wanted, [("dtp_id", "id")]).select("call_id", "dtp_id").distinct()
+    calls = having_match(_call_columns(t.calls), links, ["call_id"])
     noted = live.select(F.col("id").alias("dtpdetail_id"), "call_id", "dtp_id", "category_id", "sub_category_id",
                         F.col("note").alias("freetextnotes"))
     with_detail = _with_categories(_with_call_names(calls.join(links, "call_id").join(noted, ["call_id", "dtp_id"]), t), t)
 
-    silent = only_new(calls, live, ["call_id"]).join(links, "call_id")
+    silent = only_new(calls, every, ["call_id"]).join(links, "call_id")  # silent: no detail of any year
     without_detail = _with_call_names(silent, t).withColumns({
         "dtpdetail_id": F.lit(0), "category_id": F.lit(0), "sub_category_id": F.lit(0),
         "freetextnotes": F.lit(""), "category": F.lit(""), "subcategory": F.lit("")})
@@ -188,9 +195,9 @@ def contacts(t: OutreachTables) -> DataFrame:
     return union_distinct(*[rows.select(*CONTACT_COLUMNS) for rows in (with_detail, without_detail, inbound)])
 
 
-def last_claims(t: OutreachTables) -> DataFrame:
-    """Claim columns of the highest claim id of each opportunity."""
-    newest = t.dtp_claims.groupBy("dtp_id").agg(F.max("pharmacy_claim_id").alias("claim_id"))
+def last_claims(t: OutreachTables, wanted: DataFrame) -> DataFrame:
+    """Claim columns of the highest claim id of each wanted opportunity."""
+    newest = having_match(t.dtp_claims, wanted, ["dtp_id"]).groupBy("dtp_id").agg(F.max("pharmacy_claim_id").alias("claim_id"))
     claims = t.pharmacy_claims.select(
         F.col("id").alias("claim_id"), F.col("provider_npi").cast("string").alias("claim_npi"),
         F.col("ndc").alias("claim_ndc"), F.col("drug_name").alias("claim_drug"), "prescription_service_num",
@@ -200,14 +207,13 @@ def last_claims(t: OutreachTables) -> DataFrame:
 
 def opportunities(t: OutreachTables, p: RunParams) -> DataFrame:
     """This year's opportunities of the product line with their measure, member and last claim."""
-    rows = t.dtps.where((F.col("dtp_year") == p.as_of.year) & (F.col("product_line_id") == PRODUCT_LINE))
-    rows = rows.select(F.col("id").alias("dtp_id"), "patient_id", "measure_id", "dtp_year", "dtp_visibility_id",
+    rows = current_dtps(t, p).select(F.col("id").alias("dtp_id"), "patient_id", "measure_id", "dtp_year", "dtp_visibility_id",
                        F.col("npi").alias("own_npi"), F.col("ndc").alias("own_ndc"), F.col("drug_name").alias("own_drug"))
     rows = rows.join(_named(t.measures, "measure_id", "measureuse"), "measure_id")
     rows = rows.join(_named(t.visibilities, "dtp_visibility_id", "dtp_visibilities_key", "key"), "dtp_visibility_id")
     people = t.patients.select(F.col("id").alias("patient_id"), "pmd_client_id", "pmd_patient_id", "member_id",
                                F.col("plan_group").alias("planidentifier_pclm"))
-    rows = rows.join(people, "patient_id").join(last_claims(t), "dtp_id", "left")
+    rows = rows.join(people, "patient_id").join(last_claims(t, rows), "dtp_id", "left")
     own = F.col("measureuse")
     return rows.select(
         "dtp_id", "pmd_client_id", "pmd_patient_id", "member_id", "planidentifier_pclm",
@@ -221,10 +227,10 @@ def opportunities(t: OutreachTables, p: RunParams) -> DataFrame:
 
 def call_history(t: OutreachTables, p: RunParams) -> DataFrame:
     """One row per contact and opportunity of this year, with local times."""
-    callers = broadcast_if_bounded(t.users.select(
+    callers = t.users.select(
         F.col("id").alias("user_id"),
-        F.concat(F.coalesce("last_name", F.lit("")), F.lit(" "), F.coalesce("first_name", F.lit(""))).alias("caller_name")))
-    rows = contacts(t).join(opportunities(t, p), "dtp_id").join(callers, "user_id")
+        F.concat(F.coalesce("last_name", F.lit("")), F.lit(" "), F.coalesce("first_name", F.lit(""))).alias("caller_name"))
+    rows = contacts(t, p).join(opportunities(t, p), "dtp_id").join(callers, "user_id")
     local = {"measurenotedate": F.to_date(dates.to_local("noted_at", p.tz)),
              "call_start_at": dates.to_local("started_at", p.tz),
              "call_end_at": dates.to_local("ended_at", p.tz)}

@@ -8,11 +8,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidewell.functions import dates
-from tidewell.operators.changes import assign, flag_matched, with_marker
+from tidewell.operators.changes import assign, flag_matched
 from tidewell.operators.matching import only_new
 from tidewell.operators.totals import max_or, scalar
 from tidewell.params import RunParams
-from tidewell.sources.tables import append, archive, overwrite
+from tidewell.sources.tables import archive, overwrite, write_run
 
 # The row that says there is nothing to do.
 NOTHING_QUEUED = {"planidentifier_pclm": "0", "pmd_client_id": "0", "clientname": "0",
@@ -79,9 +79,9 @@ def run_open(ledger: DataFrame, p: RunParams) -> DataFrame:
 
 
 def run_close(ledger: DataFrame, p: RunParams, status_col: str, counts: dict[str, Column]) -> DataFrame:
-    """Mark a step of this run complete and store its counts (scalar subqueries)."""
+    """Mark a step of this run complete, with the time, and store its counts (scalar subqueries)."""
     mine = F.col("run_id") == p.run_id
-    return assign(ledger, mine, {status_col: F.lit(COMPLETE), **counts})
+    return assign(ledger, mine, {status_col: F.lit(COMPLETE), f"{status_col}_complete_datetime": dates.moment(p.as_of), **counts})
 
 
 def last_complete(ledger: DataFrame, client_id: int, status_col: str) -> DataFrame:
@@ -142,19 +142,15 @@ def history_upsert(history: DataFrame, config: DataFrame) -> DataFrame:
 def archive_evaluation(root: str, p: RunParams, staged: DataFrame, eligibility: DataFrame,
                        single: DataFrame, multiple: DataFrame, covered: DataFrame,
                        insulin: DataFrame | None = None) -> None:
-    """Write the outputs of an evaluation to their current and cumulative tables."""
+    """Write the outputs of an evaluation to their current and cumulative tables; a retry replaces them."""
     day = staged.withColumn("date_of_service", F.to_date("date_of_service"))
-    archive(day, p.as_of, f"{root}/adherence_claims_current", f"{root}/adherence_claims",
+    archive(day, p.as_of, f"{root}/adherence_claims_current", f"{root}/adherence_claims", p.run_id,
             partition_by=("pmd_client_id", "runyear"))
     overwrite(eligibility, f"{root}/eligibility_current")
-    append(eligibility, f"{root}/eligibility")
-    append(single.distinct(), f"{root}/single_drug_review")
-    append(multiple, f"{root}/multiple_drug_review")
-    append(covered.withColumn("archive_date", F.lit(p.today)), f"{root}/days_covered")
+    spark = staged.sparkSession
+    write_run(spark.read.parquet(f"{root}/eligibility_current"), f"{root}/eligibility", p.run_id)  # computed once
+    write_run(single.distinct(), f"{root}/single_drug_review", p.run_id)
+    write_run(multiple, f"{root}/multiple_drug_review", p.run_id)
+    write_run(covered.withColumn("archive_date", F.lit(p.today)), f"{root}/days_covered", p.run_id)
     if insulin is not None:
-        append(insulin, f"{root}/insulin_claims")
-
-
-def mark_exported(status: DataFrame, exported: DataFrame) -> DataFrame:
-    """Status rows with a column that tells whether their run was exported."""
-    return with_marker(status, exported, ["evalrun_id"], "exported")
+        write_run(insulin, f"{root}/insulin_claims", p.run_id)

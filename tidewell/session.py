@@ -1,12 +1,11 @@
-"""Session settings, the shared working folder and checked broadcasts."""
+"""Session settings and the shared working folder."""
 
 from __future__ import annotations
 
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import SparkSession
 
 # Runtime SQL settings the plans in this package rely on. AQE splits skewed join
 # partitions; "force" keeps the split even where the join feeds a grouping on
@@ -19,15 +18,9 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.codegen.hugeMethodLimit": "8000",
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.session.timeZone": "UTC",
 }
 
-# A side is broadcast only when the optimizer's upper estimate, which starts from
-# real file sizes, is below this many bytes.
-BROADCAST_LIMIT = 32 * 1024 * 1024
-
-
 def build_session(app: str = "tidewell", cores: int | str = "*", **extra: str) -> SparkSession:
     """Local session for tests and the benchmark; a cluster brings its own."""
     builder = SparkSession.builder.master(f"local[{cores}]").appName(app)
@@ -49,27 +42,14 @@ def tune(spark: SparkSession) -> SparkSession:
 def shared_folder(spark: SparkSession) -> str:
     """A new folder below the one the cluster shares between its machines.
 
-    ``spark.checkpoint.dir`` names it. A machine-local folder is used only by a
-    local session that has no such setting.
+    ``spark.checkpoint.dir`` names it, or the folder the session was given by
+    ``setCheckpointDir``. A machine-local folder is used only by a local session
+    that has neither.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not root:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("spark.checkpoint.dir must name a folder shared by all machines")
         root = tempfile.mkdtemp(prefix="tidewell-")
         spark.sparkContext.setCheckpointDir(root)
     return f"{root.rstrip('/')}/tidewell-{uuid.uuid4().hex}"
-
-
-def estimated_bytes(df: DataFrame) -> int | None:
-    """Optimizer's size estimate, or None where the session cannot tell."""
-    try:
-        return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
-    except AttributeError:
-        return None
-
-
-def broadcast_if_bounded(df: DataFrame, limit: int = BROADCAST_LIMIT) -> DataFrame:
-    """Hint a broadcast only below ``limit``; beyond it Spark shuffles and splits skew."""
-    size = estimated_bytes(df)
-    return F.broadcast(df) if size is not None and size <= limit else df

@@ -6,22 +6,28 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+def listing_of(spark: SparkSession, paths: str | list[str], pattern: str = "*") -> DataFrame:
+    """Files below the paths, as a scan that reads no contents unless asked for them."""
+    return (spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+            .option("pathGlobFilter", pattern).load(paths))
+
+
 def discover_files(spark: SparkSession, root: str, pattern: str = "*") -> DataFrame:
     """Files below ``root`` whose name fits the pattern; contents are not read.
 
-    A scan passes over files without content, so the names come from the file
-    index that Spark keeps for the scan, and sizes and times are joined to them.
+    ``folder`` is the whole path between ``root`` and the file name. A scan passes over
+    files without content; their names come from the file index that Spark keeps on the
+    driver for any scan.
     """
-    listing = (spark.read.format("binaryFile").option("recursiveFileLookup", "true")
-               .option("pathGlobFilter", pattern).load(root))
-    names = spark.createDataFrame([(name,) for name in listing.inputFiles()], "path string")
+    listing = listing_of(spark, root, pattern)
     sizes = listing.select(plain_path(F.col("path")).alias("path"), "length", "modificationTime")
+    names = spark.createDataFrame([(name,) for name in listing.inputFiles()], "path string")
     files = names.select(plain_path(F.col("path")).alias("path")).join(sizes, "path", "left")
-    parts = F.split("path", "/")
+    below = F.substring(F.col("path"), F.length(plain_path(F.lit(root.rstrip("/")))) + 2, F.lit(1 << 30))
     return files.select(
         "path",
-        F.element_at(parts, -1).alias("file_name"),
-        F.element_at(parts, -2).alias("folder"),
+        F.element_at(F.split("path", "/"), -1).alias("file_name"),
+        F.regexp_replace(below, "/?[^/]*$", "").alias("folder"),
         F.coalesce("length", F.lit(0)).alias("file_size"),
         "modificationTime",
     )
@@ -44,19 +50,24 @@ def count_records(lines: DataFrame) -> DataFrame:
     return per_file.select("path", F.greatest(line_ends - 1, F.lit(0)).cast("long").alias("record_count"))
 
 
+def with_counts(files: DataFrame, paths: str | list[str], pattern: str = "*") -> DataFrame:
+    """Files with the number of their records; only files below ``paths`` are read."""
+    if not paths:
+        return files.withColumn("record_count", F.lit(0).cast("long"))
+    lines = (files.sparkSession.read.format("text").option("lineSep", "\n").option("recursiveFileLookup", "true")
+             .option("pathGlobFilter", pattern).load(paths))
+    counts = count_records(lines)
+    counts = counts.select(plain_path(F.col("path")).alias("path"), "record_count")
+    return files.join(counts, "path", "left").withColumn("record_count", F.coalesce("record_count", F.lit(0)))
+
+
 def file_stats(spark: SparkSession, root: str, pattern: str = "*") -> DataFrame:
     """Name, folder, size and record count of each file; empty files are kept.
 
     Counts are of stored bytes, so compressed files should be unpacked first.
     """
-    files = discover_files(spark, root, pattern)
-    lines = (spark.read.format("text").option("lineSep", "\n").option("recursiveFileLookup", "true")
-             .option("pathGlobFilter", pattern).load(root))
-    counts = count_records(lines)
-    counts = counts.select(plain_path(F.col("path")).alias("path"), "record_count")
-    return files.join(counts, "path", "left").select(
-        "path", "folder", "file_name", "file_size",
-        F.coalesce("record_count", F.lit(0)).alias("record_count"), "modificationTime")
+    return with_counts(discover_files(spark, root, pattern), root, pattern).select(
+        "path", "folder", "file_name", "file_size", "record_count", "modificationTime")
 
 
 def plain_path(path: Column) -> Column:

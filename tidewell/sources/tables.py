@@ -3,7 +3,8 @@
 A mutation gives the whole new state of a table. A state is written as its own
 run folder and readers take the newest one, so a plan never overwrites the files
 it reads, a retried task rewrites only its own folder, and a failed run leaves
-the earlier state in place.
+the earlier state in place. Rows of a cumulative table lie in the partition of the run
+that wrote them.
 """
 
 from __future__ import annotations
@@ -15,6 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 STATE_COLUMN = "state_run"
+RUN_COLUMN = "history_run"
 
 
 def read_table(spark: SparkSession, name: str) -> DataFrame:
@@ -41,30 +43,48 @@ def overwrite(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> Non
     df.write.mode("overwrite").option("partitionOverwriteMode", mode).partitionBy(*partition_by).parquet(path)
 
 
-def save_state(df: DataFrame, path: str, run_id: int) -> None:
-    """Write the full state of a table as the folder of this run, also when it is empty."""
-    overwrite(df, f"{path}/{STATE_COLUMN}={run_id}")
+def save_state(df: DataFrame, path: str, run_id: int, partition_by: Sequence[str] = ()) -> None:
+    """Write the full state of a table as the folder of this run, also when it is empty.
+
+    With ``partition_by`` (say, client and run year) a load reads its own partition only.
+
+    The run is entered in the table of complete runs last, so a state that a dying job
+    left half written is never the newest.
+    """
+    folder = f"{path}/states/{STATE_COLUMN}={run_id}"
+    df.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(*partition_by).parquet(folder)
+    done = df.sparkSession.range(1).select(F.lit(run_id).cast("bigint").alias(STATE_COLUMN))
+    overwrite(done, f"{path}/complete/run={run_id}")
 
 
 def load_state(spark: SparkSession, path: str, run_id: int | None = None) -> DataFrame:
-    """State of a given run, or the newest; only that folder is scanned.
+    """State of a given run, or of the newest complete one, with the columns of that run.
 
-    The newest run is found from the file listing, which shows an empty state too.
+    Only that run's folder is listed and scanned.
     """
-    listing = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(path)
-    wanted = F.lit(run_id) if run_id is not None else listing.agg(F.max(STATE_COLUMN)).scalar()
-    return spark.read.parquet(path).where(F.col(STATE_COLUMN) == wanted).drop(STATE_COLUMN)
+    if run_id is None:
+        newest = spark.read.parquet(f"{path}/complete").agg(F.max(STATE_COLUMN).alias("run")).first()
+        run_id = newest["run"]
+    return spark.read.parquet(f"{path}/states/{STATE_COLUMN}={run_id}")
+
+
+def write_run(df: DataFrame, path: str, run_id: int, partition_by: Sequence[str] = ()) -> None:
+    """Write the rows of a run to a cumulative table; a retry replaces them and adds none twice."""
+    overwrite(df.withColumn(RUN_COLUMN, F.lit(run_id)), path, [RUN_COLUMN, *partition_by])
 
 
 def roll_to_history(current: DataFrame, history_path: str, current_path: str, run_id: int) -> None:
-    """Append the current rows to the history, then leave the current table empty."""
-    append(current, history_path)
+    """Add the current rows to the history of this run, then leave the current table empty.
+
+    ``current`` must be the state of an earlier run: a retry then reads the same rows again.
+    """
+    write_run(current, history_path, run_id)
     save_state(current.limit(0), current_path, run_id)
 
 
-def archive(df: DataFrame, as_of: date | datetime, current_path: str, history_path: str,
+def archive(df: DataFrame, as_of: date | datetime, current_path: str, history_path: str, run_id: int,
             stamp: str = "evaluation_date", partition_by: Sequence[str] = ()) -> None:
-    """Stamp a snapshot, write it as the current table and append it to the history.
+    """Stamp a snapshot, write it as the current table and add it to the history of its run.
 
     The current table is read back for the second write, so the rows are computed
     once.
@@ -72,7 +92,7 @@ def archive(df: DataFrame, as_of: date | datetime, current_path: str, history_pa
     spark = df.sparkSession
     day = as_of.date() if isinstance(as_of, datetime) else as_of
     overwrite(df.withColumn(stamp, F.lit(day)), current_path)
-    append(spark.read.parquet(current_path), history_path, partition_by)
+    write_run(spark.read.parquet(current_path), history_path, run_id, partition_by)
 
 
 def stamp(df: DataFrame, **values) -> DataFrame:

@@ -10,29 +10,44 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from tidewell.sources.files import count_records
+from tidewell.sources.files import count_records, discover_files, plain_path
+
+NO_AGE_LIMIT = "36500d"  # Spark leaves out files a week older than the newest seen, unless told otherwise
+EMPTY_BATCH = -1  # batch under which files without content are listed
 
 
 def read_lines(spark: SparkSession, root: str, pattern: str = "*", max_files: int = 10_000) -> DataFrame:
     """Lines of arriving files with their file metadata; whole files per batch."""
     return (spark.readStream.format("text").option("lineSep", "\n").option("pathGlobFilter", pattern)
-            .option("recursiveFileLookup", "true").option("maxFilesPerTrigger", max_files).load(root)
+            .option("recursiveFileLookup", "true").option("maxFilesPerTrigger", max_files)
+            .option("maxFileAge", NO_AGE_LIMIT).load(root)
             .select("value", "_metadata"))
 
 
-def batch_facts(lines: DataFrame) -> DataFrame:
-    """Name, folder and record count of the files in a batch."""
-    parts = F.split("path", "/")
+def batch_facts(lines: DataFrame, root: str) -> DataFrame:
+    """Name, folder below ``root`` and record count of the files in a batch."""
+    path = plain_path(F.col("path"))
+    below = F.substring(path, F.length(plain_path(F.lit(root.rstrip("/")))) + 2, F.lit(1 << 30))
     return count_records(lines).select(
-        "path", F.element_at(parts, -2).alias("folder"), F.element_at(parts, -1).alias("file_name"), "record_count")
+        path.alias("path"), F.regexp_replace(below, "/?[^/]*$", "").alias("folder"),
+        F.element_at(F.split(path, "/"), -1).alias("file_name"), "record_count")
+
+
+def write_empty(spark: SparkSession, root: str, target: str, pattern: str) -> None:
+    """List the files without content, of which a stream sees nothing; each run lists all of them anew."""
+    empty = discover_files(spark, root, pattern).where("file_size = 0").select(
+        "path", "folder", "file_name", F.lit(0).cast("long").alias("record_count"))
+    (empty.withColumn("batch_id", F.lit(EMPTY_BATCH)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy("batch_id").parquet(target))
 
 
 def stream_file_facts(spark: SparkSession, root: str, target: str, checkpoint: str, pattern: str = "*",
                       max_files: int = 10_000) -> StreamingQuery:
-    """Write the facts of all files not seen before, then stop."""
+    """Write the facts of all files not seen before, however old, then stop."""
+    write_empty(spark, root, target, pattern)
 
     def write(lines: DataFrame, batch_id: int) -> None:
-        facts = batch_facts(lines).withColumn("batch_id", F.lit(batch_id))
+        facts = batch_facts(lines, root).withColumn("batch_id", F.lit(batch_id))
         (facts.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy("batch_id").parquet(target))
 
