@@ -15,9 +15,9 @@ tokens, so documents with equal sets are one vertex from the start.
    combination of the two.
 3. Members of a key are compared with ``CENTRES`` of them, and the links found are joined into
    components. Only keys whose members still lie in several components are compared in
-   full, and only across components. Sizes and 256-bit parities of the tokens (sets whose parities
-   differ in more places than linked sets differ in tokens can't link) prune pairs inside the joins;
-   what is left is verified on whole sets.
+   full, and only across components, a pair under the first key that both have. Sizes and parities of
+   the tokens in 1024 classes (sets differ in at least as many tokens as parities) prune pairs
+   inside the joins; what is left is verified on whole sets.
 
 Nothing is capped: hot keys are reduced by components, not cut.
 
@@ -43,7 +43,7 @@ PER_CENT = 75
 SKETCH = 0.35  # part of the hash space used to leave sets without partners out
 FREQUENT = 64  # sets that hold a token; above it the token is keyed by combinations
 SMALL = 16  # sets of fewer tokens use no combinations
-CENTRES = 2
+CENTRES = 3
 
 FOLD = bytes.maketrans(string.ascii_uppercase.encode(), string.ascii_lowercase.encode())
 ODD = np.uint64(0x9E3779B97F4A7C15)
@@ -145,20 +145,21 @@ def meet(rows: DataFrame) -> DataFrame:
     return seen.where(told).select("kind", "key", "sid", F.shiftright("val", KIND_BITS).alias("val"))
 
 
-PARITY = ("p0", "p1", "p2", "p3")  # 256 bits: bit h is set if an odd number of tokens hash to h
+BITS = 1024
+PARITY = tuple(f"p{k}" for k in range(BITS // 64))  # bit h is set if an odd number of tokens hash to h
 
 
 def sets_of(docs: DataFrame) -> DataFrame:
-    """(sid, n, p0..p3, tokens) of each text that has any."""
+    """(sid, n, parity, tokens) of each text that has any."""
 
     def run(batches):
         for batch in batches:
             sets = [t for t in map(tokens_of, texts_of(batch["text"])) if len(t)]
             if not sets:
                 continue
-            parity = np.zeros((len(sets), 4), np.uint64)
+            parity = np.zeros((len(sets), len(PARITY)), np.uint64)
             for k, tokens in enumerate(sets):
-                odd = np.bincount((tokens & np.uint64(255)).astype(np.int64), minlength=256) & 1
+                odd = np.bincount((tokens & np.uint64(BITS - 1)).astype(np.int64), minlength=BITS) & 1
                 parity[k] = np.packbits(odd.astype(np.uint8), bitorder="little").view(np.uint64)
             sizes = [len(t) for t in sets]
             yield {"sid": [set_id(t) for t in sets], "n": sizes, "tokens": lists_of(np.concatenate(sets), sizes)} | {
@@ -211,13 +212,13 @@ def prefix_keys(n: int, counts: np.ndarray, tokens: np.ndarray) -> np.ndarray:
 
 
 def prefix_rows(sets: DataFrame) -> DataFrame:
-    """(key, sid, n, p0..p3): each set under each of its keys."""
+    """(key, sid): each set under each of its keys."""
     tokens = sets.select("sid", F.explode("tokens").alias("token"))
     counts = tokens.groupBy("token").agg(F.count("*").alias("count")).where("count > 1")
     held = tokens.join(counts, "token").groupBy("sid").agg(
         F.sort_array(F.collect_list(F.struct("count", "token"))).alias("held"))
-    rows = sets.drop("tokens").join(held, "sid")
-    flat = rows.select("sid", "n", *PARITY, F.col("held.count").alias("counts"), F.col("held.token").alias("tokens"))
+    rows = sets.select("sid", "n").join(held, "sid")
+    flat = rows.select("sid", "n", F.col("held.count").alias("counts"), F.col("held.token").alias("tokens"))
 
     def run(batches):
         for batch in batches:
@@ -226,13 +227,20 @@ def prefix_rows(sets: DataFrame) -> DataFrame:
             counts, tokens = batch["counts"].flatten().to_numpy(), batch["tokens"].flatten().to_numpy().view(np.uint64)
             keys = [prefix_keys(n[k], counts[(ends[k - 1] if k else 0):end], tokens[(ends[k - 1] if k else 0):end])
                     for k, end in enumerate(ends)]
-            sizes = [len(k) for k in keys]
-            owner = np.repeat(np.arange(len(n)), sizes)
-            for part in np.array_split(np.arange(len(owner)), len(owner) // 100_000 + 1):
-                yield {"key": np.concatenate(keys)[part]} | {
-                    c: batch[c].take(owner[part]) for c in ("sid", "n", *PARITY)}
+            owner = batch["sid"].to_numpy().repeat([len(k) for k in keys])
+            flat_keys = np.concatenate(keys)
+            for at in range(0, len(owner), 100_000):
+                yield {"key": flat_keys[at:at + 100_000], "sid": owner[at:at + 100_000]}
 
-    return map_batches(flat, run, "key bigint, sid bigint, n bigint, " + ", ".join(f"{p} bigint" for p in PARITY))
+    return map_batches(flat, run, "key bigint, sid bigint")
+
+
+def distinct_groups(keyed: DataFrame) -> DataFrame:
+    """``keyed`` with one key of those that have the same members, and none with a single member."""
+    members = keyed.groupBy("key").agg(
+        F.count("*").alias("members"), *[F.bit_xor(F.xxhash64("sid", F.lit(k))).alias(f"who{k}") for k in (1, 2)])
+    kept = members.where("members > 1").groupBy("members", "who1", "who2").agg(F.min("key").alias("key"))
+    return keyed.join(kept.select("key"), "key", "left_semi")
 
 
 def may_link(a: dict[str, Column], b: dict[str, Column]) -> Column:
@@ -250,7 +258,7 @@ def columns_of(prefix: str) -> dict[str, Column]:
 
 def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """Rows of ``pairs`` (a, b) whose sets link."""
-    tokens = sets.select("sid", F.col("tokens"))
+    tokens = sets.select("sid", "tokens")
     left = pairs.distinct().join(tokens.toDF("a", "ta"), "a")
     both = left.join(tokens.toDF("b", "tb"), "b")
     common = F.size(F.array_intersect("ta", "tb"))
@@ -290,11 +298,11 @@ def components(links: DataFrame) -> DataFrame:
 
 def linked_sets(sets: DataFrame) -> DataFrame:
     """(sid, component) of the sets that link with another one."""
-    keyed = staged(prefix_rows(sets), "keys")
+    keyed = distinct_groups(staged(prefix_rows(sets), "keys"))
+    keyed = staged(keyed.join(sets.select("sid", "n", *PARITY), "sid"), "groups")
     member = F.struct("sid", "n", *PARITY)
     groups = keyed.groupBy("key").agg(
-        F.count("*").alias("members"),
-        *[F.min_by(member, F.xxhash64("sid", F.lit(k))).alias(f"centre{k}") for k in range(CENTRES)]).where("members > 1")
+        *[F.min_by(member, F.xxhash64("sid", F.lit(k))).alias(f"centre{k}") for k in range(CENTRES)])
     a = columns_of("")
     centres = F.array(*[f"centre{k}" for k in range(CENTRES)])
     near = F.filter(centres, lambda c: (c["sid"] != a["sid"]) & may_link(a, {k: c[k] for k in a}))
@@ -306,10 +314,13 @@ def linked_sets(sets: DataFrame) -> DataFrame:
     placed = staged(placed, "placed")
     apart = placed.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high").select("key")
     live = placed.join(apart, "key", "left_semi")
-    x = live.select("key", *[F.col(c).alias(f"a_{c}") for c in ("sid", "n", *PARITY, "component")])
-    y = live.select("key", *[F.col(c).alias(f"b_{c}") for c in ("sid", "n", *PARITY, "component")])
+    # A pair is compared under the first key that both have, and under no other.
+    keys_of = live.groupBy("sid").agg(F.sort_array(F.collect_list("key")).alias("keys"))
+    live = staged(live.join(keys_of, "sid"), "live")
+    x, y = [live.select("key", *[F.col(c).alias(f"{side}_{c}") for c in ("sid", "n", *PARITY, "component", "keys")]) for side in "ab"]
+    first = F.element_at(F.array_intersect("a_keys", "b_keys"), 1) == x["key"]
     across = x.join(y, (x["key"] == y["key"]) & (F.col("a_component") < F.col("b_component"))
-                    & may_link(columns_of("a_"), columns_of("b_")))
+                    & may_link(columns_of("a_"), columns_of("b_")) & first)
     rest = staged(verified(across.select(F.col("a_sid").alias("a"), F.col("b_sid").alias("b")), sets), "rest")
     return components(links.unionAll(rest))
 
