@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tidewell.params import RunParams
 from tidewell.plans import adherence, claims, eligibility, members, outreach, runs
 from tidewell.plans.feeds import CLIENT_IDS, MEDICAL_FEEDS, PHARMACY_FEEDS
+from tidewell.sources import tables
 
 P = RunParams(client_id=66, run_year=2020, as_of=datetime(2020, 7, 1, 12), run_id=4)
 
@@ -168,3 +169,59 @@ def test_feeds_are_complete():
     assert len(MEDICAL_FEEDS[62].columns) == 55
     for feed in PHARMACY_FEEDS.values():
         assert {"transaction_id", "patient_id", "date_of_service", "product_service_id"} <= set(feed.columns)
+
+
+def test_load_reads_its_own_partition(spark, tmp_path, table, values):
+    """Rows of other clients and years are read for the new state alone, not for the joins."""
+    path = str(tmp_path / "claims")
+    schema = "transaction_id string, pmd_client_id bigint, patient_id string, runyear int, claimexccd int, update_datetime timestamp_ntz"
+    tables.save_state(table(schema, ("a", 67, "p", 2020, None, None), ("b", 67, "p", 2019, None, None), ("c", 15, "p", 2020, None, None)),
+                      path, 1, ["pmd_client_id", "runyear"])
+    state = tables.load_state(spark, path)
+    mine, others = claims.own_partition(state, RunParams(client_id=67, run_year=2020, as_of=P.as_of))
+    plan = mine._jdf.queryExecution().executedPlan().toString()
+    filters = plan[plan.index("PartitionFilters"):]
+    assert "pmd_client_id" in filters and "runyear" in filters and "Filter (" not in plan.split("FileScan")[0]
+    assert values(mine, "transaction_id") == [("a",)] and values(others, "transaction_id") == [("b",), ("c",)]
+
+
+def test_this_years_calls_are_filtered_in_the_scan(spark, tmp_path, table):
+    calls = table("id int, status_detail_id int, created_at timestamp_ntz, entity_type string, entity_id int",
+                  (1, 7, datetime(2020, 3, 1), "patient", 1))
+    calls.write.parquet(str(tmp_path / "calls"))
+    links = table("call_id int, dtp_id int", (1, 1))
+    dtps = table("id int, pmd_patient_id bigint, measure_id int", (1, 1, 1))
+    measures = table("id int, key string", (1, "RAS"))
+    languages = table("primary boolean, entity_type string, entity_id int, language_id int", (True, "patient", 1, 54))
+    last = outreach.last_call(spark.read.parquet(str(tmp_path / "calls")), links, dtps, measures, languages, P)
+    assert "GreaterThanOrEqual(created_at,2020-01-01T00:00)" in last._jdf.queryExecution().executedPlan().toString()
+    assert last.count() == 1
+
+
+def test_members_marked_in_the_file_are_inactive(table, values):
+    p = RunParams(client_id=67, run_year=2020, as_of=P.as_of)
+    rows = people(table).withColumn("pmd_client_id", F.lit(67))
+    periods = table("patient_unique_ident int, pmd_client_id int, eligibilitystartdate date, eligibilityenddate date, runyear int",
+                    *[(k, 67, date(2020, 1, 1), date(2020, 12, 31), 2020) for k in (1, 2, 3)])
+    membership = table("patient_id string, runyear int, nurtur_member string", ("a", 2020, "y"), ("b", 2019, "y"), ("c", 2020, "n"))
+    got, _ = eligibility.activate(rows, periods, rows, p, membership=membership)
+    assert [k for k, active in values(got, "patient_unique_ident", "active") if active] == [2, 3]
+
+
+def test_names_are_grouped_before_they_are_cut(table, values):
+    from tidewell.operators.totals import collapse
+    name = "n" * 60
+    rows = table("drug_name string, `drug description` string", (name + "1", "a"), (name + "2", "b"), (name + "2", "c"))
+    got = adherence.cut_to_width(collapse(rows, ["drug description"]))
+    assert values(got) == [(name, "a"), (name, "c")]
+
+
+def test_upsert_does_not_depend_on_column_order(table, values):
+    from tidewell.operators.changes import upsert
+    target = table("k int, a string, b int", (1, "old", 0))
+    source = table("k int, a string, b int", (1, "x", 1), (1, "y", 0), (2, "z", 5), (2, "z", 6))
+    by_b = [values(upsert(target, source.select(*c), ["k"], ["a", "b"], order=["b"]), "k", "a", "b")
+            for c in (("k", "a", "b"), ("b", "a", "k"))]
+    assert by_b[0] == by_b[1] == [(1, "x", 1), (2, "z", 6)]
+    plain = [values(upsert(target, source.select(*c), ["k"], ["a", "b"]), "k", "a", "b") for c in (("k", "a", "b"), ("b", "a", "k"))]
+    assert plain[0] == plain[1]

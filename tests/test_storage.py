@@ -6,7 +6,7 @@ from datetime import datetime
 import pytest
 
 from tidewell.params import RunParams
-from tidewell.plans.arrivals import file_arrival
+from tidewell.plans.arrivals import arrived_files, file_arrival
 from tidewell.session import shared_folder
 from tidewell.sources import files, tables
 from tidewell.streaming.arrivals import stream_file_facts
@@ -118,3 +118,58 @@ def test_arrival_queues_each_client_by_its_own_files(spark, feed, table, values)
 
 def test_shared_folder_is_new_each_time(spark):
     assert shared_folder(spark) != shared_folder(spark)
+
+
+def test_stream_reads_old_and_empty_files(spark, feed, tmp_path):
+    root, contents = feed
+    target, seen = str(tmp_path / "facts"), str(tmp_path / "seen")
+
+    def run():
+        stream_file_facts(spark, root, target, seen, "*.txt").awaitTermination()
+        return {r.file_name: r.record_count for r in spark.read.parquet(target).collect()}
+
+    first = run()
+    assert first["empty.txt"] == 0
+    folder = os.path.join(root, "client one")
+    for name, days in (("twenty.txt", 20), ("years.txt", 2000)):
+        path = os.path.join(folder, name)
+        with open(path, "wb") as late:
+            late.write(b"h\n1\n")
+        when = os.path.getmtime(os.path.join(folder, "two.txt")) - days * 86400
+        os.utime(path, (when, when))
+    with open(os.path.join(folder, "nothing.txt"), "wb"):
+        pass
+    assert run() == {**first, "twenty.txt": 1, "years.txt": 1, "nothing.txt": 0}
+
+
+def test_locations_of_any_depth(spark, tmp_path, table, values):
+    for path in ("in/client78", "other/client78", "in/client78/sub", "in/client7"):
+        (tmp_path / path).mkdir(parents=True, exist_ok=True)
+        (tmp_path / path / "claims_1.txt").write_bytes(b"h\n1\n2\n")
+    entries = table("pmd_client_id int, filetype string, filename string, filelocation string",
+                    (78, "claims", "claims_*.txt", "in/client78"), (79, "claims", "*.txt", "in/client78/"), (80, "claims", "*", "absent"))
+    found = arrived_files(spark, str(tmp_path), entries)
+    # The pattern's head must follow the location at once; a leading star reaches below it too.
+    assert values(found, "pmd_client_id", "file_name", "record_count") == [
+        (78, "claims_1.txt", 2), (79, "claims_1.txt", 2), (79, "claims_1.txt", 2)]
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    scans = [line for line in plan.splitlines() if "FileScan text" in line]
+    assert scans and all("(1 paths)" in line and "/in/" in line for line in scans)
+
+
+def test_state_keeps_its_own_columns_and_marker(spark, tmp_path, table, values):
+    path = str(tmp_path / "state")
+    tables.save_state(table("k int", (1,)), path, 1)
+    tables.save_state(table("k int, flag boolean", (1, True)), path, 2)
+    assert tables.load_state(spark, path).columns == ["k", "flag"]
+    assert tables.load_state(spark, path, 1).columns == ["k"]
+    # A run that died before its marker was written is not the newest.
+    tables.overwrite(table("k int", (9,)), f"{path}/states/state_run=3")
+    assert values(tables.load_state(spark, path)) == [(1, True)]
+
+
+def test_history_of_a_repeated_run(spark, tmp_path, table, values):
+    path = str(tmp_path / "history")
+    for run, rows in ((1, [(1,), (2,)]), (2, [(3,)]), (2, [(3,)])):
+        tables.write_run(table("k int", *rows), path, run)
+    assert values(spark.read.parquet(path), "history_run", "k") == [(1, 1), (1, 2), (2, 3)]
