@@ -36,7 +36,7 @@ BEGINNINGS = (4, 5, 6)  # letters of the beginnings of words that may be entries
 LEAST_ROWS = 3  # toxic rows in which an entry must stand, and
 LEAST_SHARE = 0.004  # the share of all toxic rows
 LEAST_ODDS = 2.0  # log-odds of an entry in toxic rows, against others
-RIDGE, STEPS = 0.3, 400  # of the logistic model
+RIDGE, STEPS = 0.15, 600  # of the logistic model
 MIX = 0.25  # weight of the lexicon in the character model
 LONGEST = 32  # characters of a disguised word
 KNOWN_TOKENS = 300_000  # tokens that a task remembers; when full it starts again
