@@ -146,13 +146,13 @@ def fill_account(claims: DataFrame, members: DataFrame, periods: DataFrame, p: R
         also={"update_datetime": dates.moment(p.as_of)})
 
 
-def load_claims(raw: DataFrame, drugs: DataFrame, existing: DataFrame, feed: PharmacyFeed, p: RunParams,
-                members: DataFrame | None = None, periods: DataFrame | None = None,
-                exclude_patients: tuple = ()) -> DataFrame:
-    """New state of the pharmacy claims after loading one client's feed.
+def changed_claims(raw: DataFrame, drugs: DataFrame, existing: DataFrame, feed: PharmacyFeed, p: RunParams,
+                   members: DataFrame | None = None, periods: DataFrame | None = None,
+                   exclude_patients: tuple = ()) -> DataFrame:
+    """The client's claims of the run year after loading its feed, and new claims of other years.
 
-    Only claims of the client and run year, and the new ones, go through the joins;
-    of all others just the keys are read, and their rows pass by.
+    Claims of the client and run year, and the new ones, go through the joins; of all
+    others just the keys of the client are read.
     """
     mine, others = own_partition(existing, p)
     kept = drop_later_sequences(mine, raw, feed, p)
@@ -161,7 +161,15 @@ def load_claims(raw: DataFrame, drugs: DataFrame, existing: DataFrame, feed: Pha
     state = apply_reversals(state, raw, feed, p)
     if feed.account_from_period and periods is not None:
         state = fill_account(state, members, periods, p)
-    return state.unionByName(others, allowMissingColumns=True)
+    return state
+
+
+def load_claims(raw: DataFrame, drugs: DataFrame, existing: DataFrame, feed: PharmacyFeed, p: RunParams,
+                members: DataFrame | None = None, periods: DataFrame | None = None,
+                exclude_patients: tuple = ()) -> DataFrame:
+    """New state of the pharmacy claims after loading one client's feed; rows of other clients and years pass by."""
+    changed = changed_claims(raw, drugs, existing, feed, p, members, periods, exclude_patients)
+    return changed.unionByName(own_partition(existing, p)[1], allowMissingColumns=True)
 
 
 def own_partition(existing: DataFrame, p: RunParams) -> tuple[DataFrame, DataFrame]:
