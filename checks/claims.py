@@ -485,6 +485,20 @@ def _(t):
     return bad.select("errorcode", "claim_id", "claim_line_num", "admission_date", "part")
 
 
+@query("good_load_lines", """
+    select cast(l_orderkey as varchar) as claim_id, l_linenumber as claim_line_num, l_partkey as part, cast(l_shipdate as date) as admission_date
+    from (select *, row_number() over (partition by l_orderkey, l_linenumber order by l_partkey, l_shipdate) as r
+          from (select l_orderkey, l_linenumber, l_partkey, l_shipdate from lineitem
+                union all select l_orderkey, l_linenumber, l_partkey, l_shipdate from lineitem where l_returnflag = 'R')) where r = 1""")
+def _(t):
+    twice = t.lineitem.unionByName(t.lineitem.where("l_returnflag = 'R'"))  # a repeat of a line is an error, the line itself is good
+    rows = twice.select(as_text("l_orderkey").alias("claim_id"), C("l_linenumber").alias("claim_line_num"), C("l_partkey").alias("part"),
+                        F.to_date("l_shipdate").alias("admission_date"), F.lit(62).alias("pmd_client_id"))
+    none = rows.where("false").withColumn("errorcode", F.lit(999))
+    good, _ = claims.split_errors(rows, none, ("claim_id", "claim_line_num"))
+    return good.select("claim_id", "claim_line_num", "part", "admission_date")
+
+
 @query("orphan_count", """
     select count(*) as orphaned_measureclaims_to_date from lineitem join orders on l_orderkey = o_orderkey
     where l_partkey in (select p_partkey from part where p_type = 'PROMO')

@@ -315,9 +315,14 @@ def _(t):
     select o_orderkey, o_custkey, o_orderdate from orders
     where not exists (select 1 from lineitem where l_orderkey = o_orderkey and cast(l_shipdate as date) = cast(o_orderdate as date))""")
 def _(t):
-    day = F.to_date("o_orderdate")
-    return changes.delete_matched(t.orders, t.lineitem, [("o_orderkey", "l_orderkey"), (day, F.to_date("l_shipdate"))]).select(
-        "o_orderkey", "o_custkey", "o_orderdate")
+    from tidewell.plans.claims import clear_errors
+
+    def keyed(rows, claim, day):
+        return rows.withColumns({
+            "runyear": F.year(day), "pmd_client_id": F.lit(62), "claim_id": F.col(claim).cast("string"),
+            "claim_line_num": F.lit(1), "admission_date": F.to_date(day)})
+    cleared = clear_errors(keyed(t.orders, "o_orderkey", "o_orderdate"), keyed(t.lineitem, "l_orderkey", "l_shipdate"))
+    return cleared.select("o_orderkey", "o_custkey", "o_orderdate")
 
 
 @query("open_versions", """

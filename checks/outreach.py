@@ -94,7 +94,7 @@ LINKS = """
           where c_acctbal >= 0 and (detail is null or detail = 11 and tp >= 1 or detail = 8 and tp >= 3 or detail = 18 and tp >= 7
                 or detail = 15 and tp >= 10))
     select pat as pmd_patient_id, c_name as patient_name, phone as phone_number, c_nationkey as pmd_client_id, flt as filter,
-           max(o_orderpriority) as measureadh_status, min(m) as stockinhand, sum(m)::bigint as adh_calllist_order,
+           max(o_orderpriority) as measureadh_status, min(m) as stockinhand, sum(m * case when pat % 3 = 0 then 2 else 1 end)::bigint as adh_calllist_order,
            count(distinct o_orderpriority) as measure_count, min(o_orderkey) as dtp_touched_count, min(tp) as time_priority,
            date '2024-02-01' as campaign_date
     from j group by 1, 2, 3, 4, 5""")
@@ -116,7 +116,9 @@ def _(t):
     languages = t.customer.select(
         F.lit("PATIENT").alias("entity_type"), C("c_custkey").alias("entity_id"), F.lit(True).alias("primary"),
         F.when(C("c_mktsegment") == "BUILDING", 54).when(C("c_mktsegment") != "MACHINERY", 3).alias("language_id"))
-    rows = outreach.campaign_list(detail, measures(t), dtps(t), visibilities(t), patients, phones, calls(t), call_dtps(t),
+    # Some members have a second opportunity of each measure, never called about.
+    second = dtps(t).where("pmd_patient_id % 3 = 0").withColumn("id", -C("id"))
+    rows = outreach.campaign_list(detail, measures(t), dtps(t).unionByName(second), visibilities(t), patients, phones, calls(t), call_dtps(t),
                                   languages, P)
     return rows.select("pmd_patient_id", "patient_name", "phone_number", "pmd_client_id", "filter", "measureadh_status",
                        "stockinhand", "adh_calllist_order", "measure_count", "dtp_touched_count", "time_priority", "campaign_date")

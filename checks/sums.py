@@ -4,18 +4,22 @@ from pyspark.sql import functions as F
 
 from checks.registry import query
 from tidewell.operators import picking, totals
+from tidewell.plans.outreach import campaign_rollup
 from tidewell.plans.runs import NOTHING_QUEUED, queue_pick
 from tidewell.sources.watch import active_watch_config, html_report
 
 
 @query("grouped_measures", """
-    select l_suppkey, max(l_returnflag) as status, min(l_quantity) as least, sum(l_linenumber)::bigint as order_sum,
-           count(distinct l_linestatus) as n_measures
+    select l_suppkey, max(l_returnflag) as measureadh_status, min(l_quantity) as stockinhand,
+           sum(l_linenumber * (1 + l_orderkey % 3))::bigint as adh_calllist_order, count(distinct l_linestatus) as measure_count,
+           min(l_partkey) as dtp_touched_count, min(l_tax) as time_priority
     from lineitem group by 1""")
 def _(t):
-    return t.lineitem.groupBy("l_suppkey").agg(
-        F.max("l_returnflag").alias("status"), F.min("l_quantity").alias("least"),
-        F.sum("l_linenumber").alias("order_sum"), F.countDistinct("l_linestatus").alias("n_measures"))
+    rows = t.lineitem.select(
+        "l_suppkey", F.col("l_returnflag").alias("measureadh_status"), F.col("l_quantity").alias("stockinhand"),
+        F.col("l_linenumber").alias("adh_calllist_order"), (1 + F.col("l_orderkey") % 3).alias("n_open"),
+        F.col("l_linestatus").alias("measureuse"), F.col("l_partkey").alias("dtp_touched_count"), F.col("l_tax").alias("time_priority"))
+    return campaign_rollup(rows, ["l_suppkey"])
 
 
 @query("collapse_duplicates", """

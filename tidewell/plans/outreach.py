@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -60,6 +61,17 @@ def last_call(calls: DataFrame, call_dtps: DataFrame, dtps: DataFrame, measures:
         codes.map_codes(language, LANGUAGES, OTHER_LANGUAGE).alias("call_filter"))
 
 
+def campaign_rollup(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """One row per key from a row per measure, which stands for ``n_open`` opportunities."""
+    return rows.groupBy(*keys).agg(
+        F.max("measureadh_status").alias("measureadh_status"),
+        F.min("stockinhand").alias("stockinhand"),
+        F.sum(F.col("adh_calllist_order") * F.col("n_open")).alias("adh_calllist_order"),
+        F.countDistinct("measureuse").alias("measure_count"),
+        F.min("dtp_touched_count").alias("dtp_touched_count"),
+        F.min("time_priority").alias("time_priority"))
+
+
 CAMPAIGN_KEYS = ("pmd_patient_id", "patient_name", "patient_count", "phone_number", "client_name", "pmd_client_id",
                  "zip_code", "lowbound_ts", "highbound_ts", "state_code", "time_zone", "phone_type", "filter",
                  "planidentifier_pclm")
@@ -89,14 +101,7 @@ def campaign_list(detail: DataFrame, measures: DataFrame, dtps: DataFrame, visib
     rows = rows.where(retry_due("status_detail_id", "time_priority")).withColumns({
         "phone_number": text.varchar(F.coalesce("best_number", "phone_number"), 10),
         "filter": F.coalesce("call_filter", "filter")})
-    return rows.groupBy(*CAMPAIGN_KEYS).agg(
-        F.max("measureadh_status").alias("measureadh_status"),
-        F.min("stockinhand").alias("stockinhand"),
-        F.sum(F.col("adh_calllist_order") * F.col("n_open")).alias("adh_calllist_order"),
-        F.countDistinct("measureuse").alias("measure_count"),
-        F.min("dtp_touched_count").alias("dtp_touched_count"),
-        F.min("time_priority").alias("time_priority"),
-    ).withColumn("campaign_date", F.lit(p.tomorrow))
+    return campaign_rollup(rows, CAMPAIGN_KEYS).withColumn("campaign_date", F.lit(p.tomorrow))
 
 
 # ---- call history ---------------------------------------------------------------
