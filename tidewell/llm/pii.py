@@ -430,7 +430,8 @@ def trained_tagger(docs: DataFrame) -> Tagger:
     rng = np.random.default_rng(SEED)
     windows, tags = [], []
     for kind in range(-1, len(KINDS)):
-        picked = rows.where(F.col("kind") == kind).dropDuplicates(["text"]).orderBy(F.xxhash64("text"), "text").limit(SAMPLE).collect()
+        picked = rows.where(F.col("kind") == kind).groupBy("text").agg(F.min("spans").alias("spans"))
+        picked = picked.orderBy(F.xxhash64("text"), "text").limit(SAMPLE).collect()
         for r in picked:
             text, spans = rewritten(r["text"], [tuple(s) for s in r["spans"]], rng)
             start = int(rng.integers(0, max(1, len(text) - WIDTH + 1)))
