@@ -29,7 +29,7 @@ def test_lm_gradient():
     network = lm_scoring.Network([10] * 50)
     rng = np.random.default_rng(1)
     numbers, sizes = words.numbers([" ".join(f"w{k}" for k in rng.integers(0, 50, 300))])
-    at = lm_scoring.places_of(numbers, sizes)
+    at = lm_scoring.places_of(sizes)
     before = network.log_p(numbers, at).mean()
     trainer = lm_scoring.Trainer(network, 0.01)
     assert trainer.step(numbers, at) == pytest.approx(before, abs=1e-3)
@@ -47,6 +47,22 @@ def test_lm_probabilities_add_up():
     assert total == pytest.approx(1, abs=1e-3)
 
 
+def test_lm_windows_of_a_round():
+    """What a round looks up is what it needs, at the same places."""
+    words = lm_scoring.Words(["a", "b", "c"])
+    texts = ["", "a b c d e f g h i j k l m n o p q r s t u v w x y z", "a", "b a", "c " * 40]
+    whole, sizes = words.numbers(texts)
+    at = lm_scoring.places_of(sizes)
+    assert (np.flatnonzero(whole) == at).all()
+    nth = np.concatenate([np.arange(n) for n in sizes])
+    for every, first in ((16, 1), (6, 3), (3, 0), (1, 0)):
+        some, again = words.numbers(texts, every, first)
+        assert (again == sizes).all()
+        centres = at[nth % every == first % every]
+        for place in (*lm_scoring.PLACES, 0):
+            assert (some[centres + place] == whole[centres + place]).all()
+
+
 def test_lm_prefers_order(documents):
     rng = random.Random(1)
     subjects, verbs, ends = ["cat", "dog", "fox"], ["sees", "likes"], ["red", "blue"]

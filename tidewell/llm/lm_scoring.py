@@ -32,6 +32,7 @@ UNITS = 24
 PLACES = (-2, -1, 1, 2)
 CLASSES = 64
 ROUNDS = ((16, 1, 0.1), (6, 3, 0.05))  # every kth window, from the nth on; learning rate
+LARGEST = 60.0  # exponent; beyond it the sum of a softmax would leave the range of numbers
 SEEN = 1e-8  # squared gradients that count as seen at the start
 BATCH = 4096  # windows of a training step
 SCORED = 1 << 15  # windows that are scored together
@@ -56,14 +57,23 @@ class Words(dict):
             self.met += 1
         return number
 
-    def numbers(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """Numbers of the words of texts, two zeros around each text, and words per text."""
+    def numbers(self, texts: list[str], every: int = 1, first: int = 0) -> tuple[np.ndarray, np.ndarray]:
+        """Numbers of the words of texts, two zeros around each text, and words per text.
+
+        With ``every`` only the words in the windows of every kth word, from the nth on, are looked
+        up; the others are left zero.
+        """
         look = self.__getitem__
+        needed = {(first + d) % every for d in (*PLACES, 0)}
         parts, sizes = [np.zeros(2, np.int32)], np.zeros(len(texts), np.int64)
         for k, text in enumerate(texts):
             words = text.lower().split()
             sizes[k] = len(words)
-            parts += [np.fromiter(map(look, words), np.int32, len(words)), np.zeros(2, np.int32)]
+            found = np.zeros(len(words) + 2, np.int32)
+            for n in needed:
+                some = words[n::every]
+                found[n:len(words):every] = np.fromiter(map(look, some), np.int32, len(some))
+            parts.append(found)
         return np.concatenate(parts), sizes
 
 
@@ -171,8 +181,7 @@ class Trainer:
         target = words[at]
         h = n.hidden(words, at)
         scores = h @ n.to_class + n.class_bias
-        scores -= scores.max(1, keepdims=True)
-        p = np.exp(scores)
+        p = np.exp(np.minimum(scores, LARGEST, out=scores), out=scores)
         p /= p.sum(1, keepdims=True)
         rows = np.arange(len(at))
         total = float(np.log(p[rows, target % CLASSES] + 1e-30).sum())
@@ -185,8 +194,7 @@ class Trainer:
             if end > start:
                 part, inner = h[start:end], target[start:end] // CLASSES
                 scores = part @ n.to_word[k] + n.word_bias[k]
-                scores -= scores.max(1, keepdims=True)
-                q = np.exp(scores)
+                q = np.exp(np.minimum(scores, LARGEST, out=scores), out=scores)
                 q /= q.sum(1, keepdims=True)
                 mine = rows[:end - start]
                 total += float(np.log(q[mine, inner] + 1e-30).sum())
@@ -197,7 +205,7 @@ class Trainer:
             start = end
         dh *= (1 - h * h) / len(at)
         for k, place in enumerate(PLACES):
-            around = words[at + place]
+            around = words[at + place].astype(np.uint16)  # sorted by counting, as there are few numbers
             by_word = np.argsort(around, kind="stable")
             around = around[by_word]
             first = np.flatnonzero(np.r_[True, around[1:] != around[:-1]])
@@ -208,11 +216,9 @@ class Trainer:
         return total / len(at)
 
 
-def places_of(words: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+def places_of(sizes: np.ndarray) -> np.ndarray:
     """Places of all words in what ``Words.numbers`` gives."""
-    inside = words > 0
-    assert inside.sum() == sizes.sum()
-    return np.flatnonzero(inside)
+    return np.arange(sizes.sum()) + np.repeat(2 * np.arange(1, len(sizes) + 1), sizes)
 
 
 def train_round(docs: DataFrame, words: Words, network: Network, every: int, first: int, rate: float) -> Network:
@@ -241,8 +247,8 @@ def train_round(docs: DataFrame, words: Words, network: Network, every: int, fir
             waiting, held = [], 0
 
         for batch in batches:
-            numbers, sizes = words.numbers(texts_of(batch["text"]))
-            at = places_of(numbers, sizes)
+            numbers, sizes = words.numbers(texts_of(batch["text"]), every, first)
+            at = places_of(sizes)
             # Windows are chosen by their place in the text: another round takes others of every text.
             nth = np.arange(len(at)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
             at = at[(nth % every) == (first % every)]
@@ -292,7 +298,7 @@ def score(docs: DataFrame, model: tuple[Words, Network] | None = None) -> DataFr
         words, network = shared()
         for batch in batches:
             numbers, sizes = words.numbers(texts_of(batch["text"]))
-            at = places_of(numbers, sizes)
+            at = places_of(sizes)
             log_p = np.concatenate([np.zeros(0, np.float32), *[network.log_p(numbers, at[k:k + SCORED]) for k in range(0, len(at), SCORED)]])
             sums = np.bincount(np.repeat(np.arange(len(sizes)), sizes), log_p.astype(np.float64), minlength=len(sizes))
             yield {"doc_id": batch["doc_id"], "n_tokens": sizes, "log_likelihood": sums, "mean_log_p": sums / np.maximum(sizes, 1)}
