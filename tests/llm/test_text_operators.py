@@ -33,6 +33,12 @@ def test_article_is_found():
     assert html_extraction.main_text(PAGE.format(article=plain)) == want
 
 
+def test_lists_and_quotes_of_an_article_stay():
+    long = "A sentence of some length, with commas, and with stops. " * 80
+    article = f"<article><h1>Head</h1><p>{long}</p><ul><li>one thing<li>other</ul><blockquote><p>Said so.</p></blockquote><ul class=share><li>Post</ul></article>"
+    assert html_extraction.main_text(PAGE.format(article=article)).split("\n") == ["Head", long.strip(), "one thing", "other", "Said so."]
+
+
 @pytest.mark.parametrize("page, want", [
     ("", ""), ("<p>x", "x"), ("no tags at all, just text.", "no tags at all, just text."), ("a < b and c > d", "a < b and c > d"),
     ("<p>one<script>never closed <p>two", "one"), ("<!-- open", ""), ("<div a='>' b=\">\">text</div>", "text"),

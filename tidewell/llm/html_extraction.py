@@ -26,6 +26,7 @@ from pyspark.sql import DataFrame, SparkSession
 from tidewell.llm.common import map_batches, read_table, texts_of
 
 SHARE = 0.05  # of the largest smoothed ratio; paths below it are left out
+MARKED_SHARE = 0.001  # the same within an article that the page marks: lists and quotes stay, bare links go
 SPREAD = 1.0  # of the smoothing, in steps between paths of the tree
 REACH = 4  # steps beyond which paths don't smooth each other
 
@@ -180,7 +181,7 @@ def steps(a: tuple[str, ...], b: tuple[str, ...]) -> int:
     return len(a) + len(b) - 2 * common
 
 
-def content_paths(blocks) -> set[tuple[str, ...]]:
+def content_paths(blocks, share: float = SHARE) -> set[tuple[str, ...]]:
     """Paths whose smoothed, fused ratio is a fair share of the largest."""
     length, marks, count = defaultdict(int), defaultdict(int), defaultdict(int)
     for path, text, linked, _, _ in blocks:
@@ -190,7 +191,7 @@ def content_paths(blocks) -> set[tuple[str, ...]]:
     ratio = {p: length[p] / count[p] * (1 + marks[p] / count[p]) for p in count}
     weight = [math.exp(-(d / SPREAD) ** 2 / 2) for d in range(REACH + 1)]
     smooth = {p: sum(weight[d] * r for q, r in ratio.items() if (d := steps(p, q)) <= REACH) for p in ratio}
-    least = SHARE * max(smooth.values())
+    least = share * max(smooth.values())
     # A path of links alone has no text of its own, however near it is to some.
     return {p for p, s in smooth.items() if s >= least and length[p] > 0}
 
@@ -201,7 +202,7 @@ def main_text(page: str) -> str:
     blocks = marked or blocks
     if not blocks:
         return ""
-    paths = content_paths(blocks)
+    paths = content_paths(blocks, MARKED_SHARE if marked else SHARE)
     return "\n".join(b[1] for b in blocks if b[0] in paths)
 
 
