@@ -114,6 +114,18 @@ def held_out(doc_id: str = "doc_id") -> Column:
     return F.coalesce(bucket_of(doc_id) == 0, F.lit(True))
 
 
+def least_hashes(df: DataFrame, columns: list[str], most: int, rows: int) -> DataFrame:
+    """The ``most`` rows of ``rows`` with the least hashes of their columns.
+
+    Rows whose hash is too large to be among them stay where they are, so about twice
+    ``most`` rows are sorted, however many there are.
+    """
+    value = F.xxhash64(*columns)
+    if rows > 4 * most:
+        df = df.where(value < F.lit(int(-2 ** 63 + 2 ** 64 * (2 * most / rows))))
+    return df.orderBy(value, *columns).limit(most)
+
+
 def fresh(df: DataFrame, *names: str) -> list[str]:
     """Column names that ``df`` doesn't have, whatever its extra columns are called."""
     used = {c.lower() for c in df.columns}

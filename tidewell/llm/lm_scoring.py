@@ -24,7 +24,7 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewell.llm.common import map_batches, read_table, share, texts_of
+from tidewell.llm.common import map_batches, read_table, share, staged, texts_of
 
 FREQUENT, BUCKETS = 4032, 1023
 VOCABULARY = 1 + FREQUENT + BUCKETS  # 0 is what lies beyond a text
@@ -91,7 +91,17 @@ def frequent_words(docs: DataFrame) -> list[tuple[str, int]]:
         yield {"word": list(counts), "n": list(counts.values())}
 
     counted = map_batches(docs.select("text"), run, "word string, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
-    return [(r["word"], r["n"]) for r in counted.orderBy(F.desc("n"), "word").limit(FREQUENT).collect()]
+    # Only words of the largest counts are sorted: those from the class of counts on that makes up the number.
+    size = F.floor(F.log2("n") * 4).cast("int")
+    counted = staged(counted, "words")
+    classes = sorted(((r["size"], r["count"]) for r in counted.groupBy(size.alias("size")).count().collect()), reverse=True)
+    total, least = 0, 0
+    for least, n in classes:
+        total += n
+        if total >= FREQUENT:
+            break
+    top = counted.where(size >= least).orderBy(F.desc("n"), "word").limit(FREQUENT)
+    return [(r["word"], r["n"]) for r in top.collect()]
 
 
 class Network:

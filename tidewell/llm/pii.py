@@ -25,7 +25,7 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewell.llm.common import map_batches, read_table, share, staged, texts_of
+from tidewell.llm.common import least_hashes, map_batches, read_table, share, staged, texts_of
 
 KINDS = ("email", "ip", "card", "phone")
 WIDTH, STRIDE = 64, 32
@@ -425,13 +425,13 @@ def labelled_windows(docs: DataFrame) -> DataFrame:
 
 def trained_tagger(docs: DataFrame) -> Tagger:
     """Tagger from at most ``SAMPLE`` windows of each kind and as many without spans, least hashes first."""
-    rows = staged(labelled_windows(docs), "windows")
+    rows = staged(labelled_windows(docs).groupBy("kind", "text").agg(F.min("spans").alias("spans")), "windows")
+    counts = {r["kind"]: r["count"] for r in rows.groupBy("kind").count().collect()}
     tagger = Tagger()
     rng = np.random.default_rng(SEED)
     windows, tags = [], []
     for kind in range(-1, len(KINDS)):
-        picked = rows.where(F.col("kind") == kind).groupBy("text").agg(F.min("spans").alias("spans"))
-        picked = picked.orderBy(F.xxhash64("text"), "text").limit(SAMPLE).collect()
+        picked = least_hashes(rows.where(F.col("kind") == kind), ["text"], SAMPLE, counts.get(kind, 0)).collect()
         for r in picked:
             text, spans = rewritten(r["text"], [tuple(s) for s in r["spans"]], rng)
             start = int(rng.integers(0, max(1, len(text) - WIDTH + 1)))

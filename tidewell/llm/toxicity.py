@@ -28,7 +28,7 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewell.llm.common import held_out, map_batches, read_table, share, staged, texts_of
+from tidewell.llm.common import held_out, least_hashes, map_batches, read_table, share, staged, texts_of
 
 SAMPLE = 10_000  # labelled rows of either class that are learnt from
 LEXICON = 2000  # entries of the lexicon at most
@@ -175,7 +175,7 @@ def learnt_rows(labels: DataFrame) -> tuple[DataFrame, dict[int, float]]:
     """(doc_id, label) of at most ``SAMPLE`` rows of either class, and how many rows each of them stands for."""
     usable = labels.where("toxic in (0, 1)").where(~held_out()).select("doc_id", F.col("toxic").cast("int").alias("label"))
     counts = {r["label"]: r["count"] for r in usable.groupBy("label").count().collect()}
-    least = [usable.where(F.col("label") == k).orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE) for k in (0, 1)]
+    least = [least_hashes(usable.where(F.col("label") == k), ["doc_id"], SAMPLE, counts.get(k, 0)) for k in (0, 1)]
     weights = {k: max(1.0, n / SAMPLE) for k, n in counts.items()}
     return staged(least[0].unionAll(least[1]), "learnt"), weights
 
