@@ -162,6 +162,27 @@ def test_bands_reject_what_is_odd(spark, documents):
     assert len(ids) >= 145
 
 
+def test_copies_do_not_narrow_the_bands(documents):
+    """A third of all rows are copies of one text, most of its language and length."""
+    rng = random.Random(9)
+    words = "the of and reason letter window garden table morning winter paper stone".split()
+    rare = ["".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(rng.randrange(3, 9))) for _ in range(3000)]
+
+    def text(share, n):
+        return " ".join(rng.choice(rare if rng.random() < share else words) for _ in range(n))
+
+    # Texts of one length class whose shares of rare words differ, and so their entropies.
+    clean = [text(0.2 + 0.6 * k / 150, 130)[:600] for k in range(150)]
+    long = [text(0.5, 400) for _ in range(850)]
+    copies = [(10_000 + k, clean[0]) for k in range(500)]
+    df = documents(*clean, *copies, *long)
+    rows = {r.doc_id: r for r in quality_rules.assess(df).collect()}
+    assert sum(rows[k].kept for k in range(150)) >= 145
+    assert len(rows) == 1500
+    kept = {r.doc_id for r in quality_rules.reject(df).select("doc_id").collect()}
+    assert kept == {k for k, r in rows.items() if r.kept}
+
+
 # ---- byte-level BPE
 
 def reference_encoding():
