@@ -63,6 +63,18 @@ def test_lm_windows_of_a_round():
             assert (some[centres + place] == whole[centres + place]).all()
 
 
+def test_lm_learns_every_place_once(documents):
+    visits = np.zeros(240, int)
+    for every, first, _ in lm_scoring.ROUNDS:
+        visits[first % every::every] += 1
+    assert (visits == 1).all()
+    # The first word of a text is learnt too, also where it has no other.
+    words, network = lm_scoring.train(documents(*["alpha", "beta", "alpha"] * 100))
+    numbers, sizes = words.numbers(["alpha"])
+    at = lm_scoring.places_of(sizes)
+    assert network.log_p(numbers, at)[0] > lm_scoring.Network([200, 100]).log_p(numbers, at)[0]
+
+
 def test_lm_prefers_order(documents):
     rng = random.Random(1)
     subjects, verbs, ends = ["cat", "dog", "fox"], ["sees", "likes"], ["red", "blue"]

@@ -9,7 +9,7 @@ The vocabulary is the ``FREQUENT`` most frequent words, from Spark's count of al
 for all others, so the network has a fixed size (2.6 MB). It is trained on all partitions at once: in each
 round, every partition starts from the shared weights, passes over its documents, and the weights
 are averaged by the number of windows, block by block, in a shuffle. The number of windows and what is sent grow
-with the corpus. ``ROUNDS`` says which share of the windows of every document a round visits; each visits others.
+with the corpus. ``ROUNDS`` deal out the windows of every document: each window is visited in one round, none is left out.
 
 Defined cases: null and empty texts have no words and the score 0; rows that repeat an id
 are scored each; an empty table gives no rows; other columns are not looked at.
@@ -31,7 +31,7 @@ VOCABULARY = 1 + FREQUENT + BUCKETS  # 0 is what lies beyond a text
 UNITS = 24
 PLACES = (-2, -1, 1, 2)
 CLASSES = 64
-ROUNDS = ((16, 1, 0.1), (6, 3, 0.05))  # every kth window, from the nth on; learning rate
+ROUNDS = ((2, 0, 0.1), (2, 1, 0.05))  # every kth window, from the nth on; learning rate
 LARGEST = 60.0  # exponent; beyond it the sum of a softmax would leave the range of numbers
 SEEN = 1e-8  # squared gradients that count as seen at the start
 BATCH = 4096  # windows of a training step
