@@ -39,6 +39,28 @@ def test_lists_and_quotes_of_an_article_stay():
     assert html_extraction.main_text(PAGE.format(article=article)).split("\n") == ["Head", long.strip(), "one thing", "other", "Said so."]
 
 
+SENTENCES = "Thirty characters, or so, here. " * 9
+ROWS = "".join(f"<tr><td>{k}<td>{k + 1}" for k in range(30))
+CELLS = [str(k + j) for k in range(30) for j in (0, 1)]
+
+
+@pytest.mark.parametrize("mark", ["article", "div"])
+@pytest.mark.parametrize("inner, lines", [
+    ("<h1><a href=/t>Title</a></h1>{p}<ul><li><a href=/s>Source one</a><li><a href=/r>Source two</a></ul>", ["Title", "{p}", "Source one", "Source two"]),
+    ("{p}{p}<ul><li>An entry of the list with forty letters<li>Short</ul>", ["{p}", "{p}", "An entry of the list with forty letters", "Short"]),
+    ("{p}<table>" + ROWS + "</table>", ["{p}", *CELLS])])
+def test_all_blocks_of_the_content_stay(mark, inner, lines):
+    article = f"<div><ul><li><a href=/x>Elsewhere</a></ul></div><{mark}>{inner.replace('{p}', f'<p>{SENTENCES * 20}</p>')}</{mark}>"
+    want = [(SENTENCES * 20).strip() if x == "{p}" else x for x in lines]
+    assert html_extraction.main_text(PAGE.format(article=article)).split("\n") == want
+
+
+def test_content_in_sections_and_cells():
+    p = f"<p>{SENTENCES}</p>"
+    page = f"<body><table><tr><td><a href=/>Menu</a><td><div><h2><a>One</a></h2>{p}</div><div>{p}<ol><li>x</ol></div></table></body>"
+    assert html_extraction.main_text(page).split("\n") == ["One", SENTENCES.strip(), SENTENCES.strip(), "x"]
+
+
 @pytest.mark.parametrize("page, want", [
     ("", ""), ("<p>x", "x"), ("no tags at all, just text.", "no tags at all, just text."), ("a < b and c > d", "a < b and c > d"),
     ("<p>one<script>never closed <p>two", "one"), ("<!-- open", ""), ("<div a='>' b=\">\">text</div>", "text"),

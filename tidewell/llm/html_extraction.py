@@ -6,8 +6,9 @@ punctuation are added up and divided by the number of its blocks. Their product
 ratio of the path. Ratios are smoothed over the paths of the page, near ones (few steps up and
 down the tree) weighing more, and fused with what the page says of itself: regions whose
 element, role, class or id names them as menus, notes, adverts, forms or comments have no weight,
-and where a page marks its article, only what lies in it has any. Paths above a share of the largest
-value are content.
+and where a page marks its article, all that lies in it is content. Elsewhere the path of the largest
+value gives the content subtree: the least region that holds all its blocks. All blocks of that subtree are
+content, linked headings, lists and table cells too, and so are paths above a share of the largest value.
 
 Defined cases: null html and pages without content give an empty text; rows that repeat a
 page are returned each; an empty table gives no rows; other columns are not looked at. Unclosed
@@ -25,8 +26,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tidewell.llm.common import map_batches, read_table, texts_of
 
-SHARE = 0.05  # of the largest smoothed ratio; paths below it are left out
-MARKED_SHARE = 0.001  # the same within an article that the page marks: lists and quotes stay, bare links go
+SHARE = 0.05  # of the largest smoothed ratio; paths below it are left out, if they lie beyond the content subtree
 SPREAD = 1.0  # of the smoothing, in steps between paths of the tree
 REACH = 4  # steps beyond which paths don't smooth each other
 
@@ -52,6 +52,8 @@ CLOSES = {
     "tfoot": ({"thead", "tbody", "tfoot", "tr", "td", "th", "caption"}, {"table"}),
     "option": ({"option"}, {"select"}), "body": ({"head"}, set()),
 }
+# Elements that a content subtree may start at; a cell only where it holds other blocks.
+REGIONS = {"", "html", "body", "center", "div", "section", "article", "main", "td"}
 # Regions that are not the article.
 OUTSIDE_TAGS = {"head", "nav", "footer", "aside", "form", "menu", "dialog", "button", "fieldset", "search", "dir"}
 OUTSIDE_ROLES = {"navigation", "banner", "contentinfo", "complementary", "search", "form", "dialog", "alert", "alertdialog",
@@ -70,12 +72,12 @@ PUNCTUATION = re.compile(r"[.,;:!?…。，、；：！？]")
 
 
 class Element:
-    """An open element: its step in the path, and whether it lies outside or inside the article."""
+    """An open element: its step in the path, its parent, and whether it lies outside or inside the article."""
 
-    __slots__ = ("tag", "path", "outside", "inside")
+    __slots__ = ("tag", "path", "outside", "inside", "parent")
 
-    def __init__(self, tag, path, outside, inside):
-        self.tag, self.path, self.outside, self.inside = tag, path, outside, inside
+    def __init__(self, tag, path, outside, inside, parent=None):
+        self.tag, self.path, self.outside, self.inside, self.parent = tag, path, outside, inside, parent
 
 
 def region(tag: str, attributes: str, parent: Element) -> tuple[bool, bool]:
@@ -99,8 +101,8 @@ def region(tag: str, attributes: str, parent: Element) -> tuple[bool, bool]:
     return parent.outside or outside, parent.inside or inside
 
 
-def blocks_of(page: str) -> list[tuple[tuple[str, ...], str, int, bool, bool]]:
-    """(path, text, characters in links, outside, inside) of each block with text, in page order."""
+def blocks_of(page: str) -> list[tuple[tuple[str, ...], str, int, bool, bool, Element]]:
+    """(path, text, characters in links, outside, inside, element) of each block with text, in page order."""
     root = Element("", (), False, False)
     stack, found, parts = [root], [], []
     links = linked = at = 0
@@ -111,7 +113,7 @@ def blocks_of(page: str) -> list[tuple[tuple[str, ...], str, int, bool, bool]]:
             text = " ".join("".join(parts).split())
             if text:
                 top = stack[-1]
-                found.append((top.path, text, min(linked, len(text)), top.outside, top.inside))
+                found.append((top.path, text, min(linked, len(text)), top.outside, top.inside, top))
             parts.clear()
         linked = 0
 
@@ -165,7 +167,7 @@ def blocks_of(page: str) -> list[tuple[tuple[str, ...], str, int, bool, bool]]:
                 continue
             parent = stack[-1]
             outside, inside = region(tag, m["attributes"], parent)
-            stack.append(Element(tag, (*parent.path, tag), outside, inside))
+            stack.append(Element(tag, (*parent.path, tag), outside, inside, parent))
     add(page[at:])
     close_block()
     return found
@@ -181,29 +183,51 @@ def steps(a: tuple[str, ...], b: tuple[str, ...]) -> int:
     return len(a) + len(b) - 2 * common
 
 
-def content_paths(blocks, share: float = SHARE) -> set[tuple[str, ...]]:
-    """Paths whose smoothed, fused ratio is a fair share of the largest."""
+def content_paths(blocks) -> tuple[tuple[str, ...] | None, set[tuple[str, ...]]]:
+    """The path of the largest smoothed, fused ratio, and those with a fair share of it."""
     length, marks, count = defaultdict(int), defaultdict(int), defaultdict(int)
-    for path, text, linked, _, _ in blocks:
+    for path, text, linked, *_ in blocks:
         length[path] += len(text) - linked
         marks[path] += len(PUNCTUATION.findall(text)) if len(text) > linked else 0
         count[path] += 1
     ratio = {p: length[p] / count[p] * (1 + marks[p] / count[p]) for p in count}
     weight = [math.exp(-(d / SPREAD) ** 2 / 2) for d in range(REACH + 1)]
     smooth = {p: sum(weight[d] * r for q, r in ratio.items() if (d := steps(p, q)) <= REACH) for p in ratio}
-    least = share * max(smooth.values())
-    # A path of links alone has no text of its own, however near it is to some.
-    return {p for p, s in smooth.items() if s >= least and length[p] > 0}
+    # A path of links alone has no text of its own, however near it is to some: it doesn't choose the subtree.
+    own = [p for p in smooth if length[p] > 0]
+    least = SHARE * max(smooth.values())
+    return max(own, key=smooth.get, default=None), {p for p in own if smooth[p] >= least}
+
+
+def above(element: Element, depth: int) -> Element:
+    """The element that holds ``element`` at a depth."""
+    while len(element.path) > depth:
+        element = element.parent
+    return element
+
+
+def content_root(tops: list[Element]) -> Element:
+    """The least region that holds all of the given elements, which have the same path."""
+    root = tops[0]
+    for top in tops:
+        top = above(top, len(root.path))
+        while top is not root:
+            top, root = top.parent, root.parent
+    while root.tag not in REGIONS or root.tag == "td" and root is tops[0]:
+        root = root.parent
+    return root
 
 
 def main_text(page: str) -> str:
     blocks = [b for b in blocks_of(page) if not b[3]]
     marked = [b for b in blocks if b[4]]
-    blocks = marked or blocks
-    if not blocks:
-        return ""
-    paths = content_paths(blocks, MARKED_SHARE if marked else SHARE)
-    return "\n".join(b[1] for b in blocks if b[0] in paths)
+    if blocks and not marked:
+        best, paths = content_paths(blocks)
+        if best is None:
+            return ""
+        root = content_root([b[5] for b in blocks if b[0] == best])
+        marked = [b for b in blocks if b[0] in paths or above(b[5], len(root.path)) is root]
+    return "\n".join(b[1] for b in marked)
 
 
 def extract(pages: DataFrame) -> DataFrame:
