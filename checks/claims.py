@@ -84,7 +84,7 @@ def raw_52(t):
         F.lit("1.50").alias("disp_fee"), F.lit("0").alias("sales_tax"), as_text("l_orderkey").alias("prescription_num"))
 
 
-@query("load_claims_52", f"""
+LOAD_52 = f"""
     with {LINES}, {DRUGS},
     ok as (select * from li where l_tax <= 0.07 and l_discount <= 0.09 and length(cast(l_partkey as varchar)) > 1),
     paid as (select * from ok where l_returnflag <> 'R'),
@@ -107,15 +107,20 @@ def raw_52(t):
            right('00000000000' || l_partkey, 11) as product_service_id, days as days_supply, medstaken as compositionname,
            cost as ingredient_cost, adjudicated as adjudication_date, year(l_shipdate)::int as runyear,
            case when k is not null and year(l_shipdate) = 1998 then 333 end as claimexccd
-    from state left join rev on cast(k as varchar) = transaction_id and m = seq""")
-def _(t):
-    feed = PHARMACY_FEEDS[52]
-    existing = lines(t).where("o_orderstatus = 'F' and l_linestatus = 'O'").select(
+    from state left join rev on cast(k as varchar) = transaction_id and m = seq"""
+
+
+def existing_52(t):
+    return lines(t).where("o_orderstatus = 'F' and l_linestatus = 'O'").select(
         as_text("l_orderkey").alias("transaction_id"), F.lit(52).cast("bigint").alias("pmd_client_id"),
         as_text("o_custkey").alias("patient_id"), as_text("l_linenumber").alias("paired_adjustment_sequence_num"),
         C("l_shipdate").alias("date_of_service"), text.pad_code("l_partkey").alias("product_service_id"),
         F.year("l_shipdate").alias("runyear"), F.lit(None).cast("int").alias("claimexccd"))
-    state = claims.load_claims(raw_52(t), drugs(t), existing, feed, params(52))
+
+
+@query("load_claims_52", LOAD_52)
+def _(t):
+    state = claims.load_claims(raw_52(t), drugs(t), existing_52(t), PHARMACY_FEEDS[52], params(52))
     return state.select("transaction_id", "paired_adjustment_sequence_num", "date_of_service", "product_service_id",
                         "days_supply", "compositionname", C("ingredient_cost").cast("double").alias("ingredient_cost"),
                         "adjudication_date", "runyear", "claimexccd")
@@ -359,6 +364,23 @@ def _(t):
     return tables.load_state(t.spark, path).select(*COLUMNS_67)
 
 
+@query("claims_loaded_in_place", f"""
+    with c52 as ({LOAD_52}), c67 as ({LOAD_67})
+    select 52 as pmd_client_id, transaction_id, date_of_service, product_service_id, compositionname, days_supply, claimexccd from c52
+    union all select 67, * from c67""")
+def _(t):
+    """Two clients in one table kept by client and year; the second load of a feed adds nothing."""
+    from tidewell.session import shared_folder
+    from tidewell.sources import tables
+    path = shared_folder(t.spark)
+    raw, existing = feed_67(t)
+    tables.replace_partitions(existing.unionByName(existing_52(t), allowMissingColumns=True), path, 0, claims.CLAIM_PARTITION)
+    for run_id, client, feed, year in ((1, 67, raw, 2016), (2, 52, raw_52(t), 1998), (3, 67, raw, 2016)):
+        p = RunParams(client_id=client, run_year=year, as_of=AS_OF, run_id=run_id)
+        claims.load_claims_into(t.spark, path, feed, drugs(t), PHARMACY_FEEDS[client], p)
+    return tables.load_partitions(t.spark, path).select(C("pmd_client_id").cast("int").alias("pmd_client_id"), *COLUMNS_67)
+
+
 @query("rejected_rows", f"""
     with {LINES},
     paid as (select cast(l_orderkey as varchar) || cast(l_linenumber as varchar) as txn from li
@@ -455,16 +477,28 @@ def _(t):
 
 @query("load_medical_62_twice", f"""
     with {LINES},
-    raw as (select *, left('H' || o_orderpriority, 5) as plan5 from li where year(l_shipdate) = 1998)
-    select distinct cast(l_orderkey as varchar) as claim_id, l_linenumber as claim_line_num, plan5 as plan_code,
-           cast(l_shipdate as date) as claim_submit_date from raw""")
+    raw as (select *, left('H' || o_orderpriority, 5) as plan5, year(l_shipdate)::int as y, cast(l_shipdate as date) as day,
+                   left('D' || l_partkey || '0000000', 7) as dx from li),
+    loaded as (select distinct y, l_orderkey, l_linenumber, plan5, l_suppkey, day, o_custkey, dx, l_linestatus from raw),
+    newest as (select *, row_number() over (partition by y, l_orderkey, l_linenumber, plan5 order by day desc, l_suppkey desc) as r from raw)
+    select cast(s.l_orderkey as varchar) as claim_id, s.l_linenumber as claim_line_num, s.plan5 as plan_code,
+           n.l_suppkey as claim_status, s.day as claim_submit_date, cast(s.l_suppkey as varchar) as facility_npi,
+           case when s.l_linestatus = 'O' then cast(s.day as timestamp) else timestamp '1900-01-01' end as admission_date,
+           s.dx as dx_code_principal, date '1900-01-01' as procedure_date, s.y as runyear, cast(s.o_custkey as varchar) as patient_id,
+           s.day as discharge_date, s.l_linenumber as unit_qty
+    from loaded s join newest n on n.y = s.y and n.l_orderkey = s.l_orderkey and n.l_linenumber = s.l_linenumber
+         and n.plan5 = s.plan5 and r = 1""")
 def _(t):
-    raw = raw_medical(t).where("runyear = 1998")
-    raw = raw.unionByName(raw.withColumn("claim line number", F.lit("first")))
-    state = medical_state(t).where("false")
-    for _ in range(2):  # the second load adds nothing, and unreadable lines are not loaded
-        state = claims.load_medical(raw, state, MEDICAL_FEEDS[62], params(62))
-    return state.select("claim_id", "claim_line_num", "plan_code", "claim_submit_date")
+    from tidewell.session import shared_folder
+    from tidewell.sources import tables
+    raw, path = raw_medical(t), shared_folder(t.spark)
+    raw = raw.unionByName(raw.withColumn("claim line number", F.lit("first")))  # unreadable lines are not loaded
+    tables.replace_partitions(medical_state(t).where("false"), path, 0, claims.CLAIM_PARTITION)
+    years = [r[0] for r in raw.select("runyear").distinct().orderBy("runyear").collect()]
+    for run_id, year in enumerate([*years, years[-1], years[len(years) // 2]], 1):  # a year's second load adds nothing
+        p = RunParams(client_id=62, run_year=year, as_of=AS_OF, run_id=run_id)
+        claims.load_medical_into(t.spark, path, raw.where(C("runyear") == year), MEDICAL_FEEDS[62], p)
+    return tables.load_partitions(t.spark, path).select(*COLUMNS_MEDICAL, "patient_id", "discharge_date", "unit_qty")
 
 
 @query("new_load_errors", """

@@ -1,5 +1,6 @@
 """Writes, states, archives and arriving files, in the folder the cluster shares."""
 
+from dataclasses import replace
 from datetime import datetime
 
 from pyspark.sql import functions as F
@@ -11,7 +12,7 @@ from tidewell.plans.arrivals import file_arrival
 from tidewell.plans.runs import archive_evaluation
 from tidewell.session import shared_folder
 from tidewell.sources import files, tables
-from tidewell.streaming.arrivals import stream_file_facts
+from tidewell.streaming import arrivals as stream
 
 C = F.col
 P = RunParams(client_id=1, run_year=2001, as_of=datetime(2001, 9, 1, 8), run_id=3, env="QA")
@@ -62,46 +63,60 @@ def _(t):
 
 
 @query("current_rolled_to_history", """
-    select 'history' as place, count(*) as n from orders
-    union all select 'current', count(*) from orders where o_totalprice < 0""")
+    select 'history' as place, case when o_orderstatus = 'F' then 1 else 2 end as run, o_orderkey, o_custkey, o_totalprice from orders
+    union all select 'current', 3, -1, o_custkey, 1.0 from orders where o_totalprice > 400000""")
 def _(t):
+    """Rows of two runs rolled to the history, the second roll repeated; then a new current table."""
     root = shared_folder(t.spark)
-    tables.write_run(t.orders.where("o_orderstatus = 'F'"), f"{root}/history", 1)
-    tables.save_state(t.orders.where("o_orderstatus <> 'F'"), f"{root}/current", 1)
-    tables.roll_to_history(tables.load_state(t.spark, f"{root}/current"), f"{root}/history", f"{root}/current", 2)
-    history, current = t.spark.read.parquet(f"{root}/history"), tables.load_state(t.spark, f"{root}/current")
-    return history.agg(F.lit("history").alias("place"), F.count(F.lit(1)).alias("n")).unionByName(
-        current.agg(F.lit("current").alias("place"), F.count(F.lit(1)).alias("n")))
+    rows = t.orders.select("o_orderkey", "o_custkey", "o_totalprice", "o_orderstatus")
+    tables.save_state(rows.where("o_orderstatus = 'F'"), f"{root}/current", 0)
+    tables.roll_to_history(tables.load_state(t.spark, f"{root}/current", 0), f"{root}/history", f"{root}/current", 1)
+    emptied = tables.load_state(t.spark, f"{root}/current")
+    later = rows.where("o_orderstatus <> 'F'").unionByName(emptied)  # the roll has left nothing
+    tables.save_state(later, f"{root}/next", 0)
+    for _ in range(2):
+        tables.roll_to_history(tables.load_state(t.spark, f"{root}/next", 0), f"{root}/history", f"{root}/next", 2)
+    fresh = t.orders.where("o_totalprice > 400000").select(
+        F.lit(-1).cast("bigint").alias("o_orderkey"), "o_custkey", F.lit(1.0).alias("o_totalprice"), F.lit("P").alias("o_orderstatus"))
+    tables.save_state(tables.load_state(t.spark, f"{root}/next").unionByName(fresh), f"{root}/next", 3)
+    columns = ("o_orderkey", "o_custkey", "o_totalprice")
+    history = t.spark.read.parquet(f"{root}/history").select(F.lit("history").alias("place"), C("history_run").alias("run"), *columns)
+    return history.unionByName(tables.load_state(t.spark, f"{root}/next").select(F.lit("current").alias("place"), F.lit(3).alias("run"), *columns))
 
 
 @query("archived_snapshots", """
-    select 'claims' as place, date '2001-09-01' as stamped, count(*) as n from lineitem
-    union all select 'claims_current', date '2001-09-01', count(*) from lineitem
-    union all select 'eligibility', null, count(*) from orders
-    union all select 'eligibility_current', null, count(*) from orders
-    union all select 'single', null, count(*) from (select distinct o_custkey from orders)
-    union all select 'multiple', null, count(*) from customer
-    union all select 'insulin', null, count(*) from supplier
-    union all select 'covered', date '2001-09-01', count(*) from customer""")
+    with day as (select date '2001-09-01' as d),
+    lines as (select l_orderkey as id, cast(l_shipdate as date) as served, year(l_shipdate)::int as y from lineitem)
+    select 'claims' as place, d as stamped, 3 as run, id, served, y from lines, day
+    union all select 'claims_current', d, null, id, served, y from lines, day
+    union all select 'eligibility', null, 3, o_orderkey, cast(o_orderdate as date), null from orders
+    union all select 'eligibility_current', null, null, o_orderkey, cast(o_orderdate as date), null from orders
+    union all select distinct 'single', null::date, 3, o_custkey, null::date, null::int from orders
+    union all select 'multiple', null, 3, c_custkey, null, c_nationkey from customer
+    union all select 'insulin', null, 3, s_suppkey, null, s_nationkey from supplier
+    union all select 'covered', d, 3, c_custkey, null, c_nationkey from customer, day""")
 def _(t):
     root = shared_folder(t.spark)
     staged = t.lineitem.select("l_orderkey", C("l_shipdate").alias("date_of_service"), F.lit(1).alias("pmd_client_id"),
                                F.year("l_shipdate").alias("runyear"))
     for _ in range(2):  # a repeated run replaces its rows
-        archive_evaluation(root, P, staged, t.orders.select("o_orderkey"), t.orders.select("o_custkey"),
-                           t.customer.select("c_custkey"), t.customer.select("c_custkey"), t.supplier.select("s_suppkey"))
-
-    def counted(name, place, stamp=None):
-        stamped = C(stamp) if stamp else F.lit(None).cast("date")
-        return t.spark.read.parquet(f"{root}/{name}").groupBy(F.lit(place).alias("place"), stamped.alias("stamped")).agg(
-            F.count(F.lit(1)).alias("n"))
-    parts = [counted("adherence_claims", "claims", "evaluation_date"),
-             counted("adherence_claims_current", "claims_current", "evaluation_date"), counted("eligibility", "eligibility"),
-             counted("eligibility_current", "eligibility_current"), counted("multiple_drug_review", "multiple"),
-             counted("insulin_claims", "insulin"), counted("single_drug_review", "single"), counted("days_covered", "covered", "archive_date")]
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part)
+        archive_evaluation(root, P, staged, t.orders.select("o_orderkey", F.to_date("o_orderdate").alias("day")), t.orders.select("o_custkey"),
+                           t.customer.select("c_custkey", "c_nationkey"), t.customer.select("c_custkey", "c_nationkey"),
+                           t.supplier.select("s_suppkey", "s_nationkey"))
+    out = None
+    for place, name, key, served, year, stamp in (
+            ("claims", "adherence_claims", "l_orderkey", "date_of_service", "runyear", "evaluation_date"),
+            ("claims_current", "adherence_claims_current", "l_orderkey", "date_of_service", "runyear", "evaluation_date"),
+            ("eligibility", "eligibility", "o_orderkey", "day", None, None), ("eligibility_current", "eligibility_current", "o_orderkey", "day", None, None),
+            ("single", "single_drug_review", "o_custkey", None, None, None), ("multiple", "multiple_drug_review", "c_custkey", None, "c_nationkey", None),
+            ("insulin", "insulin_claims", "s_suppkey", None, "s_nationkey", None), ("covered", "days_covered", "c_custkey", None, "c_nationkey", "archive_date")):
+        rows = t.spark.read.parquet(f"{root}/{name}")
+        empty = F.lit(None)
+        part = rows.select(
+            F.lit(place).alias("place"), (C(stamp) if stamp else empty).cast("date").alias("stamped"),
+            (C("history_run") if "history_run" in rows.columns else empty).cast("int").alias("run"), C(key).alias("id"),
+            (C(served) if served else empty).cast("date").alias("served"), (C(year) if year else empty).cast("int").alias("y"))
+        out = part if out is None else out.unionByName(part)
     return out
 
 
@@ -138,7 +153,7 @@ def _(t):
     root = shared_folder(t.spark)
     write_feed(t, f"{root}/in")
     for _ in range(2):  # the second run finds nothing new
-        stream_file_facts(t.spark, f"{root}/in", f"{root}/facts", f"{root}/seen", "part-*.csv").awaitTermination()
+        stream.stream_file_facts(t.spark, f"{root}/in", f"{root}/facts", f"{root}/seen", "part-*.csv").awaitTermination()
     return t.spark.read.parquet(f"{root}/facts").groupBy("folder").agg(F.sum("record_count").alias("records"))
 
 
@@ -160,13 +175,17 @@ def arrival(t):
         F.lit(None).cast("timestamp_ntz").alias("filewatcherqueuedate"))
     history = config.where("false").select("pmd_client_id", "filetype", "filename", "filelocation", "active",
                                            "lastdatereceived", "unprocessed_filecount")
-    return file_arrival(t.spark, root, config, control, history, P)
+    return root, config, control, history
+
+
+def polled(t):
+    return file_arrival(*arrival(t), P)
 
 
 @query("arrival_files", """
     select ascii(o_orderstatus)::int as pmd_client_id, count(*) as records from orders where o_orderstatus <> 'P' group by 1""")
 def _(t):
-    return arrival(t).files.groupBy("pmd_client_id").agg(F.sum("record_count").alias("records"))
+    return polled(t).files.groupBy("pmd_client_id").agg(F.sum("record_count").alias("records"))
 
 
 @query("arrival_queue", """
@@ -174,14 +193,44 @@ def _(t):
            case when o_orderstatus <> 'P' and year(o_orderdate) = 2001 then timestamp '2001-09-01 08:00:00' end as filewatcherqueuedate
     from orders""")
 def _(t):
-    return arrival(t).control.select("controlid", "process", "filewatcherqueuedate")
+    return polled(t).control.select("controlid", "process", "filewatcherqueuedate")
 
 
 @query("arrival_history", """
     select distinct ascii(o_orderstatus)::int as pmd_client_id, 'in/client=' || o_orderstatus as filelocation,
            timestamp '2001-09-01 08:00:00' as lastdatereceived from orders where o_orderstatus <> 'P'""")
 def _(t):
-    return arrival(t).history.select("pmd_client_id", "filelocation", "lastdatereceived")
+    return polled(t).history.select("pmd_client_id", "filelocation", "lastdatereceived")
+
+
+def streamed(t, times):
+    """The tables after polls of the stream: a second one finds the files again, a repeated one changes nothing."""
+    root, config, control, history = arrival(t)
+    target = shared_folder(t.spark)
+    stream.start_tables(target, config, control, history)
+    for when in times:
+        stream.stream_arrivals(t.spark, root, target, f"{target}/seen", P, lambda _, when=when: when).awaitTermination()
+    stream.poll_once(t.spark, root, target, len(times) - 1, replace(P, as_of=times[-1]))
+    return target
+
+
+@query("streamed_queue", """
+    select o_orderkey as controlid, case when o_orderstatus <> 'P' and year(o_orderdate) = 2001 then 1 else 0 end as process,
+           case when o_orderstatus <> 'P' and year(o_orderdate) = 2001 then timestamp '2001-09-01 08:00:00' end as filewatcherqueuedate
+    from orders""")
+def _(t):
+    target = streamed(t, [P.as_of, datetime(2001, 9, 1, 20)])
+    return stream.arrivals(t.spark, target, "control").select("controlid", "process", "filewatcherqueuedate")
+
+
+@query("streamed_history", """
+    select distinct ascii(o_orderstatus)::int as pmd_client_id, 'in/client=' || o_orderstatus as filelocation,
+           unnest([timestamp '2001-09-01 20:00:00', timestamp '2001-09-02 06:00:00']) as lastdatereceived
+    from orders where o_orderstatus <> 'P'""")
+def _(t):
+    # Two polls of a day share a row, which has the later time; the next day has a row of its own.
+    target = streamed(t, [P.as_of, datetime(2001, 9, 1, 20), datetime(2001, 9, 2, 6)])
+    return stream.arrivals(t.spark, target, "history").select("pmd_client_id", "filelocation", "lastdatereceived")
 
 
 @query("watched_locations", f"""

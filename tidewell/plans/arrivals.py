@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidewell.functions import dates
@@ -12,7 +12,9 @@ from tidewell.operators.changes import update_from
 from tidewell.operators.matching import only_new
 from tidewell.params import RunParams
 from tidewell.plans.runs import history_upsert, queue_clients
-from tidewell.sources.files import discover_files, glob_to_regex, with_counts
+from tidewell.session import shared_folder
+from tidewell.sources.files import glob_to_regex, list_files, with_counts
+from tidewell.sources.tables import overwrite
 from tidewell.sources.watch import active_watch_config, html_report, location_column
 
 
@@ -33,37 +35,39 @@ def ready_entries(config: DataFrame, control: DataFrame, env: str) -> DataFrame:
     return only_new(active_watch_config(config, env), busy, [("pmd_client_id", "pmdclientid")], null_safe=True)
 
 
+def watched(entries: DataFrame) -> DataFrame:
+    """Entries with ``location``, the path below the root that they watch."""
+    wanted = entries.select("pmd_client_id", "filetype", "filename", "filelocation")
+    return wanted.withColumn("location", F.regexp_replace("filelocation", "^/+|/+$", ""))
+
+
 def match_files(files: DataFrame, entries: DataFrame) -> DataFrame:
-    """Files with the client whose location and name pattern they fit.
+    """Files of each location with the clients that watch it and whose name pattern they fit.
 
     A location is a path of any depth. It holds the files in it and below it; below it,
     as the watched store lists them, the path too must begin as the pattern does.
     """
-    wanted = entries.select("pmd_client_id", "filetype", "filename", "filelocation").withColumn(
-        "__location", F.regexp_replace("filelocation", "^/+|/+$", ""))
-    steps = F.split("folder", "/")
-    # Every folder above a file, so that the join is on equal paths.
-    above = files.withColumn("__above", F.explode(F.transform(
-        F.sequence(F.lit(1), F.size(steps)), lambda n: F.array_join(F.slice(steps, 1, n), "/"))))
-    pairs = above.join(wanted, F.col("__above") == F.col("__location"))
-    rest = F.substring(F.concat_ws("/", "folder", "file_name"), F.length("__location") + 2, F.lit(1 << 30))
+    pairs = files.join(watched(entries), "location")
+    rest = F.substring(F.concat_ws("/", "folder", "file_name"), F.length("location") + 2, F.lit(1 << 30))
     head = F.regexp_extract("filename", r"^[^*?\[]*", 0)
     fits = F.rlike("file_name", glob_to_regex(F.col("filename"))) & F.startswith(rest, head)
-    return pairs.where(fits).drop("__above", "__location")
+    return pairs.where(fits).drop("location")
 
 
 ARRIVED = ("pmd_client_id", "filetype", "filename", "filelocation", "file_name", "file_size", "record_count")
 
 
-def arrived_files(spark: SparkSession, root: str, entries: DataFrame) -> DataFrame:
-    """New files of the watched locations with their record counts; no other file is read.
+def arrived_files(root: str, entries: DataFrame, counted: DataFrame | None = None) -> DataFrame:
+    """New files of the watched locations with their record counts; no other folder is listed, no other file read.
 
-    The locations are rows of the configuration, a table kept by hand.
+    ``counted`` has record counts of files that were read before (path, file_size, modificationTime, record_count).
     """
-    found = match_files(discover_files(spark, root), entries)
-    locations = [r["filelocation"].strip("/") for r in found.select("filelocation").distinct().collect()]
-    paths = sorted(f"{root.rstrip('/')}/{x}" for x in locations if not any(x != y and f"{x}/".startswith(f"{y}/") for y in locations))
-    return with_counts(found, paths).select(*ARRIVED)
+    found = match_files(list_files(watched(entries), root), entries)
+    if counted is None:
+        return with_counts(found, root)
+    same = ["path", "file_size", "modificationTime"]
+    known = found.join(counted.select(*same, "record_count"), same)
+    return known.unionByName(with_counts(found.join(counted, same, "left_anti"), root))
 
 
 def count_waiting(config: DataFrame, found: DataFrame, p: RunParams) -> DataFrame:
@@ -74,14 +78,22 @@ def count_waiting(config: DataFrame, found: DataFrame, p: RunParams) -> DataFram
                        {"unprocessed_filecount": "n_files", "lastdatereceived": "received"})
 
 
-def file_arrival(spark: SparkSession, root: str, config: DataFrame, control: DataFrame, history: DataFrame,
-                 p: RunParams) -> Arrival:
-    """One poll: each client is queued by its own files only."""
-    found = arrived_files(spark, root, ready_entries(config, control, p.env))
+def file_arrival(root: str, config: DataFrame, control: DataFrame, history: DataFrame, p: RunParams,
+                 found: DataFrame | None = None) -> Arrival:
+    """One poll: each client is queued by its own files only.
+
+    The files are listed once and written to the shared folder, so that all tables tell of the same files.
+    ``found`` are files that were listed before.
+    """
+    if found is None:
+        found = arrived_files(root, ready_entries(config, control, p.env))
+        path = shared_folder(found.sparkSession)
+        overwrite(found, path)
+        found = found.sparkSession.read.schema(found.schema).parquet(path)
     new_config = count_waiting(config, found, p)
     located = new_config.withColumn("filelocation", F.col(location_column(p.env)))
     return Arrival(
-        files=found,
+        files=found.select(*ARRIVED),
         config=new_config,
         control=queue_clients(control, found.select("pmd_client_id").distinct(), p),
         history=history_upsert(history, located),

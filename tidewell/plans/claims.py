@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewell.functions import dates, text
@@ -11,7 +11,9 @@ from tidewell.operators.matching import having_match, lookup, only_new, other
 from tidewell.operators.picking import dedup_latest, latest_with_ties, split_occurrence
 from tidewell.params import RunParams
 from tidewell.plans.feeds import REVERSED, MedicalFeed, PharmacyFeed, Reversal, accept, build, dirty_cells, standardize
-from tidewell.sources.tables import stamp
+from tidewell.sources.tables import load_partitions, replace_partitions, stamp
+
+CLAIM_PARTITION = ("pmd_client_id", "runyear")
 
 
 def with_drug_name(raw: DataFrame, drugs: DataFrame, feed: PharmacyFeed) -> DataFrame:
@@ -172,6 +174,22 @@ def load_claims(raw: DataFrame, drugs: DataFrame, existing: DataFrame, feed: Pha
     return changed.unionByName(own_partition(existing, p)[1], allowMissingColumns=True)
 
 
+def load_claims_into(spark: SparkSession, path: str, raw: DataFrame, drugs: DataFrame, feed: PharmacyFeed, p: RunParams,
+                     members: DataFrame | None = None, periods: DataFrame | None = None,
+                     exclude_patients: tuple = ()) -> None:
+    """Load one client's feed into the claims kept by client and run year at ``path``.
+
+    The partition of the client and run year is replaced, new claims of other years are added to theirs, and the
+    files of all other partitions stay. A repeated run starts from the claims before it.
+    """
+    changed = changed_claims(raw, drugs, load_partitions(spark, path, p.run_id), feed, p, members, periods, exclude_patients)
+    replace_partitions(changed, path, p.run_id, CLAIM_PARTITION, own_keys(p))
+
+
+def own_keys(p: RunParams) -> dict[str, int]:
+    return dict(zip(CLAIM_PARTITION, (p.client_id, p.run_year)))
+
+
 def own_partition(existing: DataFrame, p: RunParams) -> tuple[DataFrame, DataFrame]:
     """Rows of the client and run year, and all others; both tests reach a partitioned scan."""
     own = (F.col("pmd_client_id") == p.client_id) & (F.col("runyear") == p.run_year)
@@ -207,14 +225,26 @@ def refresh_status(lines: DataFrame, raw: DataFrame, feed: MedicalFeed, p: RunPa
                        also={"update_datetime": dates.moment(p.as_of)})
 
 
+def changed_medical(raw: DataFrame, existing: DataFrame, feed: MedicalFeed, p: RunParams) -> DataFrame:
+    """The client's lines of the run year after loading its feed, and new lines of other years."""
+    mine = own_partition(existing, p)[0]
+    state = mine.unionByName(new_medical(raw, mine, feed, p), allowMissingColumns=True)
+    return refresh_status(state, raw, feed, p)
+
+
 def load_medical(raw: DataFrame, existing: DataFrame, feed: MedicalFeed, p: RunParams) -> DataFrame:
     """New state of the medical claim lines after loading one client's feed.
 
     Only lines of the client and run year, and the new ones, are joined.
     """
-    mine, others = own_partition(existing, p)
-    state = mine.unionByName(new_medical(raw, mine, feed, p), allowMissingColumns=True)
-    return refresh_status(state, raw, feed, p).unionByName(others, allowMissingColumns=True)
+    others = own_partition(existing, p)[1]
+    return changed_medical(raw, existing, feed, p).unionByName(others, allowMissingColumns=True)
+
+
+def load_medical_into(spark: SparkSession, path: str, raw: DataFrame, feed: MedicalFeed, p: RunParams) -> None:
+    """Load one client's feed into the lines kept by client and run year at ``path``, as ``load_claims_into`` does."""
+    changed = changed_medical(raw, load_partitions(spark, path, p.run_id), feed, p)
+    replace_partitions(changed, path, p.run_id, CLAIM_PARTITION, own_keys(p))
 
 
 ERROR_KEY = ("errorcode", "pmd_client_id", "claim_id", "claim_line_num", "admission_date")

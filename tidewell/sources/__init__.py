@@ -1 +1,11 @@
-"""Tables, arriving files, configuration and reports."""
+"""Tables, arriving files and watch configuration.
+
+Functions of this package travel to the executors by value, so a cluster needs no copy of the package on its
+machines.
+"""
+
+import sys
+
+from pyspark import cloudpickle
+
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

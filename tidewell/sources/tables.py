@@ -5,15 +5,22 @@ run folder and readers take the newest one, so a plan never overwrites the files
 it reads, a retried task rewrites only its own folder, and a failed run leaves
 the earlier state in place. Rows of a cumulative table lie in the partition of the run
 that wrote them.
+
+A state may also be kept by partition: a run then writes the partitions it changes and a list of the
+folders that make up the table, and the files of all other partitions stay as they are.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import json
+from collections.abc import Mapping, Sequence
 from datetime import date, datetime
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 STATE_COLUMN = "state_run"
 RUN_COLUMN = "history_run"
@@ -57,17 +64,77 @@ def save_state(df: DataFrame, path: str, run_id: int, partition_by: Sequence[str
     overwrite(done, f"{path}/complete/run={run_id}")
 
 
-def load_state(spark: SparkSession, path: str, run_id: int | None = None) -> DataFrame:
-    """State of a given run, or of the newest complete one, with the columns of that run.
+def load_state(spark: SparkSession, path: str, run_id: int | None = None, before: int | None = None) -> DataFrame:
+    """State of a given run, or of the newest complete one (before a given run), with the columns of that run.
 
     Only that run's folder is listed and scanned.
     """
     if run_id is None:
-        newest = spark.read.parquet(f"{path}/complete").agg(F.max(STATE_COLUMN).alias("run")).first()
-        run_id = newest["run"]
+        complete = spark.read.parquet(f"{path}/complete")
+        if before is not None:
+            complete = complete.where(F.col(STATE_COLUMN) < before)
+        run_id = complete.agg(F.max(STATE_COLUMN).alias("run")).first()["run"]
+        if run_id is None:
+            raise ValueError(f"{path} has no complete run before {before}")
     return spark.read.parquet(f"{path}/states/{STATE_COLUMN}={run_id}")
 
 
+def _folders(spark: SparkSession, path: str, before: int | None) -> tuple[DataFrame, T.StructType] | None:
+    """Folder list of the newest complete run (before a given one), and the schema of the table."""
+    lists = spark.read.parquet(f"{path}/folders")
+    if before is not None:
+        lists = lists.where(F.col(STATE_COLUMN) < before)
+    newest = lists.agg(F.max(STATE_COLUMN).alias("run")).first()["run"]
+    if newest is None:
+        return None
+    rows = spark.read.parquet(f"{path}/folders/list={newest}").drop(STATE_COLUMN)
+    schema = rows.where(F.col("folder").isNull()).select("schema").first()["schema"]
+    return rows.where(F.col("folder").isNotNull()).drop("schema"), T.StructType.fromJson(json.loads(schema))
+
+
+def replace_partitions(df: DataFrame, path: str, run_id: int, keys: Sequence[str], replaced: Mapping | None = None) -> None:
+    """Write the rows of ``df`` to a table kept by partitions of ``keys``, and no other file.
+
+    The partition that ``replaced`` names holds the rows of ``df`` alone from then on (also when there are
+    none); to any other partition they are added. Files lie in the folder of the run that wrote them,
+    and the list of the folders in use is written last. So ``df`` may come from the table itself, a job that
+    dies leaves the earlier table in place, and a retry of a run starts from the table before that run.
+
+    The list has one row per partition and run still in use, whatever the number of files or rows.
+    """
+    spark = df.sparkSession
+    run = f"{STATE_COLUMN}={run_id}"
+    df.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(*keys).parquet(f"{path}/parts/{run}")
+    written = spark.read.schema(df.schema).parquet(f"{path}/parts/{run}")
+    folder = F.regexp_extract(F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B"))), f"({run}/.*)/[^/]*$", 1)
+    folders = written.select(folder.alias("folder"), *keys).distinct()
+    schema, before = df.schema, _folders(spark, path, run_id) if run_id else None
+    if before is not None:
+        old, known = before
+        gone = reduce(and_, [F.col(k).eqNullSafe(F.lit(v)) for k, v in replaced.items()]) if replaced else F.lit(False)
+        folders = old.where(~gone).unionByName(folders)
+        schema = T.StructType([*known.fields, *[f for f in schema.fields if f.name not in known.names]])
+    marker = spark.range(1).select(F.lit(None).cast("string").alias("folder"), F.lit(schema.json()).alias("schema"))
+    rows = folders.unionByName(marker, allowMissingColumns=True).withColumn(STATE_COLUMN, F.lit(run_id).cast("bigint"))
+    overwrite(rows.coalesce(1), f"{path}/folders/list={run_id}")
+
+
+def load_partitions(spark: SparkSession, path: str, before: int | None = None) -> DataFrame:
+    """The table kept by partitions, as of its newest complete run, or of the newest one before a given run.
+
+    Filters on the keys leave whole folders out. Only the folder list passes through the driver.
+    """
+    found = _folders(spark, path, before)
+    if found is None:
+        raise ValueError(f"{path} has no complete run before {before}")
+    folders, schema = found
+    names = sorted(r["folder"] for r in folders.select("folder").collect())
+    if not names:
+        return spark.createDataFrame([], schema)
+    rows = spark.read.schema(schema).option("basePath", f"{path}/parts").parquet(*[f"{path}/parts/{n}" for n in names])
+    return rows.select(*[F.col(f"`{c}`") for c in schema.names])
+
+
 def write_run(df: DataFrame, path: str, run_id: int, partition_by: Sequence[str] = ()) -> None:
     """Write the rows of a run to a cumulative table; a retry replaces them and adds none twice."""
     overwrite(df.withColumn(RUN_COLUMN, F.lit(run_id)), path, [RUN_COLUMN, *partition_by])
