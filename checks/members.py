@@ -8,8 +8,10 @@ from checks.mutations import BAD_PHONE, DETAIL, detail
 from checks.registry import query
 from tidewell.functions import text
 from tidewell.params import RunParams
-from tidewell.plans import eligibility, members as plans
+from tidewell.plans import eligibility, members as plans, runs
 from tidewell.plans.feeds import MEMBERSHIP_FEEDS
+from tidewell.session import shared_folder
+from tidewell.sources.tables import load_state, save_state
 
 C = F.col
 
@@ -453,6 +455,68 @@ def _(t):
                         "patient_agebandsort", "run_id")
 
 
+NIGHTS = (datetime(1996, 1, 1), datetime(1997, 6, 1), datetime(1999, 1, 1), datetime(2001, 1, 1))
+
+
+def nights(t):
+    """Four nightly runs, of which the second dies before it is complete; orders are the feed, cut at the time of the run."""
+    root = shared_folder(t.spark)
+    feed = t.orders.where(C("o_orderdate") < NIGHTS[-1]).select(
+        C("o_custkey").alias("patient_unique_ident"), C("o_orderpriority").alias("address"), C("o_orderstatus").alias("pbp_pclm"),
+        F.lit("2125550100").alias("phone_number"), C("o_orderdate").alias("update_datetime"),
+        *[F.lit(None).cast("string").alias(c) for c in ("address_2", "city", "state", "zip_code", "supc_flag")],
+        F.lit(None).cast("boolean").alias("lis_flag"), F.lit(False).alias("esrd"))
+    members = customers(t, 62).withColumn("dob", F.lit(date(1950, 1, 1)))
+    empty = plans.stage_detail(feed.where("false"), members, None, run(62)).withColumns(
+        {"start_date": F.lit(None).cast("timestamp_ntz"), "end_date": F.lit(None).cast("timestamp_ntz"), "run_id": F.lit(1),
+         "create_datetime": F.lit(None).cast("timestamp_ntz")})
+    save_state(empty, f"{root}/detail", 0)
+    save_state(t.spark.createDataFrame([], "run_id bigint, pmd_client_id int, run_datetime timestamp_ntz, stars_patients string, "
+                                           "stars_patients_detail string"), f"{root}/run_ledger", 0)
+    for run_id, when in enumerate(NIGHTS, 1):
+        p = RunParams(client_id=62, run_year=when.year, as_of=when, run_id=run_id)
+        seen = feed.where(C("update_datetime") < when)
+        if run_id == 2:
+            runs.open_run(t.spark, f"{root}/run_ledger", p)
+        else:
+            plans.nightly_detail(t.spark, root, seen, members, p)
+    return root
+
+
+WINDOWS = """
+    day(run, since, til) as (values (1, timestamp '1900-01-01', timestamp '1996-01-01'), (3, timestamp '1996-01-01', timestamp '1999-01-01'),
+                                    (4, timestamp '1999-01-01', timestamp '2001-01-01')),
+    pick as (select run, til, o_custkey as k, o_orderpriority as a, o_orderstatus as p, row_number() over (
+                 partition by run, o_custkey order by o_orderdate desc, o_orderpriority desc, o_orderstatus desc) as r
+             from orders join customer on c_custkey = o_custkey join day on o_orderdate >= since and o_orderdate < til),
+    step as (select *, lag(a) over (partition by k order by run) as la, lag(p) over (partition by k order by run) as lp,
+                    row_number() over (partition by k order by run) as nth from pick where r = 1),
+    opened as (select * from step where nth = 1 or a <> la or p <> lp)"""
+
+
+@query("detail_since_last_run", f"""
+    with {WINDOWS}
+    select k as patient_unique_ident, a as address, p as pbp_pclm, run as run_id,
+           case when nth = 1 then timestamp '2013-01-01' else til end as start_date,
+           lead(til) over (partition by k order by run) as end_date from opened""")
+def _(t):
+    state = load_state(t.spark, f"{nights(t)}/detail")
+    return state.select("patient_unique_ident", "address", "pbp_pclm", C("run_id").cast("int").alias("run_id"), "start_date", "end_date")
+
+
+@query("ledger_of_nightly_runs", f"""
+    with {WINDOWS}
+    select run_id, run_datetime, status as stars_patients_detail, done as stars_patients_detail_complete_datetime,
+           coalesce(n, case when done is not null then 0 end) as details_imported
+    from (values (1, timestamp '1996-01-01', 'Success', timestamp '1996-01-01'), (2, timestamp '1997-06-01', 'Not Complete', null),
+                 (3, timestamp '1999-01-01', 'Success', timestamp '1999-01-01'), (4, timestamp '2001-01-01', 'Success', timestamp '2001-01-01'))
+         l(run_id, run_datetime, status, done) left join (select run, count(*) as n from opened group by run) on run = run_id""")
+def _(t):
+    ledger = load_state(t.spark, f"{nights(t)}/run_ledger")
+    return ledger.select(C("run_id").cast("int").alias("run_id"), "run_datetime", "stars_patients_detail",
+                         "stars_patients_detail_complete_datetime", "details_imported")
+
+
 # ---- do not call ------------------------------------------------------------------------
 
 @query("dnc_flag", """

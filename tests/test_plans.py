@@ -225,3 +225,84 @@ def test_upsert_does_not_depend_on_column_order(table, values):
     assert by_b[0] == by_b[1] == [(1, "x", 1), (2, "z", 6)]
     plain = [values(upsert(target, source.select(*c), ["k"], ["a", "b"]), "k", "a", "b") for c in (("k", "a", "b"), ("b", "a", "k"))]
     assert plain[0] == plain[1]
+
+
+def detail_feed(table, *rows):
+    """Staged detail rows: member, address, time of arrival."""
+    from pyspark.sql.types import StringType
+    feed = table("patient_unique_ident int, address string, update_datetime timestamp_ntz", *rows)
+    return feed.withColumns({**{c: F.lit(None).cast(StringType()) for c in ("address_2", "city", "state", "zip_code", "supc_flag", "pbp_pclm")},
+                             "phone_number": F.lit("2125550100"), "lis_flag": F.lit(False), "esrd": F.lit(False)})
+
+
+def test_failed_detail_run_is_read_again(spark, tmp_path, table, values):
+    root = str(tmp_path)
+    who = table("patient_unique_ident int, dob date, pmd_client_id int", *[(k, date(1980, 1, 1), 66) for k in (1, 2, 3)])
+    empty = members.stage_detail(detail_feed(table).where("false"), who, None, P).withColumns(
+        {c: F.lit(None).cast("timestamp_ntz") for c in ("start_date", "end_date", "create_datetime")}).withColumn("run_id", F.lit(0))
+    tables.save_state(empty, f"{root}/detail", 0)
+    tables.save_state(table("run_id bigint, pmd_client_id int, run_datetime timestamp_ntz, stars_patients string, stars_patients_detail string",
+                            (900, 7, datetime(2030, 1, 1), "Success", "Success")), f"{root}/run_ledger", 0)  # another client's
+    feed = detail_feed(table, (1, "a", datetime(2020, 1, 5)), (2, "b", datetime(2020, 2, 5)), (3, "c", None), (1, "z", datetime(2020, 2, 6)))
+
+    def at(run_id, month):
+        return RunParams(client_id=66, run_year=2020, as_of=datetime(2020, month, 1), run_id=run_id)
+
+    def state():
+        rows = tables.load_state(spark, f"{root}/detail").where("end_date is null")
+        return {r.patient_unique_ident: (r.address, r.run_id) for r in rows.collect()}
+
+    members.nightly_detail(spark, root, feed.where("update_datetime < '2020-02-01' or update_datetime is null"), who, at(1, 2))
+    assert state() == {1: ("a", 1), 3: ("c", 1)}
+    died = at(2, 3)
+    ledger = runs.open_run(spark, f"{root}/run_ledger", died)
+    assert values(runs.rows_since(feed, ledger, 66, members.DETAIL_STEP), "address") == [("b",), ("c",), ("z",)]
+    members.nightly_detail(spark, root, feed, who, at(3, 4))
+    assert state() == {1: ("z", 3), 2: ("b", 3), 3: ("c", 1)}
+    before = values(tables.load_state(spark, f"{root}/detail"))
+    members.nightly_detail(spark, root, feed, who, at(3, 4))  # a retry of the same run
+    assert values(tables.load_state(spark, f"{root}/detail")) == before
+    members.nightly_detail(spark, root, feed.where("false"), who, at(4, 5))
+    ledger = tables.load_state(spark, f"{root}/run_ledger")
+    assert values(ledger.where("pmd_client_id = 66"), "run_id", "stars_patients_detail", "details_imported") == [
+        (1, "Success", 2), (2, "Not Complete", None), (3, "Success", 2), (4, "Success", 0)]
+
+
+def test_time_of_the_last_run_reaches_the_scan(spark, tmp_path, table):
+    detail_feed(table, (1, "a", datetime(2020, 1, 5)), (2, "b", datetime(2020, 3, 5))).write.parquet(str(tmp_path / "feed"))
+    ledger = table("run_id bigint, pmd_client_id int, run_datetime timestamp_ntz, stars_patients string, stars_patients_detail string",
+                   (1, 66, datetime(2020, 2, 1), "Success", "Success"), (2, 66, datetime(2020, 4, 1), "Success", "Not Complete"))
+    rows = runs.rows_since(spark.read.parquet(str(tmp_path / "feed")), ledger, 66, members.DETAIL_STEP)
+    assert rows.count() == 1
+    plan = rows._jdf.queryExecution().explainString(rows.sparkSession._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))
+    scan = plan[plan.index("Scan parquet"):]
+    assert "PushedFilters" in scan and "update_datetime" in scan[scan.index("PushedFilters"):scan.index("ReadSchema")], scan[:900]
+
+
+def test_medical_load_into_its_partition(spark, tmp_path, table, values):
+    """Both loads of a year leave other clients' and years' files alone."""
+    feed = MEDICAL_FEEDS[62]
+    needed = sorted({n for _, *a in feed.columns.values() for n in (a[0] if isinstance(a[0], tuple) else (a[0],)) if isinstance(n, str) and n != "runyear"})
+    schema = ", ".join(f"`{n}` string" for n in needed) + ", runyear int"
+
+    def line(claim, number, year, status="1"):
+        return tuple({"claim id": claim, "claim line number": number, "plan code": "H1234", "claim status": status,
+                      "claim submit date": f"{year}-02-01"}.get(n) for n in needed) + (year,)
+
+    path = str(tmp_path / "lines")
+    tables.replace_partitions(table("pmd_client_id int, plan_code string, claim_id string, claim_line_num bigint, claim_status smallint, runyear int",
+                                    (15, "H1234", "other", 1, 9, 2020), (62, "H1234", "old", 1, 9, 2019), (62, "H1234", "c1", 1, 0, 2020)),
+                              path, 0, claims.CLAIM_PARTITION)
+
+    def files_of(where):
+        return {r[0] for r in tables.load_partitions(spark, path).where(where).select(F.input_file_name()).collect()}
+
+    others = files_of("not (pmd_client_id = 62 and runyear = 2020)")
+    raw = table(schema, line("c1", "1", 2020, "5"), line("c2", "1", 2020), line("c2", "x", 2020))
+    p = RunParams(client_id=62, run_year=2020, as_of=P.as_of, run_id=1)
+    for _ in range(2):
+        claims.load_medical_into(spark, path, raw, feed, p)
+        got = tables.load_partitions(spark, path)
+        assert values(got, "pmd_client_id", "claim_id", "claim_status", "runyear") == [
+            (15, "other", 9, 2020), (62, "c1", 5, 2020), (62, "c2", 1, 2020), (62, "old", 9, 2019)]
+    assert files_of("not (pmd_client_id = 62 and runyear = 2020)") == others

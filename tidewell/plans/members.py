@@ -6,7 +6,7 @@ from collections.abc import Mapping
 from dataclasses import dataclass
 from datetime import date
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewell.functions import codes, dates
@@ -16,6 +16,8 @@ from tidewell.operators.picking import latest_with_ties
 from tidewell.operators.totals import scalar
 from tidewell.params import RunParams
 from tidewell.plans.eligibility import latest_plan
+from tidewell.plans.runs import close_run, open_run, rows_since
+from tidewell.sources.tables import load_state, save_state
 
 # Columns whose change opens a new version of a member.
 DETAIL_COMPARED = ("address", "address_2", "city", "state", "zip_code", "phone_number", "pbp_pclm",
@@ -35,9 +37,20 @@ def stage_detail(staged: DataFrame, members: DataFrame, phones: DataFrame | None
         "patient_agebandsort": codes.age_band_sort("dob", p.today)}).drop("dob")
 
 
+# Step of a run whose completion moves the time from which detail rows are read.
+DETAIL_STEP = "stars_patients_detail"
+
+
 def refresh_detail(staged: DataFrame, members: DataFrame, detail: DataFrame, p: RunParams,
-                   phones: DataFrame | None = None, first_start=FIRST_START, as_written: bool = False) -> DataFrame:
-    """New state of the member detail after merging a staged file; a member's newest staged row counts."""
+                   phones: DataFrame | None = None, first_start=FIRST_START, as_written: bool = False,
+                   ledger: DataFrame | None = None, arrived: str = "update_datetime") -> DataFrame:
+    """New state of the member detail after merging a staged file; a member's newest staged row counts.
+
+    With the ``ledger`` of runs ``staged`` is the whole feed, of which only rows that arrived since the
+    client's last complete detail run are read.
+    """
+    if ledger is not None:
+        staged = rows_since(staged, ledger, p.client_id, DETAIL_STEP, arrived)
     rows = stage_detail(staged, members, phones, p)
     today = dates.moment(p.today)
     return scd2_merge(detail, rows, "patient_unique_ident", DETAIL_COMPARED, p.as_of, first_start,
@@ -46,6 +59,19 @@ def refresh_detail(staged: DataFrame, members: DataFrame, detail: DataFrame, p:
                       extra={"run_id": F.lit(p.run_id), "create_datetime": today, "update_datetime": today})
 
 
+def nightly_detail(spark: SparkSession, root: str, feed: DataFrame, members: DataFrame, p: RunParams,
+                   phones: DataFrame | None = None, **rules) -> None:
+    """A member run over the tables kept below ``root``: ledger opened, new rows merged, detail saved, ledger closed.
+
+    A run that dies leaves its entry incomplete, so that its retry, or the next run, reads the same rows again.
+    """
+    ledger = open_run(spark, f"{root}/run_ledger", p)
+    detail = load_state(spark, f"{root}/detail", before=p.run_id)
+    save_state(refresh_detail(feed, members, detail, p, phones, ledger=ledger, **rules), f"{root}/detail", p.run_id)
+    changed = load_state(spark, f"{root}/detail", p.run_id).where(F.col("run_id") == p.run_id)
+    close_run(spark, f"{root}/run_ledger", p, DETAIL_STEP, {"details_imported": changed.agg(F.count(F.lit(1))).scalar()})
+
+
 # ---- flags ----------------------------------------------------------------------
 
 @dataclass(frozen=True)

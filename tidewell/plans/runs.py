@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewell.functions import dates
@@ -12,7 +12,7 @@ from tidewell.operators.changes import assign, flag_matched
 from tidewell.operators.matching import only_new
 from tidewell.operators.totals import max_or, scalar
 from tidewell.params import RunParams
-from tidewell.sources.tables import archive, overwrite, write_run
+from tidewell.sources.tables import archive, load_state, overwrite, save_state, write_run
 
 # The row that says there is nothing to do.
 NOTHING_QUEUED = {"planidentifier_pclm": "0", "pmd_client_id": "0", "clientname": "0",
@@ -90,6 +90,30 @@ def last_complete(ledger: DataFrame, client_id: int, status_col: str) -> DataFra
     return max_or(done, "run_datetime", dates.moment(date(1900, 1, 1)), "last_run")
 
 
+def rows_since(feed: DataFrame, ledger: DataFrame, client_id: int, step: str, arrived: str = "update_datetime") -> DataFrame:
+    """Rows of a feed that arrived since the client's last run in which ``step`` was completed.
+
+    The time is a scalar that reaches the scan as a filter. Rows of that very moment are read again, since they may
+    have come after it was read; rows without a time are read at each run. Runs that failed don't count, so what they
+    left undone is read again.
+    """
+    since = last_complete(ledger, client_id, step).scalar()
+    return feed.where((F.col(arrived) >= since) | F.col(arrived).isNull())
+
+
+def open_run(spark: SparkSession, path: str, p: RunParams) -> DataFrame:
+    """Enter the run in the ledger kept at ``path``; a retry enters it once. Returns the ledger."""
+    before = load_state(spark, path, before=2 * p.run_id)
+    save_state(run_open(before, p), path, 2 * p.run_id)
+    return load_state(spark, path, 2 * p.run_id)
+
+
+def close_run(spark: SparkSession, path: str, p: RunParams, status_col: str, counts: dict[str, Column]) -> None:
+    """Enter a step of the run as complete in the ledger kept at ``path``."""
+    opened = load_state(spark, path, before=2 * p.run_id + 1)
+    save_state(run_close(opened, p, status_col, counts), path, 2 * p.run_id + 1)
+
+
 def upsert_pending(requests: DataFrame, wanted: DataFrame, keys: tuple, p: RunParams) -> DataFrame:
     """Touch pending requests of the wanted keys; add a request where none is pending."""
     pending = F.col("completed").isNull()
