@@ -466,7 +466,7 @@ def nights(t):
         F.lit("2125550100").alias("phone_number"), C("o_orderdate").alias("update_datetime"),
         *[F.lit(None).cast("string").alias(c) for c in ("address_2", "city", "state", "zip_code", "supc_flag")],
         F.lit(None).cast("boolean").alias("lis_flag"), F.lit(False).alias("esrd"))
-    members = customers(t, 62).withColumn("dob", F.lit(date(1950, 1, 1)))
+    members = customers(t, 62).withColumn("dob", F.lit(date(1955, 6, 1)))  # one age band in all runs
     empty = plans.stage_detail(feed.where("false"), members, None, run(62)).withColumns(
         {"start_date": F.lit(None).cast("timestamp_ntz"), "end_date": F.lit(None).cast("timestamp_ntz"), "run_id": F.lit(1),
          "create_datetime": F.lit(None).cast("timestamp_ntz")})
