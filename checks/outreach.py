@@ -8,6 +8,8 @@ from checks.registry import query
 from tidewell.operators.totals import union_distinct
 from tidewell.params import RunParams
 from tidewell.plans import outreach
+from tidewell.session import shared_folder
+from tidewell.sources import tables
 
 C = F.col
 P = RunParams(client_id=0, run_year=2024, as_of=datetime(2024, 1, 31, 9), tz="America/Chicago")
@@ -220,7 +222,9 @@ def _(t):
     select call_id, dtp_id, dtpdetail_id, pmd_patient_id, call_status, member_id as pbp_pclm, caller_name from hist
     where pmd_client_id < 20 and not (call_start_at < timestamp '2024-01-15')""")
 def _(t):
-    staged = outreach.call_history(history_tables(t), P)
+    path = shared_folder(t.spark)
+    tables.overwrite(outreach.call_history(history_tables(t), P), path)  # the staging table of the day
+    staged = tables.read_table(t.spark, path)
     loaded = staged.where("call_start_at < timestamp_ntz '2024-01-15'")
     detail = t.customer.select(
         C("c_custkey").alias("patient_unique_ident"), C("c_name").alias("pbp_pclm"), C("c_mktsegment").alias("accountid_pclm"),

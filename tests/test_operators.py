@@ -234,3 +234,46 @@ def test_scd2_as_written_gives_new_members_two_rows(table, values):
     dim, staged = members(table)
     got = values(merge(dim, staged, as_written=True).where("member = 6"), "start_date", "end_date")
     assert got == [(FIRST, TODAY), (TODAY, None)]
+
+
+def test_key_filter_passes_every_partner(spark, table):
+    from tidewell.operators.matching import having_match, key_filter, might_match
+    rows = spark.range(0, 20_000).selectExpr("id - 10000 as id", "if(id % 7 = 0, null, concat('k', id)) as name")
+    for key, wanted in (("id", spark.range(0, 500).selectExpr("id * 17 - 3000 as w")),
+                        ("name", spark.range(0, 500).selectExpr("concat('k', id * 23) as w")),
+                        ("id", table("w int", (5,), (None,), (5,))), ("id", table("w bigint", (None,)))):
+        near, exact = might_match(rows, wanted, (key, "w")), having_match(rows, wanted, [(key, "w")])
+        assert near.columns == rows.columns
+        assert exact.exceptAll(near).count() == 0 and near.exceptAll(rows).count() == 0
+        assert near.count() <= exact.count() + 50, key
+        assert key_filter(wanted, "w").count() <= wanted.distinct().count()
+
+
+def test_key_filter_runs_before_the_shuffle(spark, tmp_path, table):
+    from tidewell.operators.matching import might_match
+    spark.range(0, 5000).selectExpr("id", "id * 2 as v").write.parquet(str(tmp_path / "facts"))
+    facts = spark.read.parquet(str(tmp_path / "facts"))
+    wanted = spark.range(100, 110).selectExpr("id as claim_id")
+    joined = might_match(facts, wanted, ("id", "claim_id")).hint("merge").join(wanted.hint("merge"), F.col("id") == F.col("claim_id"))
+    plan = joined._jdf.queryExecution().executedPlan().toString()
+    side = plan[:plan.index("FileScan")]
+    # From the scan upwards: the filter's join, then the exchange of the join that follows.
+    assert side.index("SortMergeJoin") < side.index("Exchange hashpartitioning(id") < side.index("BroadcastHashJoin")
+    assert "id >= Subquery" in plan.replace("#", " ").replace("(id", "id") or "Subquery" in plan
+    assert sorted(r.v for r in joined.collect()) == [2 * k for k in range(100, 110)]
+
+
+def test_claims_of_no_opportunity_go_below_the_exchange(spark, tmp_path, table):
+    from dataclasses import fields
+
+    from tidewell.plans import outreach
+    claims = table("id bigint, provider_npi bigint, ndc string, drug_name string, prescription_service_num string, date_of_service date, "
+                   "quantity_dispensed double, days_supply int", *[(k, k, "n", "d", "p", None, 1.0, 30) for k in range(300)])
+    claims.write.parquet(str(tmp_path / "claims"))
+    none = {f.name: None for f in fields(outreach.OutreachTables)}
+    t = outreach.OutreachTables(**{**none, "pharmacy_claims": spark.read.parquet(str(tmp_path / "claims")),
+                                   "dtp_claims": table("dtp_id int, pharmacy_claim_id bigint", (1, 5), (1, 7), (2, 8), (9, 200))})
+    got = outreach.last_claims(t, table("dtp_id int", (1,), (2,), (3,)))
+    assert sorted((r.dtp_id, r.claim_id, r.claim_npi) for r in got.collect()) == [(1, 7, "7"), (2, 8, "8")]
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert plan.index("BroadcastHashJoin [pmod(xxhash64(id") > 0 and "bits" in plan

@@ -1,6 +1,6 @@
 """Joins by meaning: new rows, matching rows, lookups, periods.
 
-No join here carries a broadcast hint. Spark broadcasts a side by the size it finds
+No join here carries a broadcast hint but that of a key filter, which has a bounded size. Spark broadcasts a side by the size it finds
 at run time; beyond its bound the join shuffles, and AQE splits a partition that one
 key has made too large.
 """
@@ -63,6 +63,44 @@ def having_match(df: DataFrame, second: DataFrame, keys: Sequence[Key], residual
     return df.join(side, condition if residual is None else condition & residual, "left_semi")
 
 
+FILTER_WORDS = 1 << 20  # of a Bloom filter: 8 MB of bits, whatever the number of keys
+PROBES = 3
+
+
+def _filter_place(key: Column) -> tuple[Column, Column]:
+    """Word of a key, and the bits of it that the key sets."""
+    word, mask = F.pmod(F.xxhash64(key), F.lit(FILTER_WORDS)), F.lit(0).cast("bigint")
+    for k in range(PROBES):
+        mask = mask.bitwiseOR(F.call_function("shiftleft", F.lit(1).cast("bigint"), F.pmod(F.xxhash64(key, F.lit(k)), F.lit(64)).cast("int")))
+    return word, mask
+
+
+def key_filter(keys: DataFrame, name: str) -> DataFrame:
+    """Bloom filter of the values of a column: (word, bits), at most ``FILTER_WORDS`` rows.
+
+    Beyond some ten million keys it lets ever more others pass, but it never holds a key back.
+    """
+    word, mask = _filter_place(F.col(name))
+    return keys.where(F.col(name).isNotNull()).groupBy(word.alias("word")).agg(F.bit_or(mask).alias("bits"))
+
+
+def might_match(df: DataFrame, wanted: DataFrame, key: Key) -> DataFrame:
+    """Rows of ``df`` that may have a partner in ``wanted``; those that can't go before any shuffle.
+
+    A Bloom filter of the wanted keys, of bounded size, is sent to the tasks that scan ``df``, and the range of the keys
+    reaches the scan itself. A join on the same key should follow: some rows without a partner pass.
+    """
+    name, second = key if isinstance(key, tuple) else (key, key)
+    kind = wanted.schema[second].dataType
+    value = F.col(name).cast(kind)
+    spans = wanted.agg(F.min(second).alias("low"), F.max(second).alias("high"))
+    near = df.where(F.col(name).between(spans.select("low").scalar(), spans.select("high").scalar()))
+    word, mask = _filter_place(value)
+    held = F.broadcast(key_filter(wanted, second).withColumnsRenamed({"word": "__word", "bits": "__bits"}))
+    hit = F.col("__bits").bitwiseAND(mask) == mask
+    return near.join(held, (word == F.col("__word")) & hit).select(*[F.col(f"`{c}`") for c in df.columns])
+
+
 def not_in(df: DataFrame, second: DataFrame, key: str, second_key: str | None = None) -> DataFrame:
     """SQL ``NOT IN``: one NULL in ``second`` empties the result.
 

@@ -12,9 +12,8 @@ from tidewell.operators.changes import update_from
 from tidewell.operators.matching import only_new
 from tidewell.params import RunParams
 from tidewell.plans.runs import history_upsert, queue_clients
-from tidewell.session import shared_folder
 from tidewell.sources.files import glob_to_regex, list_files, with_counts
-from tidewell.sources.tables import overwrite
+from tidewell.sources.tables import written
 from tidewell.sources.watch import active_watch_config, html_report, location_column
 
 
@@ -86,10 +85,7 @@ def file_arrival(root: str, config: DataFrame, control: DataFrame, history: Data
     ``found`` are files that were listed before.
     """
     if found is None:
-        found = arrived_files(root, ready_entries(config, control, p.env))
-        path = shared_folder(found.sparkSession)
-        overwrite(found, path)
-        found = found.sparkSession.read.schema(found.schema).parquet(path)
+        found = written(arrived_files(root, ready_entries(config, control, p.env)))
     new_config = count_waiting(config, found, p)
     located = new_config.withColumn("filelocation", F.col(location_column(p.env)))
     return Arrival(

@@ -9,10 +9,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidewell.functions import codes, dates, text
-from tidewell.operators.matching import having_match, match_side, only_new, other
+from tidewell.operators.matching import having_match, match_side, might_match, only_new, other
 from tidewell.operators.picking import top1_per_key
-from tidewell.operators.totals import union_distinct
 from tidewell.params import RunParams
+from tidewell.sources.tables import written
 
 # Call results and the days to wait after them.
 RETRY_DAYS = {(11, 12): 1, (7, 8, 9, 14): 3, (18,): 7, (15,): 10}
@@ -131,9 +131,10 @@ class OutreachTables:
     pharmacy_claims: DataFrame
 
 
-def _named(df: DataFrame, key: str, name: str, source: str = "name") -> DataFrame:
-    """Small name table, ready to join on ``key``."""
-    return df.select(F.col("id").alias(key), F.col(source).alias(name))
+def _named(df: DataFrame, key: str, name: str, source: str = "name", mark: str | None = None) -> DataFrame:
+    """Name table, ready to join on ``key``; ``mark`` is true in rows that it has."""
+    marks = [F.lit(True).alias(mark)] if mark else []
+    return df.select(F.col("id").alias(key), F.col(source).alias(name), *marks)
 
 
 def _call_columns(calls: DataFrame) -> DataFrame:
@@ -145,17 +146,6 @@ def _call_columns(calls: DataFrame) -> DataFrame:
         F.col("stopped_at").alias("ended_at"))
 
 
-def _with_call_names(rows: DataFrame, t: OutreachTables) -> DataFrame:
-    rows = rows.join(_named(t.call_types, "call_type_id", "call_type_name"), "call_type_id")
-    rows = rows.join(_named(t.statuses, "call_status_id", "call_status"), "call_status_id")
-    return rows.join(_named(t.status_details, "__detail", "call_status_details", "description"), "__detail", "left")
-
-
-def _with_categories(rows: DataFrame, t: OutreachTables) -> DataFrame:
-    rows = rows.join(_named(t.categories, "category_id", "category"), "category_id")
-    return rows.join(_named(t.sub_categories, "sub_category_id", "subcategory"), "sub_category_id")
-
-
 CONTACT_COLUMNS = (
     "call_id", "dtpdetail_id", "dtp_id", "dtp_cnsld_call_list_id", "user_id", "noted_at", "started_at", "ended_at",
     "call_status_id", "call_status_detail_id", "category_id", "sub_category_id", "freetextnotes", "call_status",
@@ -170,40 +160,54 @@ def current_dtps(t: OutreachTables, p: RunParams) -> DataFrame:
 def contacts(t: OutreachTables, p: RunParams) -> DataFrame:
     """Calls with details, calls without any, and details without a call.
 
-    Links and details of other years' opportunities go first, by semi joins. The
-    three kinds meet here, before the opportunity columns are joined, so that those
-    joins run once.
+    Links and details of other years' opportunities go first, by semi joins. Then all three kinds follow from one
+    join of linked calls and details: pairs, calls without a detail of theirs and details without a call of theirs. Of
+    the calls those count that have no detail of any year, of the details those that name no call.
     """
     wanted = current_dtps(t, p)
     every = t.dtp_details.where(F.col("deleted_at").isNull())
-    live = having_match(every, wanted, [("dtp_id", "id")])
     links = having_match(t.call_dtps, wanted, [("dtp_id", "id")]).select("call_id", "dtp_id").distinct()
-    calls = having_match(_call_columns(t.calls), links, ["call_id"])
-    noted = live.select(F.col("id").alias("dtpdetail_id"), "call_id", "dtp_id", "category_id", "sub_category_id",
-                        F.col("note").alias("freetextnotes"))
-    with_detail = _with_categories(_with_call_names(calls.join(links, "call_id").join(noted, ["call_id", "dtp_id"]), t), t)
-
-    silent = only_new(calls, every, ["call_id"]).join(links, "call_id")  # silent: no detail of any year
-    without_detail = _with_call_names(silent, t).withColumns({
-        "dtpdetail_id": F.lit(0), "category_id": F.lit(0), "sub_category_id": F.lit(0),
-        "freetextnotes": F.lit(""), "category": F.lit(""), "subcategory": F.lit("")})
-
-    inbound = live.where(F.col("call_id").isNull()).select(
-        F.lit(0).alias("call_id"), F.col("id").alias("dtpdetail_id"), "dtp_id",
-        F.lit(0).alias("dtp_cnsld_call_list_id"), "user_id", F.col("updated_at").alias("noted_at"),
-        F.col("created_at").alias("started_at"), F.col("updated_at").alias("ended_at"),
-        F.lit(0).alias("call_status_id"), F.lit(0).alias("call_status_detail_id"), "category_id", "sub_category_id",
-        F.col("note").alias("freetextnotes"), F.lit(INBOUND).alias("call_status"),
-        F.lit(INBOUND).alias("call_status_details"), F.lit(None).cast("int").alias("call_type_id"),
-        F.lit(None).cast("string").alias("call_type_name"))
-    inbound = _with_categories(inbound, t)
-    return union_distinct(*[rows.select(*CONTACT_COLUMNS) for rows in (with_detail, without_detail, inbound)])
+    noted_calls = every.select(F.col("call_id").alias("noted_call")).distinct()
+    calls = _call_columns(t.calls).join(links, "call_id").join(noted_calls, F.col("call_id") == F.col("noted_call"), "left")
+    live = having_match(every, wanted, [("dtp_id", "id")]).select(
+        F.col("id").alias("dtpdetail_id"), F.col("call_id").alias("detail_call"), F.col("dtp_id").alias("detail_dtp"),
+        F.col("user_id").alias("detail_user"), "category_id", "sub_category_id", F.col("note").alias("freetextnotes"),
+        F.col("created_at").alias("detail_created"), F.col("updated_at").alias("detail_updated"))
+    rows = calls.join(live, (F.col("call_id") == F.col("detail_call")) & (F.col("dtp_id") == F.col("detail_dtp")), "full_outer")
+    called, detailed = F.col("call_id").isNotNull(), F.col("dtpdetail_id").isNotNull()
+    silent = called & ~detailed & F.col("noted_call").isNull()
+    inbound = ~called & F.col("detail_call").isNull()
+    rows = rows.where((called & detailed) | silent | inbound)
+
+    rows = rows.join(_named(t.call_types, "call_type_id", "call_type_name", mark="__type"), "call_type_id", "left")
+    rows = rows.join(_named(t.statuses, "call_status_id", "call_status", mark="__status"), "call_status_id", "left")
+    rows = rows.join(_named(t.status_details, "__detail", "call_status_details", "description"), "__detail", "left")
+    rows = rows.join(_named(t.categories, "category_id", "category", mark="__category"), "category_id", "left")
+    rows = rows.join(_named(t.sub_categories, "sub_category_id", "subcategory", mark="__sub"), "sub_category_id", "left")
+    # A call must have a known type and result, a detail a known category.
+    rows = rows.where((~called | F.col("__type").isNotNull() & F.col("__status").isNotNull())
+                      & (~detailed | F.col("__category").isNotNull() & F.col("__sub").isNotNull()))
+
+    zero, blank, label = F.lit(0), F.lit(""), F.lit(INBOUND)
+    of_call = {"call_id": zero, "dtp_id": F.col("detail_dtp"), "dtp_cnsld_call_list_id": zero, "user_id": F.col("detail_user"),
+               "noted_at": F.col("detail_updated"), "started_at": F.col("detail_created"), "ended_at": F.col("detail_updated"),
+               "call_status_id": zero, "call_status_detail_id": zero, "call_status": label, "call_status_details": label}
+    of_detail = {"dtpdetail_id": zero, "category_id": zero, "sub_category_id": zero, "freetextnotes": blank,
+                 "category": blank, "subcategory": blank}
+    rows = rows.withColumns({**{c: F.when(called, F.col(c)).otherwise(v) for c, v in of_call.items()},
+                             **{c: F.when(detailed, F.col(c)).otherwise(v) for c, v in of_detail.items()}})
+    return rows.select(*CONTACT_COLUMNS).distinct()
 
 
 def last_claims(t: OutreachTables, wanted: DataFrame) -> DataFrame:
-    """Claim columns of the highest claim id of each wanted opportunity."""
+    """Claim columns of the highest claim id of each wanted opportunity.
+
+    Claims of no opportunity, nearly all of them, go while they are scanned. The ids, one for each opportunity,
+    are written first, since the filter, the range and the join read them.
+    """
     newest = having_match(t.dtp_claims, wanted, ["dtp_id"]).groupBy("dtp_id").agg(F.max("pharmacy_claim_id").alias("claim_id"))
-    claims = t.pharmacy_claims.select(
+    newest = written(newest)
+    claims = might_match(t.pharmacy_claims, newest, ("id", "claim_id")).select(
         F.col("id").alias("claim_id"), F.col("provider_npi").cast("string").alias("claim_npi"),
         F.col("ndc").alias("claim_ndc"), F.col("drug_name").alias("claim_drug"), "prescription_service_num",
         "date_of_service", "quantity_dispensed", "days_supply")

@@ -22,6 +22,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidewell.session import shared_folder
+
 STATE_COLUMN = "state_run"
 RUN_COLUMN = "history_run"
 
@@ -40,6 +42,13 @@ def read_jdbc(spark: SparkSession, url: str, table: str, column: str, lower: int
             .option("lowerBound", lower).option("upperBound", upper).load())
 
 
+def written(df: DataFrame) -> DataFrame:
+    """``df`` written to a new folder that all machines share, and read from there; for what several steps read."""
+    path = shared_folder(df.sparkSession)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def append(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
     df.write.mode("append").partitionBy(*partition_by).parquet(path)
 
