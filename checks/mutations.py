@@ -128,7 +128,7 @@ DETAIL = """
 BAD_PHONE = "(left({0}, 3) in ('999','111','222','333','444','555','666','777','888','123','000') or length(trim({0})) < 10 or {0} is null)"
 
 
-@query("scd2_detail", f"""
+SCD2_DETAIL = f"""
     with o as (select * from {DETAIL.format(day='1997-01-01')} where r = 1),
          n as (select * from {DETAIL.format(day='1998-01-01')} where r = 1),
          j as (select o.member as om, n.member as nm, o.address as oa, n.address as na, o.plan as op, n.plan as np,
@@ -149,8 +149,10 @@ BAD_PHONE = "(left({0}, 3) in ('999','111','222','333','444','555','666','777','
     select member, address, plan, phone, timestamp '2012-01-01', timestamp '2013-01-01'
     from {DETAIL.format(day='1996-01-01')} where r = 1 and member in (select om from j)
     union all
-    select om, oa, op, oph, timestamp '2012-06-01', timestamp '2014-06-30' from j where om % 7 = 0""")
-def _(t):
+    select om, oa, op, oph, timestamp '2012-06-01', timestamp '2014-06-30' from j where om % 7 = 0"""
+
+
+def history_case(t):
     no_end = F.lit(None).cast("timestamp_ntz")
     first = F.lit("2013-01-01").cast("timestamp_ntz")
     current = detail(t, "1997-01-01").withColumns({"start_date": first, "end_date": no_end})
@@ -158,8 +160,24 @@ def _(t):
     older = current.where("member % 7 = 0").withColumn("start_date", F.lit("2012-06-01").cast("timestamp_ntz"))
     newest = detail(t, "1998-01-01").withColumn("seen", F.lit(2))
     staged = newest.unionByName(newest.where("member % 5 = 0").withColumns({"plan": F.lit("9-STALE"), "seen": F.lit(1)}))
-    return history.scd2_merge(current.unionByName(closed).unionByName(older), staged, "member",
-                              ["address", "plan", "phone"], datetime(2014, 6, 30), repair="phone", order=["seen"])
+    return current.unionByName(closed).unionByName(older), staged
+
+
+HISTORY_RULES = {"key": "member", "cols": ["address", "plan", "phone"], "as_of": datetime(2014, 6, 30), "repair": "phone", "order": ["seen"]}
+
+
+@query("scd2_detail", SCD2_DETAIL)
+def _(t):
+    return history.scd2_merge(*history_case(t), **HISTORY_RULES)
+
+
+@query("scd2_detail_by_hash", SCD2_DETAIL)
+def _(t):
+    """Some open versions keep their hash, others have none yet."""
+    dim, staged = history_case(t)
+    kept = F.when((F.col("member") % 2 == 0) & F.col("end_date").isNull(), history.row_digest(HISTORY_RULES["cols"]))
+    state = history.scd2_merge_by_hash(dim.withColumn("row_hash", kept), staged, row_hash="row_hash", **HISTORY_RULES)
+    return state.drop("row_hash")
 
 
 @query("guardian_upsert", """

@@ -277,3 +277,51 @@ def test_claims_of_no_opportunity_go_below_the_exchange(spark, tmp_path, table):
     assert sorted((r.dtp_id, r.claim_id, r.claim_npi) for r in got.collect()) == [(1, 7, "7"), (2, 8, "8")]
     plan = got._jdf.queryExecution().executedPlan().toString()
     assert plan.index("BroadcastHashJoin [pmod(xxhash64(id") > 0 and "bits" in plan
+
+
+def test_merge_by_hash_equals_plain_merge(spark, table, values):
+    """Over several runs, with NULLs, invalid numbers, several open rows and rows without a key."""
+    rng = random.Random(8)
+    names = "k int, a string, phone string, flag boolean, start_date timestamp_ntz, end_date timestamp_ntz, note string"
+
+    def row(k):
+        return k, rng.choice([None, "", "x", "y"]), rng.choice([None, "2125550100", "9995550100", "7185550100"]), rng.choice([None, False, True])
+
+    start = [(*row(k), datetime(2019, 1 + k % 3, 1), datetime(2019, 6, 1) if k % 4 == 0 else None, "n") for k in range(60)]
+    start += [(*row(k), datetime(2019, 5, 1), None, "second") for k in range(0, 20, 3)] + [(None, "x", None, None, datetime(2019, 1, 1), None, "nobody")]
+    for rules in ({"as_written": True}, {"repair": "phone", "defaults": {"flag": False}}):
+        plain = hashed = kept = table(names, *start)
+        kept = kept.withColumn("row_hash", F.lit(None).cast("bigint"))
+        for month in (1, 2):
+            staged = table("k int, a string, phone string, flag boolean", *[row(rng.randrange(80)) for _ in range(30)], (None, "q", None, None))
+            call = dict(key="k", cols=["a", "phone", "flag"], as_of=date(2020, month, 1), **rules)
+            plain = history.scd2_merge(plain, staged, **call)
+            hashed = history.scd2_merge_by_hash(hashed, staged, **call)
+            kept = history.scd2_merge_by_hash(kept, staged, row_hash="row_hash", **call)
+            want = values(plain, *[c for c in plain.columns])
+            assert values(hashed, *plain.columns) == values(kept.drop("row_hash"), *plain.columns) == want
+            plain, hashed, kept = (table(df.schema, *df.collect()) for df in (plain, hashed, kept))
+            assert kept.where((F.col("end_date").isNull() & F.col("k").isNotNull()) != F.col("row_hash").isNotNull()).where("k is not null").count() == 0
+
+
+def test_unchanged_members_move_by_key_and_hash_only(spark, tmp_path, table):
+    schema = "k bigint, a string, wide string, start_date timestamp_ntz, end_date timestamp_ntz"
+    rows = spark.range(0, 3000).selectExpr("id as k", "concat('a', id) as a", "repeat('w', 50) as wide",
+                                           "timestamp_ntz'2020-01-01' as start_date", "cast(null as timestamp_ntz) as end_date")
+    rows.write.parquet(str(tmp_path / "dim"))
+    dim = spark.read.parquet(str(tmp_path / "dim"))
+    staged = dim.select("k", "a", "wide").where("k < 2000").withColumn("a", F.when(F.col("k") == 7, "new").otherwise(F.col("a")))
+    state = history.scd2_merge_by_hash(dim, staged, "k", ["a", "wide"], date(2020, 7, 1))
+    assert state.count() == 3001 and state.where("end_date is not null").count() == 1
+    plan = state._jdf.queryExecution().executedPlan().toString()
+    near = matching.might_match(dim, table("k bigint", (7,)), "k")
+    assert near.count() < 5 and dim.columns == schema.replace(" bigint", "").replace(" string", "").replace(" timestamp_ntz", "").split(", ")
+    assert "bits" in plan
+
+
+def test_rows_that_pass_by_a_filter(table, values):
+    rows = table("k int, v string", (1, "a"), (2, "b"), (None, "c"), (3, "d"))
+    wanted = table("w bigint", (2,), (None,))
+    assert values(matching.passes_by(rows, wanted, ("k", "w")), "v") == [("a",), ("c",), ("d",)]
+    assert values(matching.passes_by(rows, wanted.where("false"), ("k", "w")), "v") == [("a",), ("b",), ("c",), ("d",)]
+    assert values(matching.might_match(rows, wanted.where("false"), ("k", "w")), "v") == []

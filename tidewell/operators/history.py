@@ -12,12 +12,47 @@ from pyspark.sql import functions as F
 
 from tidewell.functions.dates import moment
 from tidewell.functions.text import valid_phone
-from tidewell.operators.matching import one_per_key
+from tidewell.operators.matching import might_match, one_per_key, passes_by
+from tidewell.sources.tables import written
 
 # Fixed value: start of the first version of every member.
 FIRST_START = datetime(2013, 1, 1)
 
 
+def row_digest(cols: Sequence[str], defaults: dict | None = None) -> Column:
+    """Hash of columns in which NULL differs from every value (but a column's default) and keeps its place."""
+    defaults = defaults or {}
+    values = [F.coalesce(F.col(c), F.lit(defaults[c])) if c in defaults else F.col(c) for c in cols]
+    return F.xxhash64(*[part for value in values for part in (value.isNull(), value)])
+
+
+def scd2_merge_by_hash(dim: DataFrame, staged: DataFrame, key: str, cols: Sequence[str], as_of: date | datetime,
+                       row_hash: str | None = None, order: Sequence[str] = (), defaults: dict | None = None, **rules) -> DataFrame:
+    """``scd2_merge`` for large dimensions and files in which few members have changed.
+
+    Of the dimension only key and hash of open versions move, to where the staged rows are; staged rows whose hash is that of the single open version go. The others
+    are written, and a Bloom filter of their keys tells the rows of the dimension that may be concerned: those are
+    merged, values compared exactly. All other rows, closed ones too, pass by without a shuffle.
+
+    The hash is that of the compared columns, taken as they are scanned. ``row_hash`` names a column that keeps it with each
+    open version instead, so that the columns aren't read; nothing else may change them then.
+    """
+    value = F.coalesce(F.col(row_hash), row_digest(cols, defaults)) if row_hash else row_digest(cols, defaults)
+    opened = dim.where(F.col("end_date").isNull() & F.col(key).isNotNull())
+    known = opened.groupBy(F.col(key).alias("__known")).agg(F.count(F.lit(1)).alias("__open"), F.min(value).alias("__hash"))
+    carried = sorted(c for c in staged.columns if c in dim.columns and c not in (key, row_hash))
+    fresh = one_per_key(staged.where(F.col(key).isNotNull()), [key], carried, order=order)
+    side = known.join(fresh, F.col("__known") == F.col(key), "full_outer")
+    absent = F.col("__known").isNull()
+    concerned = side.where((F.col("__open") > 1) | F.col(key).isNotNull() & (absent | (F.col("__hash") != row_digest(cols, defaults))))
+    concerned = written(concerned.withColumn("__concerned", F.coalesce("__known", key)))
+    near = might_match(dim, concerned, (key, "__concerned"))
+    rows = concerned.where(F.col(key).isNotNull()).select(key, *carried)
+    merged = scd2_merge(near, rows, key, cols, as_of, defaults=defaults, **rules)
+    state = merged.unionByName(passes_by(dim, concerned, (key, "__concerned")))
+    return state.withColumn(row_hash, F.when(F.col("end_date").isNull(), value)) if row_hash else state
+
+
 def scd2_merge(dim: DataFrame, staged: DataFrame, key: str, cols: Sequence[str], as_of: date | datetime,
                first_start: datetime = FIRST_START, repair: str | None = None,
                extra: dict[str, Column] | None = None, defaults: dict | None = None,
@@ -50,7 +85,7 @@ def scd2_merge(dim: DataFrame, staged: DataFrame, key: str, cols: Sequence[str],
     names = dim.columns
 
     closed = dim.where(F.col("end_date").isNotNull())
-    latest = Window.partitionBy(key).orderBy(F.col("start_date").desc_nulls_last(), *[F.col(c).desc() for c in sorted(names)])
+    latest = Window.partitionBy(key).orderBy(F.col("start_date").desc_nulls_last(), row_digest(sorted(names)))
     opened = dim.where(F.col("end_date").isNull())
     ranked = opened.where(F.col(key).isNotNull()).withColumn("__rank", F.row_number().over(latest))
     current = ranked.where("__rank = 1").drop("__rank")

@@ -94,11 +94,23 @@ def might_match(df: DataFrame, wanted: DataFrame, key: Key) -> DataFrame:
     kind = wanted.schema[second].dataType
     value = F.col(name).cast(kind)
     spans = wanted.agg(F.min(second).alias("low"), F.max(second).alias("high"))
-    near = df.where(F.col(name).between(spans.select("low").scalar(), spans.select("high").scalar()))
+    near = df.where(value.between(spans.select("low").scalar(), spans.select("high").scalar()))
+    return _filtered(near, wanted, value, second, "inner").where("__hit").select(*[F.col(f"`{c}`") for c in df.columns])
+
+
+def passes_by(df: DataFrame, wanted: DataFrame, key: Key) -> DataFrame:
+    """Rows of ``df`` that ``might_match`` leaves out, rows without a key among them; nothing is shuffled."""
+    name, second = key if isinstance(key, tuple) else (key, key)
+    value = F.col(name).cast(wanted.schema[second].dataType)
+    rows = _filtered(df, wanted, value, second, "left")
+    return rows.where(~F.coalesce("__hit", F.lit(False))).select(*[F.col(f"`{c}`") for c in df.columns])
+
+
+def _filtered(df: DataFrame, wanted: DataFrame, value: Column, second: str, how: str) -> DataFrame:
     word, mask = _filter_place(value)
     held = F.broadcast(key_filter(wanted, second).withColumnsRenamed({"word": "__word", "bits": "__bits"}))
-    hit = F.col("__bits").bitwiseAND(mask) == mask
-    return near.join(held, (word == F.col("__word")) & hit).select(*[F.col(f"`{c}`") for c in df.columns])
+    word = F.when(value.isNotNull(), word)
+    return df.join(held, word == F.col("__word"), how).withColumn("__hit", F.col("__bits").bitwiseAND(mask) == mask)
 
 
 def not_in(df: DataFrame, second: DataFrame, key: str, second_key: str | None = None) -> DataFrame:

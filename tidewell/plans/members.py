@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from tidewell.functions import codes, dates
 from tidewell.operators.changes import flag_matched, refresh_flag, update_from
-from tidewell.operators.history import FIRST_START, scd2_merge
+from tidewell.operators.history import FIRST_START, scd2_merge, scd2_merge_by_hash
 from tidewell.operators.picking import latest_with_ties
 from tidewell.operators.totals import scalar
 from tidewell.params import RunParams
@@ -43,20 +43,21 @@ DETAIL_STEP = "stars_patients_detail"
 
 def refresh_detail(staged: DataFrame, members: DataFrame, detail: DataFrame, p: RunParams,
                    phones: DataFrame | None = None, first_start=FIRST_START, as_written: bool = False,
-                   ledger: DataFrame | None = None, arrived: str = "update_datetime") -> DataFrame:
+                   ledger: DataFrame | None = None, arrived: str = "update_datetime", by_hash: bool = False) -> DataFrame:
     """New state of the member detail after merging a staged file; a member's newest staged row counts.
 
     With the ``ledger`` of runs ``staged`` is the whole feed, of which only rows that arrived since the
-    client's last complete detail run are read.
+    client's last complete detail run are read. ``by_hash`` moves key and hash of unchanged members only.
     """
     if ledger is not None:
         staged = rows_since(staged, ledger, p.client_id, DETAIL_STEP, arrived)
     rows = stage_detail(staged, members, phones, p)
     today = dates.moment(p.today)
-    return scd2_merge(detail, rows, "patient_unique_ident", DETAIL_COMPARED, p.as_of, first_start,
-                      repair="phone_number", as_written=as_written, defaults=FLAG_DEFAULTS,
-                      order=[c for c in ("update_datetime",) if c in rows.columns],
-                      extra={"run_id": F.lit(p.run_id), "create_datetime": today, "update_datetime": today})
+    merge = scd2_merge_by_hash if by_hash else scd2_merge
+    return merge(detail, rows, "patient_unique_ident", DETAIL_COMPARED, p.as_of, first_start=first_start,
+                 repair="phone_number", as_written=as_written, defaults=FLAG_DEFAULTS,
+                 order=[c for c in ("update_datetime",) if c in rows.columns],
+                 extra={"run_id": F.lit(p.run_id), "create_datetime": today, "update_datetime": today})
 
 
 def nightly_detail(spark: SparkSession, root: str, feed: DataFrame, members: DataFrame, p: RunParams,
@@ -67,7 +68,7 @@ def nightly_detail(spark: SparkSession, root: str, feed: DataFrame, members: Dat
     """
     ledger = open_run(spark, f"{root}/run_ledger", p)
     detail = load_state(spark, f"{root}/detail", before=p.run_id)
-    save_state(refresh_detail(feed, members, detail, p, phones, ledger=ledger, **rules), f"{root}/detail", p.run_id)
+    save_state(refresh_detail(feed, members, detail, p, phones, ledger=ledger, by_hash=True, **rules), f"{root}/detail", p.run_id)
     changed = load_state(spark, f"{root}/detail", p.run_id).where(F.col("run_id") == p.run_id)
     close_run(spark, f"{root}/run_ledger", p, DETAIL_STEP, {"details_imported": changed.agg(F.count(F.lit(1))).scalar()})
 
