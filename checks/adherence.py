@@ -1,5 +1,6 @@
 """Adherence staging, drug counts and days covered."""
 
+from dataclasses import replace
 from datetime import datetime
 
 from pyspark.sql import functions as F
@@ -8,6 +9,7 @@ from checks.registry import query
 from tidewell.functions import text
 from tidewell.params import RunParams
 from tidewell.plans import adherence
+from tidewell.sources import tables
 
 C = F.col
 P = RunParams(client_id=62, run_year=1998, as_of=datetime(1998, 12, 31), run_id=77)
@@ -65,18 +67,40 @@ STAGED = """77 as evalrun_id, 62 as pmd_client_id, 1998 as runyear, o_custkey as
     right('00000000000' || l_partkey, 11) as ndc, 'MG' as unit_of_measure, {texts}"""
 
 
-@query("adherence_claims", f"""
+ADHERENCE = f"""
     with {BASE}
     select {STAGED.format(prescriber="max(cast(l_suppkey as varchar)) as prescriber_id, max(cast(l_suppkey as varchar)) as pharmacy_id",
                           measure="p_type", texts="max(p_brand) as drug_description, max(cast(p_size as varchar)) as drug_strength")},
            'rx' as prescription_service_reference_num
     from base where l_returnflag <> 'R' and p_type in ('PROMO', 'SMALL', 'LARGE')
-    group by o_custkey, l_orderkey, plan, l_linestatus, l_shipdate, last_day, p_type, p_name, l_quantity, l_partkey""")
+    group by o_custkey, l_orderkey, plan, l_linestatus, l_shipdate, last_day, p_type, p_name, l_quantity, l_partkey"""
+
+
+@query("adherence_claims", ADHERENCE)
 def _(t):
     staged = adherence.stage_adherence(claims(t), drugs(t, "PROMO", "SMALL", "LARGE"), members(t), contracts(t), P)
     return staged.withColumnRenamed("drug description", "drug_description")
 
 
+@query("adherence_changed_members", ADHERENCE)
+def _(t):
+    """A run after late claims, reversals, deleted claims, changed contracts, drug names and member numbers."""
+    after = adherence.AdherenceInputs(claims(t), drugs(t, "PROMO", "SMALL", "LARGE"), members(t), contracts(t))
+    number = C("transaction_id").cast("bigint")
+    old_claims = after.claims.where(number % 50 != 1).withColumn("claimexccd", F.when(number % 40 != 2, C("claimexccd")))
+    deleted = after.claims.where(number % 60 == 3).withColumn("transaction_id", F.concat(F.lit("-"), "transaction_id"))
+    plan = F.substring("planidentifier_pclm", 2, 4).cast("int")
+    before = adherence.AdherenceInputs(
+        old_claims.unionByName(deleted),
+        after.drugs.withColumn("Drug Name", F.when(C("strength").cast("int") == 7, "old name").otherwise(C("Drug Name"))),
+        after.members.withColumn("patient_unique_ident", F.when(C("patient_unique_ident") % 90 == 4, -C("patient_unique_ident")).otherwise(
+            C("patient_unique_ident"))),
+        after.contracts.withColumn("analytics_contract", F.when(plan == 5, ~C("analytics_contract")).otherwise(C("analytics_contract"))))
+    earlier = replace(P, run_id=76)
+    staged = tables.written(adherence.stage_adherence(before.claims, before.drugs, before.members, before.contracts, earlier))
+    return adherence.restage(staged, before, after, P).withColumnRenamed("drug description", "drug_description")
+
+
 @query("insulin_claims", f"""
     with {BASE}
     select distinct {STAGED.format(prescriber="cast(l_suppkey as varchar) as prescriber_id, cast(l_suppkey as varchar) as pharmacy_id",
@@ -99,9 +123,9 @@ def _(t):
     return staged.withColumnRenamed("drug description", "drug_description")
 
 
-def fills(t):
+def fills(t, lines=None):
     """All claims of the driver tables as staged fills: measure = part type, drug = part name."""
-    rows = t.lineitem.join(t.orders, C("l_orderkey") == C("o_orderkey")).join(t.part, C("l_partkey") == C("p_partkey"))
+    rows = (t.lineitem if lines is None else lines).join(t.orders, C("l_orderkey") == C("o_orderkey")).join(t.part, C("l_partkey") == C("p_partkey"))
     return rows.select(F.lit(77).alias("evalrun_id"), C("o_custkey").alias("pmd_patient_id"), C("p_type").alias("measureuse"),
                        F.concat(C("o_orderstatus"), F.lit("-PLAN-"), C("o_orderpriority")).alias("planidentifier_pclm"),
                        C("p_name").alias("drug_name"), C("l_shipdate").alias("date_of_service"),
@@ -126,6 +150,20 @@ def _(t):
     return adherence.multi_drug(fills(t))
 
 
+def fills_before(t):
+    """Fills of an earlier run: some members lack late ones, and some had others since taken back."""
+    kept = t.lineitem.where("l_orderkey % 30 <> 0")
+    taken_back = t.lineitem.where("l_orderkey % 50 = 7").withColumn("l_shipdate", C("l_shipdate") + F.expr("interval 11 days"))
+    return fills(t, kept.unionByName(taken_back)).withColumn("evalrun_id", F.lit(76))
+
+
+@query("multi_drug_changed_members", f"{COUNTED} > 1")
+def _(t):
+    before, after = fills_before(t), fills(t)
+    previous = tables.written(adherence.multi_drug(before).withColumn("evalrun_id", F.lit(77)))
+    return adherence.refresh_measures(previous, before, after, adherence.multi_drug)
+
+
 FILLS = """
     f as (select o_custkey as m, p_type as u, cast(l_shipdate as date) as d, cast(l_quantity as int) as n
           from lineitem join orders on l_orderkey = o_orderkey join part on l_partkey = p_partkey
@@ -143,7 +181,7 @@ def _(t):
     return adherence.days_covered(fills(t), P, shift=False)
 
 
-@query("days_covered_shifted", f"""
+SHIFTED = f"""
     with recursive {FILLS},
          o as (select *, row_number() over (partition by m, u order by d, n) as r from f),
          s as (select m, u, r, d, n, d as a, d + n - 1 as b from o where r = 1
@@ -153,11 +191,21 @@ def _(t):
          days as (select m, u, sum(greatest(0, date_diff('day', a, least(b, date '1998-12-31')) + 1)) as covered,
                          min(dayofyear(d)) as first_fill from s group by 1, 2)
     select m as pmd_patient_id, u as measureuse, first_fill::int as first_fill, covered::int as days_covered,
-           (365 - first_fill + 1)::int as days_in_period, (covered * 10000 // (365 - first_fill + 1))::bigint as pdc_bp from days""")
+           (365 - first_fill + 1)::int as days_in_period, (covered * 10000 // (365 - first_fill + 1))::bigint as pdc_bp from days"""
+
+
+@query("days_covered_shifted", SHIFTED)
 def _(t):
     return adherence.days_covered(fills(t), P, shift=True)
 
 
+@query("days_covered_changed_members", SHIFTED)
+def _(t):
+    before, after = fills_before(t), fills(t)
+    previous = tables.written(adherence.days_covered(before, P, shift=True))
+    return adherence.refresh_measures(previous, before, after, lambda rows: adherence.days_covered(rows, P, shift=True))
+
+
 @query("days_covered_until", f"""
     with {FILLS},
          lim as (select o_custkey as k, max(dayofyear(o_orderdate)) as lim from orders where year(o_orderdate) = 1998 group by 1),

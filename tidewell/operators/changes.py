@@ -19,6 +19,29 @@ def _old(df: DataFrame, name: str) -> Column:
     return F.col(f"`{name}`") if name in df.columns else F.lit(None)
 
 
+def changed_keys(before: DataFrame, after: DataFrame, key: str, cols: Sequence[str]) -> DataFrame:
+    """Keys whose rows (by ``cols``, as a multiset) differ between two states of a table, each once.
+
+    Each state is reduced to one short row per key before it moves: the number of rows and two sums of their hash.
+    """
+    def digests(df: DataFrame, mark: str) -> DataFrame:
+        value = F.xxhash64(*[part for c in cols for part in (F.col(f"`{c}`").isNull(), F.col(f"`{c}`"))])
+        low, high = value.bitwiseAND(F.lit(0xFFFFFFFF)), F.shiftright(value, 32)
+        sums = df.groupBy(F.col(f"`{key}`").alias(key)).agg(
+            F.count(F.lit(1)).alias("n"), F.sum(low).alias("low"), F.sum(high).alias("high"))
+        return sums.select(key, F.struct("n", "low", "high").alias(mark))
+
+    both = digests(before, "__before").unionByName(digests(after, "__after"), allowMissingColumns=True)
+    one = both.groupBy(key).agg(F.first("__before", ignorenulls=True).alias("__before"), F.first("__after", ignorenulls=True).alias("__after"))
+    return one.where(~F.col("__before").eqNullSafe(F.col("__after"))).select(key)
+
+
+def carry_over(previous: DataFrame, fresh: DataFrame, changed: DataFrame, key: str) -> DataFrame:
+    """Rows of ``previous`` whose key is not among the changed ones, and the ``fresh`` rows made for those."""
+    kept = only_new(previous, changed, [key], null_safe=True)
+    return kept.unionByName(fresh.select(*[F.col(f"`{c}`") for c in previous.columns]))
+
+
 def with_marker(df: DataFrame, ids: DataFrame, keys: Sequence[Key], name: str, null_safe: bool = False) -> DataFrame:
     """Add a boolean column: the row's key occurs in ``ids``."""
     side, condition = match_side(ids, keys, null_safe)

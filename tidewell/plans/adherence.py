@@ -2,17 +2,20 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from dataclasses import dataclass
 from datetime import date
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidewell.functions import dates, text
-from tidewell.operators.changes import not_reversed
-from tidewell.operators.matching import having_match
+from tidewell.operators.changes import carry_over, changed_keys, not_reversed
+from tidewell.operators.matching import having_match, might_match
 from tidewell.operators.totals import collapse, count_of_counts
 from tidewell.params import RunParams
+from tidewell.sources.tables import written
 
 # Measures whose contracts take part, by staging.
 ADHERENCE_MEASURES = ("ras", "statin", "diabetes", "insulin", "asthma", "dts")
@@ -124,6 +127,78 @@ def stage_ras_exclusion(claims: DataFrame, drugs: DataFrame, members: DataFrame,
     return cut_to_width(rows.select(*[c.alias(n) for n, c in staged.items()]), **SHORT_DESCRIPTION)
 
 
+# ---- changed members only -------------------------------------------------------
+
+@dataclass(frozen=True)
+class AdherenceInputs:
+    """What a staging reads, as of one run."""
+
+    claims: DataFrame
+    drugs: DataFrame
+    members: DataFrame
+    contracts: DataFrame
+
+
+CLAIM_INPUTS = ("transaction_id", "patient_id", "date_of_service", "product_service_id", "days_supply", "quantity_dispensed",
+                "prescriber_id", "pharmacy_id", "accountid2", "medicare_part_d_ind", "claimexccd", "runyear",
+                "prescription_service_reference_num")
+
+
+def changed_patients(before: AdherenceInputs, after: AdherenceInputs, measures: Sequence[str], p: RunParams) -> DataFrame:
+    """Patients of the client for whom a staging may give other rows than it gave before, each once.
+
+    Those whose claims were added, reversed, deleted or changed, whose member row changed, and those with a claim of a
+    drug or of a plan whose list entry changed.
+    """
+    def mine(df: DataFrame) -> DataFrame:
+        return df.where(F.col("pmd_client_id") == p.client_id)
+
+    in_year = (F.col("runyear") == p.run_year) | dates.in_year("date_of_service", p.run_year)
+    old, new = (mine(x.claims).where(in_year).select(*CLAIM_INPUTS) for x in (before, after))
+    patients = [changed_keys(old, new, "patient_id", CLAIM_INPUTS)]
+    people = [mine(x.members).select("patient_id", "patient_unique_ident").distinct() for x in (before, after)]
+    patients.append(changed_keys(*people, "patient_id", ["patient_unique_ident"]))
+    drugs = [x.drugs.select(*[F.col(f"`{c}`") for c in DRUG_COLUMNS]).distinct() for x in (before, after)]
+    plans = [active_contracts(x.contracts, measures, p).select("planidentifier_pclm").distinct() for x in (before, after)]
+    # Claims that changed are in above already, so the lists are matched with today's claims only.
+    listed = having_match(new, changed_keys(*drugs, "ndc", DRUG_COLUMNS), [("product_service_id", "ndc")])
+    signed = having_match(new, changed_keys(*plans, "planidentifier_pclm", ["planidentifier_pclm"]), [("accountid2", "planidentifier_pclm")])
+    patients += [listed.select("patient_id"), signed.select("patient_id")]
+    return reduce(DataFrame.unionByName, patients).where("patient_id is not null").distinct()
+
+
+STAGINGS = {stage_adherence: ADHERENCE_MEASURES, stage_insulin: INSULIN_MEASURES, stage_ras_exclusion: RAS_MEASURES}
+
+
+def restage(staged: DataFrame, before: AdherenceInputs, after: AdherenceInputs, p: RunParams,
+            stage: Callable[..., DataFrame] = stage_adherence, **more) -> DataFrame:
+    """The staging of this run from that of an earlier one: changed patients staged anew, the others carried over.
+
+    ``before`` has the inputs of the earlier staging. Equal to a full staging. Lists given as ``more`` must not have changed.
+    """
+    changed = written(changed_patients(before, after, STAGINGS[stage], p))
+    claims = might_match(after.claims, changed, "patient_id")
+    claims = having_match(claims, changed, ["patient_id"])
+    fresh = stage(claims, after.drugs, after.members, after.contracts, p=p, **more)
+    earlier = staged.withColumn("evalrun_id", F.lit(p.run_id))
+    return carry_over(earlier, fresh, changed, "patient_id")
+
+
+def refresh_measures(previous: DataFrame, before: DataFrame, after: DataFrame, build: Callable[[DataFrame], DataFrame],
+                     key: str = "pmd_patient_id") -> DataFrame:
+    """Figures per member (days covered, drug counts) from those of an earlier run.
+
+    ``build`` makes the figures from staged rows; it runs over the members whose staged rows differ between ``before``
+    and ``after``. Equal to building them over all.
+    """
+    columns = [c for c in after.columns if c != "evalrun_id"]
+    changed = written(changed_keys(before, after, key, columns))
+    rows = having_match(might_match(after, changed, key), changed, [key])
+    fresh = build(rows)
+    kind = previous.schema[key].dataType
+    return carry_over(previous, fresh, changed.select(F.col(key).cast(kind).alias(key)), key)
+
+
 def classify_drugs(staged: DataFrame, drug_col: str = "drug_name") -> DataFrame:
     """Number of different drugs per member, measure and five-character plan."""
     keyed = staged.select(
