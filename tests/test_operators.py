@@ -325,3 +325,40 @@ def test_rows_that_pass_by_a_filter(table, values):
     assert values(matching.passes_by(rows, wanted, ("k", "w")), "v") == [("a",), ("c",), ("d",)]
     assert values(matching.passes_by(rows, wanted.where("false"), ("k", "w")), "v") == [("a",), ("b",), ("c",), ("d",)]
     assert values(matching.might_match(rows, wanted.where("false"), ("k", "w")), "v") == []
+
+
+def test_periods_agree_with_a_loop(spark):
+    """Nested, touching and endless periods, of keys with few and with many of them."""
+    rng = random.Random(3)
+    start = date(2019, 12, 1)
+    spans = [(1, date(2020, 5, 1), date(2020, 4, 1), "z"), (None, start, start, "n"), (3, None, start, "q"), (4, start, None, "r")]
+    for n in range(500):
+        first = rng.randrange(0, 500)
+        length = rng.choice([0, 1, 5, 30, 90, 400, None])
+        spans.append((rng.randrange(4) if n % 5 else rng.randrange(4, 40), start + timedelta(first),
+                      date(9999, 12, 31) if length is None else start + timedelta(first + length), rng.choice("abcd")))
+    facts = [(rng.randrange(42), start + timedelta(rng.randrange(-20, 800)), i) for i in range(1500)] + [(None, start, -1), (2, None, -2)]
+    f, s = spark.createDataFrame(facts, "k int, d date, i int"), spark.createDataFrame(spans, "k int, s date, e date, v string")
+
+    def want(k, d):
+        held = [x[1:] for x in spans if k is not None and d is not None and x[0] == k and x[1] and x[2] and x[1] <= d <= x[2]]
+        return max(held)[2] if held else None
+
+    got = {r.i: r.v for r in matching.as_of_period(f, s, "k", "d", "s", "e", ["v"]).collect()}
+    assert got == {i: want(k, d) for k, d, i in facts} and sum(v is not None for v in got.values()) > 500
+    assert matching.as_of_period(f.where("false"), s, "k", "d", "s", "e", ["v"]).count() == 0
+    assert matching.as_of_period(f, s.where("false"), "k", "d", "s", "e", ["v"]).where("v is null").count() == len(facts)
+
+
+def test_member_with_very_many_periods(spark):
+    days, spans = 8000, 100_000
+    periods = spark.range(spans).selectExpr("1 as k", "date_add(date'2000-01-01', cast(id % 7000 as int)) as s",
+                                            "date_add(date'2000-01-01', cast(id % 7000 + id % 1500 as int)) as e", "id as v")
+    facts = spark.range(days).selectExpr("1 as k", "date_add(date'2000-01-01', cast(id as int)) as d", "id as i")
+    got = {r.i: r.v for r in matching.as_of_period(facts, periods, "k", "d", "s", "e", ["v"]).collect()}
+    best = {}  # winner of each start: the longest, then the greatest
+    for v in range(spans):
+        best[v % 7000] = max(best.get(v % 7000, (-1, -1)), (v % 7000 + v % 1500, v))
+    for day in range(0, days, 97):
+        held = [(s, *best[s]) for s in range(min(day, 6999), -1, -1) if best[s][0] >= day]
+        assert got[day] == (max(held)[2] if held else None)

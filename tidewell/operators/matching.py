@@ -179,24 +179,59 @@ def covered_on(members: DataFrame, periods: DataFrame, key: str, day, start: str
     return having_match(members, on_day, [key])
 
 
+EPOCH = "0001-01-01"
+BLOCK_SHIFT = 4  # a block of days has sixteen blocks of the level below
+FEW = 32  # periods of a key that are paired with its days
+
+
+def _blocks_of_spans(spans: DataFrame, top: Column) -> DataFrame:
+    """``spans`` (days from ``__first`` to before ``__end``) as the fewest blocks (level, block) that make them up.
+
+    On each level the days that are left lie between two block bounds. Blocks up to the next bounds of the level above
+    are taken, and what is between those goes up.
+    """
+    def shifted(value: Column, level: Column, way: str = "shiftright") -> Column:
+        return F.call_function(way, value, level * BLOCK_SHIFT)
+
+    def ceiled(level: Column) -> Column:
+        return shifted(F.col("__first") + shifted(F.lit(1).cast("bigint"), level, "shiftleft") - 1, level)
+
+    def numbers(low: Column, high: Column) -> Column:
+        return F.when(low < high, F.sequence(low, high - 1)).otherwise(F.array().cast("array<bigint>"))
+
+    level = F.col("level")
+    rows = spans.withColumn("level", F.explode(F.sequence(F.lit(0), top)))
+    rows = rows.withColumns({"__low": ceiled(level), "__high": shifted(F.col("__end"), level)}).where("__low < __high")
+    rows = rows.withColumns({"__low_up": F.shiftleft(ceiled(level + 1), BLOCK_SHIFT),
+                             "__high_up": F.shiftleft(shifted(F.col("__end"), level + 1), BLOCK_SHIFT)})
+    inner = numbers(F.col("__low"), F.col("__high"))
+    outer = F.concat(numbers(F.col("__low"), F.col("__low_up")), numbers(F.col("__high_up"), F.col("__high")))
+    return rows.withColumn("block", F.explode(F.when(F.col("__low_up") <= F.col("__high_up"), outer).otherwise(inner)))
+
+
 def as_of_period(facts: DataFrame, periods: DataFrame, key: str, at: str, start: str, end: str,
                  cols: Sequence[str]) -> DataFrame:
     """Attach ``cols`` of the period that covers each fact's day.
 
     The range test runs on distinct (key, day) points against periods reduced to
-    one row per start, never on all fact and period pairs of a key, so a key with
-    very many facts costs no more than its days. Of overlapping periods the one
-    that starts last wins, then the one that ends last, then the greatest value.
+    one row per start, so a key with very many facts costs no more than its days. Of overlapping periods the one
+    that starts last wins, then the one that ends last, then the greatest value. Keys with many periods
+    go through ``_hits_by_block``; days and periods of a key are paired only where it has few.
     """
     day = F.to_date(F.col(at))
     points = facts.select(F.col(key).alias("__point_key"), day.alias("__point_day"))
     points = points.where("__point_key is not null and __point_day is not null").distinct()
-    spans = periods.groupBy(key, start, *cols).agg(F.max(end).alias(end))
-    covers = ((F.col("__point_key") == F.col(key))
-              & F.col("__point_day").between(F.to_date(start), F.to_date(end)))
-    hits = points.join(spans, covers)
-    best = hits.groupBy("__point_key", "__point_day").agg(
-        F.max(F.struct(F.col(start), F.col(end), *[F.col(c) for c in cols])).alias("__best"))
+    spans = periods.where(F.col(key).isNotNull() & F.col(start).isNotNull() & F.col(end).isNotNull()).groupBy(
+        F.col(key).alias("__span_key"), start, *cols).agg(F.max(end).alias(end))
+    spans = spans.select("__span_key", F.to_date(start).alias("__from"), F.to_date(end).alias("__to"),
+                         F.struct(F.col(start), F.col(end), *[F.col(c) for c in cols]).alias("__span"))
+    busy = spans.groupBy("__span_key").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > FEW).select(F.col("__span_key").alias("__busy"))
+    few = spans.join(busy, F.col("__span_key") == F.col("__busy"), "left_anti")
+    paired = points.join(few, (F.col("__point_key") == F.col("__span_key")) & F.col("__point_day").between(F.col("__from"), F.col("__to")))
+    many = _hits_by_block(points.join(busy, F.col("__point_key") == F.col("__busy"), "left_semi"),
+                          spans.join(busy, F.col("__span_key") == F.col("__busy"), "left_semi"))
+    hits = paired.select("__point_key", "__point_day", "__span").unionByName(many)
+    best = hits.groupBy("__point_key", "__point_day").agg(F.max("__span").alias("__best"))
     best = best.select("__point_key", "__point_day", *[F.col("__best")[c].alias(_OTHER + c) for c in cols])
     condition = (F.col(key) == F.col("__point_key")) & (day == F.col("__point_day"))
     joined = facts.join(best, condition, "left")
@@ -204,6 +239,32 @@ def as_of_period(facts: DataFrame, periods: DataFrame, key: str, at: str, start:
     return joined.select(*facts.columns, *extra)
 
 
+def _hits_by_block(points: DataFrame, spans: DataFrame) -> DataFrame:
+    """Points with the winning periods of the blocks of days they lie in; days and periods of a key are never paired.
+
+    A period is cut into blocks of days, of six sizes at most, and a block keeps the one period that would win in it, found by
+    an aggregate. A day lies in one block of each size, so it meets as many rows. A key with very many days and periods is spread
+    over its blocks.
+    """
+    points = points.withColumn("__day", F.datediff("__point_day", F.lit(EPOCH).cast("date")).cast("bigint"))
+    # Only days that occur matter, so a period without end is no longer than they reach.
+    reach = points.agg(F.min("__day").alias("low"), F.max("__day").alias("high"))
+    low, high = reach.select("low").scalar(), reach.select("high").scalar()
+    top = F.floor(F.log2((high - low + 1).cast("double")) / BLOCK_SHIFT).cast("int")  # no larger block fits in
+
+    def number(name: str) -> Column:
+        return F.datediff(name, F.lit(EPOCH).cast("date")).cast("bigint")
+
+    bounds = spans.select("__span_key", "__span", F.greatest(number("__from") - low, F.lit(0)).alias("__first"),
+                          (F.least(number("__to"), high) - low + 1).alias("__end")).where(F.col("__first") < F.col("__end"))
+    winners = _blocks_of_spans(bounds, top).groupBy("__span_key", "level", "block").agg(F.max("__span").alias("__span"))
+    steps = points.withColumn("__level", F.explode(F.sequence(F.lit(0), top)))
+    steps = steps.withColumn("__block", F.call_function("shiftright", F.col("__day") - low, F.col("__level") * BLOCK_SHIFT))
+    hits = steps.join(winners, (F.col("__point_key") == F.col("__span_key")) & (F.col("__level") == F.col("level"))
+                      & (F.col("__block") == F.col("block")))
+    return hits.select("__point_key", "__point_day", "__span")
+
+
 def changed_rows(new: DataFrame, current: DataFrame, key: str, cols: Sequence[str]) -> DataFrame:
     """Rows of ``new`` with no equal row in ``current``; NULL equals NULL."""
     side, condition = match_side(current, [key], carry=cols)
