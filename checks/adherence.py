@@ -9,6 +9,7 @@ from checks.registry import query
 from tidewell.functions import text
 from tidewell.params import RunParams
 from tidewell.plans import adherence
+from tidewell.session import shared_folder
 from tidewell.sources import tables
 
 C = F.col
@@ -82,6 +83,17 @@ def _(t):
     return staged.withColumnRenamed("drug description", "drug_description")
 
 
+@query("adherence_claims_by_key", ADHERENCE)
+def _(t):
+    """Claims and members stored by patient."""
+    path = shared_folder(t.spark)
+    tables.save_by_key(claims(t), f"{path}/claims", 1, "patient_id", 8)
+    tables.save_by_key(members(t), f"{path}/members", 1, "patient_id", 8)
+    stored = [tables.load_by_key(t.spark, f"{path}/{name}") for name in ("claims", "members")]
+    staged = adherence.stage_adherence(stored[0], drugs(t, "PROMO", "SMALL", "LARGE"), stored[1], contracts(t), P)
+    return staged.withColumnRenamed("drug description", "drug_description")
+
+
 @query("adherence_changed_members", ADHERENCE)
 def _(t):
     """A run after late claims, reversals, deleted claims, changed contracts, drug names and member numbers."""

@@ -11,7 +11,7 @@ from tidewell.params import RunParams
 from tidewell.plans import eligibility, members as plans, runs
 from tidewell.plans.feeds import MEMBERSHIP_FEEDS
 from tidewell.session import shared_folder
-from tidewell.sources.tables import load_state, save_state
+from tidewell.sources.tables import load_by_key, load_state, save_by_key, save_state
 
 C = F.col
 
@@ -359,23 +359,40 @@ def _(t):
     return out.select("patient_unique_ident", "end_date", "lis_flag", "lis_discount")
 
 
-@query("condition_flags", f"""
+CONDITIONS = f"""
     with {OPEN}
     select ident as patient_unique_ident, end_date,
            end_date is null and mine and ident in (select o_custkey from orders where o_totalprice > 450000) as esrd,
            end_date is null and mine and ident in (select o_custkey from orders where o_totalprice < 5000) as hospice,
            case when end_date is null and mine then ident in (select o_custkey from orders where o_orderpriority = '5-LOW'
                 and year(o_orderdate) = 1998) end as mtmp_flg
-    from det""")
-def _(t):
-    feeds = {"esrd": t.orders.where("o_totalprice > 450000").select(C("o_custkey").alias("hap_id")),
+    from det"""
+
+
+def condition_feeds(t):
+    return {"esrd": t.orders.where("o_totalprice > 450000").select(C("o_custkey").alias("hap_id")),
              "hospice": t.orders.where("o_totalprice < 5000").select(C("o_custkey").alias("hap_id")),
              "program": t.orders.where((C("o_orderpriority") == "5-LOW") & (F.year("o_orderdate") == 1998)).select(
                  C("o_custkey").cast("string").alias("pmd_patient_id"))}
-    out = plans.apply_flags(open_detail(t), customers(t, 85), periods(t, 85), feeds, run(85))
+
+
+@query("condition_flags", CONDITIONS)
+def _(t):
+    out = plans.apply_flags(open_detail(t), customers(t, 85), periods(t, 85), condition_feeds(t), run(85))
     return out.select("patient_unique_ident", "end_date", "esrd", "hospice", "mtmp_flg")
 
 
+@query("condition_flags_by_key", CONDITIONS)
+def _(t):
+    """Members and their detail stored by member."""
+    path, key = shared_folder(t.spark), "patient_unique_ident"
+    save_by_key(open_detail(t), f"{path}/detail", 1, key, 8)
+    save_by_key(customers(t, 85), f"{path}/members", 1, key, 8)
+    detail, who = (load_by_key(t.spark, f"{path}/{name}") for name in ("detail", "members"))
+    out = plans.apply_flags(detail, who, periods(t, 85), condition_feeds(t), run(85))
+    return out.select(key, "end_date", "esrd", "hospice", "mtmp_flg")
+
+
 @query("statin_flags", f"""
     with {OPEN}
     select ident as patient_unique_ident, end_date,

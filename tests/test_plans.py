@@ -306,3 +306,93 @@ def test_medical_load_into_its_partition(spark, tmp_path, table, values):
         assert values(got, "pmd_client_id", "claim_id", "claim_status", "runyear") == [
             (15, "other", 9, 2020), (62, "c1", 5, 2020), (62, "c2", 1, 2020), (62, "old", 9, 2019)]
     assert files_of("not (pmd_client_id = 62 and runyear = 2020)") == others
+
+
+def plan_text(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def without_broadcast(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
+
+
+def with_broadcast(spark):
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
+
+
+def test_states_by_key_join_without_an_exchange(spark, tmp_path, table, values):
+    path = str(tmp_path)
+    claims_ = spark.range(500).selectExpr("cast(id % 90 as string) as patient_id", "id as n")
+    who = spark.range(100).selectExpr("cast(id as string) as patient_id", "id as patient_unique_ident")
+    tables.save_by_key(claims_.where("n < 5"), f"{path}/claims", 1, "patient_id", 8)
+    for _ in range(2):  # a retry replaces the state of its run
+        tables.save_by_key(claims_, f"{path}/claims", 2, "patient_id", 8)
+    tables.save_by_key(who, f"{path}/who", 1, "patient_id", 8)
+    stored = tables.load_by_key(spark, f"{path}/claims")
+    assert stored.count() == 500 and tables.load_by_key(spark, f"{path}/claims", 1).count() == 5
+    without_broadcast(spark)
+    try:
+        joined = stored.join(tables.load_by_key(spark, f"{path}/who"), "patient_id")
+        assert "SortMergeJoin" in plan_text(joined) and "Exchange" not in plan_text(joined)
+        grouped = stored.groupBy("patient_id").count()
+        assert "Exchange" not in plan_text(grouped)
+        assert joined.count() == 500 and grouped.count() == 90
+    finally:
+        with_broadcast(spark)
+
+
+def test_staging_leaves_stored_claims_and_members_where_they_are(spark, tmp_path, table):
+    """Adherence staging moves neither claims nor members that are stored by patient; lists are small here."""
+    import checks.adherence as check
+    from checks.registry import Tables
+    t, path = Tables(spark, "/root/testdata/sf0.001"), str(tmp_path)
+    tables.save_by_key(check.claims(t), f"{path}/claims", 1, "patient_id", 8)
+    tables.save_by_key(check.members(t), f"{path}/members", 1, "patient_id", 8)
+    inputs = [tables.load_by_key(spark, f"{path}/{n}") for n in ("claims", "members")]
+    without_broadcast(spark)
+    try:
+        rows = adherence._measured(inputs[0], F.broadcast(check.drugs(t, "PROMO").distinct()), inputs[1],
+                                   F.broadcast(check.contracts(t)), adherence.ADHERENCE_MEASURES, check.P)
+        plan = plan_text(rows)
+        assert "SortMergeJoin" in plan and plan.count("Bucketed: true") >= 2
+        assert "Exchange hashpartitioning(patient_id" not in plan
+    finally:
+        with_broadcast(spark)
+
+
+def test_detail_by_key_takes_flags_without_moving(spark, tmp_path):
+    from tidewell.operators.changes import flag_matched
+    path = str(tmp_path)
+    detail = spark.range(300).selectExpr("id as patient_unique_ident", "false as flag")
+    tables.save_by_key(detail, f"{path}/detail", 1, "patient_unique_ident", 8)
+    ids = spark.range(0, 300, 7).selectExpr("id as patient_unique_ident")
+    tables.save_by_key(ids, f"{path}/ids", 1, "patient_unique_ident", 8)
+    without_broadcast(spark)
+    try:
+        out = flag_matched(tables.load_by_key(spark, f"{path}/detail"), tables.load_by_key(spark, f"{path}/ids"), ["patient_unique_ident"], {"flag": True})
+        assert "Exchange" not in plan_text(out) and out.where("flag").count() == 43
+    finally:
+        with_broadcast(spark)
+
+
+def test_restaging_reads_changed_patients_only(spark, table, values):
+    from tidewell.operators.changes import carry_over, changed_keys
+    before = table("k string, v int", ("a", 1), ("a", 1), ("b", 2), (None, 3), ("c", 4), ("d", None))
+    after = table("k string, v int", ("a", 1), ("b", 2), (None, 5), ("c", 4), ("d", 0), ("e", 9))
+    changed = changed_keys(before, after, "k", ["k", "v"])
+    assert values(changed) == [(None,), ("a",), ("d",), ("e",)]
+    fresh = after.join(changed, after.k.eqNullSafe(changed.k), "left_semi")
+    assert values(carry_over(before, fresh, changed, "k")) == values(after)
+    assert values(changed_keys(after, after, "k", ["v"])) == []
+    # Only rows of changed members are built again.
+    seen = []
+
+    def build(rows):
+        seen.extend(r.k for r in rows.collect())
+        return rows
+
+    first, later = before.where("k is not null"), after.where("k is not null")
+    assert values(adherence.refresh_measures(first, first, later, build, "k")) == values(later)
+    assert set(seen) == {"a", "d", "e"}
