@@ -61,6 +61,63 @@ def test_content_in_sections_and_cells():
     assert html_extraction.main_text(page).split("\n") == ["One", SENTENCES.strip(), SENTENCES.strip(), "x"]
 
 
+STORY = "<h1>Head</h1>" + f"<p>{SENTENCES}</p>" * 4
+
+
+@pytest.mark.parametrize("page", [
+    # Words of a class or id count as a whole, and a name hides no region that holds the story.
+    "<body><div class='layout has-sidebar'><article>{s}</article></div>", "<div class='page no-footer'><article>{s}</article></div>",
+    "<div id='article-ad-free'><article>{s}</article></div>", "<article class='post shareable share'>{s}</article>",
+    "<div class='widget'><div>{s}</div></div>", "<form><div>{s}</div><fieldset><p>Your name, please.</p></fieldset></form>",
+    # A marked teaser does not win against an unmarked story.
+    "<article><a>Other story</a></article><div>{s}</div>", "<article><p>Other, short story.</p></article><div>{s}</div>",
+    # Without marks: headers, side columns and imprints.
+    "<div class='header'><p>Some site, of the best.</p></div><div>{s}</div>", "<div id='header'><h1>Site</h1></div><div>{s}</div>",
+    "<div><div><p>Short note, here.</p><p>Other note.</p></div><div>{s}</div></div>",
+    "<div class=topbar><p>Call us, today.</p></div><div>{s}</div><div id='bottom'><p>Imprint, of the firm, in the town.</p></div>",
+    "<div class=site-header><p>Site, of sites.</p></div><div>{s}<div class='comment-list'><p>" + SENTENCES + "</p></div></div>",
+    "<main><div class=header><h1>Head</h1></div>" + STORY.removeprefix("<h1>Head</h1>") + "</main>"])
+def test_ratios_decide_with_and_without_marks(page):
+    want = "\n".join(["Head", *[SENTENCES.strip()] * 4])
+    assert html_extraction.main_text(page.replace("{s}", STORY)) == want
+
+
+def test_unmarked_article_of_many_regions():
+    parts = "".join(f"<div class=part><div><p>{SENTENCES}</p></div></div>" for _ in range(6))
+    page = f"<body><div><p>Aside, short.</p></div><div class=story>{parts}</div></body>"
+    assert html_extraction.main_text(page) == "\n".join([SENTENCES.strip()] * 6)
+
+
+def test_smoothing_over_the_tree_is_that_of_all_pairs():
+    rng = random.Random(5)
+    paths = [html_extraction.Path(None, None, 1.0)]
+    for _ in range(60):
+        path = html_extraction.Path(rng.choice(paths), None, 1.0)
+        path.length, path.marks, path.count = rng.randrange(500), rng.randrange(9), rng.randrange(1, 4)
+        paths.append(path)
+
+    def line(path):
+        return [path, *line(path.parent)] if path is not None else []
+
+    def apart(a, b):
+        shared = {id(p) for p in line(a)} & {id(p) for p in line(b)}
+        return len(line(a)) + len(line(b)) - 2 * len(shared)
+
+    html_extraction.smoothed(paths)
+    for a in paths:
+        want = sum(html_extraction.DECAY ** apart(a, b) * b.ratio() for b in paths)
+        assert a.smooth == pytest.approx(want)
+
+
+@pytest.mark.parametrize("page", ["<div>text, so. " * 20_000, "<div class=a><p>x" * 20_000, "<ul><li>" * 20_000 + "text, so.", "<p>" * 20_000,
+                                  "<div>" * 20_000 + "x" + "</span></div>" * 20_000])
+def test_deep_pages_take_linear_time(page):
+    import time
+    started = time.perf_counter()
+    assert html_extraction.main_text(page) != "" or page.startswith("<p>")
+    assert time.perf_counter() - started < 3
+
+
 @pytest.mark.parametrize("page, want", [
     ("", ""), ("<p>x", "x"), ("no tags at all, just text.", "no tags at all, just text."), ("a < b and c > d", "a < b and c > d"),
     ("<p>one<script>never closed <p>two", "one"), ("<!-- open", ""), ("<div a='>' b=\">\">text</div>", "text"),
@@ -247,7 +304,6 @@ def test_bpe_offsets_and_split_characters(documents):
 def brute_pieces(rows):
     from tokenizers import Tokenizer
     tokenizer = Tokenizer.from_file(packing.vocabulary_path())
-    tokenizer.encode_special_tokens = True
     out = []
     for doc_id, text in rows:
         ids = [*tokenizer.encode(text or "", add_special_tokens=False).ids, 1]
@@ -270,6 +326,17 @@ def check_places(rows, limit=4096):
     return len(filled)
 
 
+def test_packing_of_special_tokens(documents):
+    words = ("hello", "<|endoftext|>", "<|startoftext|>", "a<|endoftext|>b", "<|ENDOFTEXT|>", "<|endoftext", "|>", "<|", "\u212A<|endoftext|>", "İ", ".")
+    rng = np.random.default_rng(6)
+    rows = [(0, "hello <|endoftext|> world"), (1, "<|endoftext|>"), (2, "x" * 5000 + "<|startoftext|>")]
+    rows += [(k, " ".join(rng.choice(words, 12)) + "".join(rng.choice(words, 3))) for k in range(3, 60)]
+    got = packing.pack_documents(documents(*rows)).collect()
+    assert sorted((r.doc_id, r.piece, r.start, r.length, r.ids_crc32) for r in got) == sorted(brute_pieces(rows))
+    ids = packing.pieces(documents(*rows[:1]), with_ids=True).first().ids
+    assert ids == [3306, 49407, 1002, 1]
+
+
 def test_packing_odd(odd, nothing):
     got = packing.pack_documents(odd).collect()
     assert sorted(((r.doc_id, r.piece, r.start, r.length, r.ids_crc32) for r in got), key=str) == sorted(brute_pieces(ODD), key=str)

@@ -9,7 +9,8 @@ the largest length that still fits, a pattern at a time and as often as the coun
 The plan says, for ranges of numbers of the pieces of a length, where they go. Spark numbers the pieces
 of each length, and each piece finds its place by binary search.
 
-Defined cases: a null or empty text is one piece with the end mark alone; rows that repeat
+Defined cases: a null or empty text is one piece with the end mark alone; a special token that stands in a
+text has its own id, as the tokenizer gives it; rows that repeat
 an id are packed each; a null id is packed like any other; an empty table gives no rows;
 other columns are not looked at.
 """
@@ -50,7 +51,8 @@ class WordIds(dict):
 
     Its tokens never span ASCII white space, nor a letter and a mark behind it, and its first
     step, Unicode's normal form, changes no ASCII text. So each distinct word is encoded once, without the
-    marks that end a sentence and, if it has letters alone, in lower case and as the model itself spells it.
+    marks that end a sentence and, if it has letters alone, in lower case and as the model itself spells it. A text
+    in which a special token may stand, whatever its case, is encoded as a whole.
     """
 
     def __init__(self, path: str):
@@ -58,7 +60,7 @@ class WordIds(dict):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks are the parallelism
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.special = [token.content.lower() for token in self.tokenizer.get_added_tokens_decoder().values()]
         self.model = self.tokenizer.model
         self.parts: dict[bytes, bytes] = {}
         self.spelling = byte_characters()
@@ -98,7 +100,14 @@ class WordIds(dict):
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit numbers."""
-        return [b"".join(map(self.__getitem__, t.encode().split())) for t in texts]
+        return [self.encode_whole(t) if self.may_hold_special(t) else b"".join(map(self.__getitem__, t.encode().split())) for t in texts]
+
+    def may_hold_special(self, text: str) -> bool:
+        lower = text.lower()
+        return any(token in lower for token in self.special)
+
+    def encode_whole(self, text: str) -> bytes:
+        return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
 
 
 def plain_letters(word: str) -> bool:
