@@ -2,8 +2,10 @@
 
 Four patterns give base spans. A network reads windows of ``WIDTH`` characters, which overlap by
 half, around everything that may belong to such data: digits, @ and words such as (at). It is
-trained in numpy, on the driver, from a bounded sample of windows whose labels are the base spans, partly
-rewritten to forms that the patterns miss (no country code, dots for hyphens, (at) for @).
+trained in numpy, on the driver, from a bounded sample of windows whose labels are the base spans, mostly
+rewritten to forms that the patterns miss (no country code, dots for hyphens, (at) for @), with other digits and names.
+Numbers that only a check digit tells from cards are labelled as cards, since that check follows. How sure the network
+must be is set on windows kept out of the training: as low as no false span there allows.
 Each character takes its tag from the window in whose middle it lies best, so tags of a text
 form one sequence, and runs of tags are spans. A span of the network is added where it overlaps no base
 span, its tags are sure (by CRF marginals) and its digits are plausible; base spans always stay.
@@ -19,6 +21,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -30,9 +33,11 @@ from tidewell.llm.common import least_hashes, map_batches, read_table, share, st
 KINDS = ("email", "ip", "card", "phone")
 WIDTH, STRIDE = 64, 32
 SAMPLE = 1500  # training windows of each kind, and as many without spans: the bound of the sample
-STEPS, BATCH, RATE = 260, 96, 0.02
+VARIANTS = 4  # windows made of each picked one; more where a kind has few
+STEPS, BATCH, RATE = 600, 96, 0.02
 UNITS, EMBEDDING = 16, 12
-SURE = 0.97  # mean marginal probability of the tags of an added span
+SURE = (0.6, 0.7, 0.8, 0.9, 0.95, 0.97)  # mean marginal probability of the tags of an added span: the choices
+KEPT_OUT = 10  # one window of so many is not trained on but sets that probability
 SEED = 20
 
 # Base patterns, fixed by the contract of the query. A possessive quantifier gives the same
@@ -167,7 +172,7 @@ class Tagger:
         self.w["out"] = draw(2 * UNITS, TAGS)
         self.w["out_bias"] = np.zeros(TAGS, np.float32)
         self.w["transitions"] = np.zeros((TAGS, TAGS), np.float32)
-        self.trained = False
+        self.trained, self.sure = False, SURE[-1]
 
     def lstm(self, x: np.ndarray, d: str, keep: bool):
         """States of one direction for x (time, batch, embedding)."""
@@ -336,7 +341,7 @@ def decoded_spans(texts: list[str], tagger: Tagger) -> list[list[Span]]:
                 else:
                     runs.append([a, kind, b])
         for a, kind, b in runs:
-            if sure[a:b].mean() >= SURE and plausible(kind, text, region + a, min(region + b, len(text))):
+            if sure[a:b].mean() >= tagger.sure and plausible(kind, text, region + a, min(region + b, len(text))):
                 found[k].append((region + a, kind, min(region + b, len(text))))
 
     open_key, tags, sure, best = None, None, None, None
@@ -371,27 +376,45 @@ def all_spans(texts: list[str], tagger: Tagger) -> list[tuple[list[Span], list[S
     return result
 
 
+LETTERS = "abcdefghijklmnopqrstuvwxyz"
+
+
+def made_up(kind: int, part: str, rng: np.random.Generator) -> str:
+    """Data of a kind in a form of its own: with other digits and names, and mostly not as the patterns have it."""
+
+    def digits(n: int) -> str:
+        return "".join(map(str, rng.integers(0, 10, n)))
+
+    def word(low: int, high: int) -> str:
+        return "".join(LETTERS[k] for k in rng.integers(0, 26, rng.integers(low, high)))
+
+    def pick(*forms):
+        return forms[rng.integers(len(forms))]
+
+    if kind == 0:
+        name = pick(word(3, 10), f"{word(3, 8)}{pick('.', '_', '-', '')}{word(2, 8)}", f"{word(3, 8)}{pick('.', '')}{digits(2)}")
+        domain = [pick(word(3, 10), f"{word(3, 7)}{digits(1)}"), *([word(3, 9)] if rng.random() < 0.5 else []), pick("com", "org", "de", "net", "example", word(2, 5))]
+        a = pick("@", " (at) ", "[at]", " [at] ", "(at)", " {at} ", " (AT) ")
+        return name + a + pick(".", " (dot) ", "[dot]", "(dot)", " [dot] ").join(domain) if a != "@" else f"{name}@{'.'.join(domain)}"
+    if kind == 1:
+        return pick(".", "[.]", "(.)", " . ").join(str(k) for k in rng.integers(0, 256, 4))
+    if kind == 2:
+        n = int(pick(13, 15, 16, 16, 16, 16, 19))
+        number = digits(n)
+        return pick("", " ", "-", ".", "/", "_").join(number[k:k + 4] for k in range(0, n, 4))
+    a, b, c = digits(3), digits(3), digits(4)
+    form = pick("({}) {}-{}", "{}-{}-{}", "{}.{}.{}", "{} {} {}", "({}){}-{}", "({}) {} {}", "{}/{}-{}")
+    return pick("", "", "", "1-", "+1 ", "001 ") + form.format(a, b, c)
+
+
 def rewritten(text: str, spans: list[Span], rng: np.random.Generator) -> tuple[str, list[Span]]:
-    """A window with some of its spans in other forms of the same kind."""
+    """A window with most of its spans replaced by other data of the same kind."""
     out, made, at = [], [], 0
     size = 0
     for s, kind, e in spans:
         if s < at:
             continue
-        part = text[s:e]
-        if rng.random() < 0.5:
-            if kind == 3:
-                digits = re.sub("[^0-9]", "", part)[-10:]
-                if len(digits) == 10:
-                    form = ("({}) {}-{}", "{}-{}-{}", "{}.{}.{}", "{} {} {}", "({}){}-{}")[rng.integers(5)]
-                    part = form.format(digits[:3], digits[3:6], digits[6:])
-            elif kind == 0 and rng.random() < 0.4:
-                a, d = ((" (at) ", " (dot) "), ("[at]", "[dot]"), (" [at] ", "."), ("(at)", "."))[rng.integers(4)]
-                name, _, domain = part.partition("@")
-                part = f"{name}{a}{domain.replace('.', d)}"
-            elif kind == 2:
-                digits = re.sub("[^0-9]", "", part)
-                part = "./ -"[rng.integers(4)].join(digits[k:k + 4] for k in range(0, len(digits), 4))
+        part = text[s:e] if rng.random() < 0.2 else made_up(kind, text[s:e], rng)
         before = text[at:s]
         out += [before, part]
         size += len(before)
@@ -402,6 +425,14 @@ def rewritten(text: str, spans: list[Span], rng: np.random.Generator) -> tuple[s
     return "".join(out), made
 
 
+def like_base(text: str) -> list[Span]:
+    """Base spans, and numbers that fail only the check of a card's digits or of the parts of an address."""
+    spans = base_spans(text)
+    more = [(m.start(), 1, m.end()) for m in IP.finditer(text)]
+    more += [(m.start(), 2, m.end()) for m in CARD.finditer(text) if 13 <= len(re.sub("[^0-9]", "", m[0])) <= 19]
+    return sorted(spans + [s for s in more if not any(s[0] < b[2] and b[0] < s[2] for b in spans)])
+
+
 def labelled_windows(docs: DataFrame) -> DataFrame:
     """(kind, text, spans): text around each place that may hold personal data, with its base spans;
     kind is that of the first span, or -1."""
@@ -410,7 +441,7 @@ def labelled_windows(docs: DataFrame) -> DataFrame:
         for batch in batches:
             kinds, parts, marks = [], [], []
             for text in texts_of(batch["text"]):
-                base = base_spans(text)
+                base = like_base(text)
                 for _, start in windows_of(text):
                     # A margin on either side leaves room for rewriting and for moving the window.
                     a, b = max(0, start - STRIDE), start + WIDTH + STRIDE
@@ -423,24 +454,56 @@ def labelled_windows(docs: DataFrame) -> DataFrame:
     return map_batches(docs.select("text"), run, "kind int, text string, spans array<array<int>>")
 
 
+def cut_window(text: str, spans: list[Span], rng: np.random.Generator) -> tuple[np.ndarray, np.ndarray]:
+    """Classes and tags of ``WIDTH`` characters of a text, mostly with the first span in view."""
+    start = int(rng.integers(0, max(1, len(text) - WIDTH + 1)))
+    if spans and rng.random() < 0.8:
+        start = max(0, min(spans[0][0] - int(rng.integers(0, WIDTH // 2)), len(text) - 8))
+    return np.concatenate([classes_of(text[start:start + WIDTH]), np.zeros(WIDTH, np.int64)])[:WIDTH], tags_of(spans, start)
+
+
+def set_sure(tagger: Tagger, kept_out: list[tuple[str, list[Span]]]) -> None:
+    """The least of ``SURE`` at which no span found in the texts lies beside their data.
+
+    The margins of a text do not count: what stands there may be the rest of something that was cut.
+    """
+    def astray(text: str, spans: list[Span], s: Span) -> bool:
+        return STRIDE <= s[0] and s[2] <= len(text) - STRIDE and all(s[2] <= b[0] or b[2] <= s[0] for b in spans)
+
+    for sure in SURE:
+        tagger.sure = sure
+        found = decoded_spans([text for text, _ in kept_out], tagger)
+        if not any(astray(text, spans, s) for (text, spans), got in zip(kept_out, found) for s in got):
+            break
+
+
 def trained_tagger(docs: DataFrame) -> Tagger:
     """Tagger from at most ``SAMPLE`` windows of each kind and as many without spans, least hashes first."""
     rows = staged(labelled_windows(docs).groupBy("kind", "text").agg(F.min("spans").alias("spans")), "windows")
     counts = {r["kind"]: r["count"] for r in rows.groupBy("kind").count().collect()}
-    tagger = Tagger()
-    rng = np.random.default_rng(SEED)
-    windows, tags = [], []
+    picked = []
     for kind in range(-1, len(KINDS)):
-        picked = least_hashes(rows.where(F.col("kind") == kind), ["text"], SAMPLE, counts.get(kind, 0)).collect()
-        for r in picked:
-            text, spans = rewritten(r["text"], [tuple(s) for s in r["spans"]], rng)
-            start = int(rng.integers(0, max(1, len(text) - WIDTH + 1)))
-            if spans and rng.random() < 0.8:  # mostly with the first span in view
-                start = max(0, min(spans[0][0] - int(rng.integers(0, WIDTH // 2)), len(text) - 8))
-            windows.append(np.concatenate([classes_of(text[start:start + WIDTH]), np.zeros(WIDTH, np.int64)])[:WIDTH])
-            tags.append(tags_of(spans, start))
+        found = least_hashes(rows.where(F.col("kind") == kind), ["text"], SAMPLE, counts.get(kind, 0)).collect()
+        picked += [(r["text"], [tuple(s) for s in r["spans"]]) for r in found]
+    return learnt(picked)
+
+
+def learnt(picked: list[tuple[str, list[Span]]]) -> Tagger:
+    """Tagger from texts with their spans."""
+    tagger, rng = Tagger(), np.random.default_rng(SEED)
+    windows, tags, kept_out = [], [], []
+    kinds = Counter(spans[0][1] if spans else -1 for _, spans in picked)
+    for k, (text, spans) in enumerate(picked):
+        if k % KEPT_OUT == 0:
+            kept_out.append(rewritten(text, spans, rng))
+            continue
+        for _ in range(max(VARIANTS, SAMPLE // kinds[spans[0][1] if spans else -1])):
+            row = cut_window(*rewritten(text, spans, rng), rng)
+            windows.append(row[0])
+            tags.append(row[1])
     if any(t.any() for t in tags):
         tagger.train(np.stack(windows), np.stack(tags))
+        set_sure(tagger, kept_out)
     return tagger
 
 
