@@ -128,6 +128,49 @@ def test_toxicity_learns_and_restores(documents, labels):
     assert all(0 <= r.score <= 1 for r in got.values())
 
 
+def restorer_of(words):
+    text = " ".join(["a", "garden", "window", "a", "river", "letter", "stone", "such", "morning", *words] * 20)
+    c = toxicity.letter_classes("  " + text + "  ")
+    counts = np.bincount((c[:-2] * toxicity.LETTERS + c[1:-1]) * toxicity.LETTERS + c[2:], minlength=toxicity.LETTERS ** 3).astype(float)
+    return toxicity.Restorer(counts, list(words))
+
+
+def test_disguises_of_one_word():
+    """Spacing between other words, a doubled letter, long runs: all are read as the word."""
+    restorer = restorer_of(["blorgh", "snarfle"])
+    for text in ("b1orgh", "such a b l o r g h", "bblorgh", "b" + "l" * 40 + "orgh", "b.l.o.r.g.h", "b l o r g h s n a r f l e", "BLLORGH!",
+                 "a b l 0 r g h", "x" * 40 + "-b1orgh blorgh"):
+        assert 0 in restorer.entries(text), text
+    assert restorer.entries("b l o r g h s n a r f l e") == [0, 1]
+    for text in ("such a letter", "a b c d e f", "", "g a r d e n", "3.5 of 20-30", "z" * 100_000, "ab" * 50_000 + "1", "a" + "1a" * 2000):
+        assert restorer.entries(text) == [], text[:20]
+
+
+def test_decoding_equals_all_readings_of_a_lattice():
+    import itertools
+    restorer, rng = restorer_of(["blorgh", "moron"]), random.Random(4)
+    for _ in range(150):
+        token = "".join(rng.choice("bloragh016@$ -.é") for _ in range(rng.randrange(1, 7)))
+        best = None
+        for path in itertools.product(*restorer.lattice(token)):
+            score, x, y = 0.0, 0, 0
+            for letters, cost in path:
+                score -= cost
+                if letters == " ":
+                    score, x, y = score + restorer.log_p[x][y][0], 0, 0
+                    continue
+                for c in letters:
+                    k = ord(c) - 96 if "a" <= c <= "z" else 27
+                    score += restorer.log_p[x][y][k]
+                    x, y = y, k
+            score += restorer.log_p[x][y][0]
+            if best is None or score > best[0] + 1e-9:
+                best = (score, {"".join(p for p, _ in path)})
+            elif abs(score - best[0]) <= 1e-9:
+                best[1].add("".join(p for p, _ in path))
+        assert restorer.decode(token) in best[1], token
+
+
 def test_toxicity_uses_no_held_out_label(documents, labels):
     rows, marks = toxic_rows(200)
     flipped = [(k, q, 1 - t if bucket(k) == 0 else t) for k, q, t in marks]

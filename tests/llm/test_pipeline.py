@@ -31,6 +31,15 @@ def test_stages_pass_rows_on(spark, odd, tmp_path):
     assert [(r.doc_id, r.offset) for r in packed] == [(101, 0)]
 
 
+def test_stages_on_an_empty_table(spark, nothing, tmp_path):
+    docs = nothing
+    for name, stage in corpus_pipeline.STAGES:
+        docs = stage(spark, docs, FOLDER)
+        docs.write.parquet(path := str(tmp_path / name))
+        docs = spark.read.schema(docs.schema).parquet(path)
+        assert docs.count() == 0, name
+
+
 @pytest.mark.skipif(not os.path.isdir(FOLDER), reason="no test data")
 def test_pipeline_runs(spark):
     rows = corpus_pipeline.run(spark, FOLDER).collect()

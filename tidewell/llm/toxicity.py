@@ -2,7 +2,8 @@
 
 The channel writes letters as digits and signs (1d10t), repeats them (idiooot), puts marks or
 blanks between them (i.d.i.o.t, i d i o t). A disguised word is a lattice of the letters that each of its
-characters may stand for, at a cost; Viterbi's algorithm finds its best path under a character
+characters may stand for, at a cost; a blank between single letters may be dropped or part two words, and a letter that is
+repeated, once or forty times, may stand for one or for two. Words of any length are read. Viterbi's algorithm finds its best path under a character
 trigram model, counted by Spark over all texts and mixed with the lexicon's own. The lexicon is learnt
 from labelled rows: Spark counts in how many toxic and other rows each word and each beginning of words
 stands, and those that mark toxic rows enter. A ridged logistic model of the lexicon's entries in the restored
@@ -38,7 +39,6 @@ LEAST_SHARE = 0.004  # the share of all toxic rows
 LEAST_ODDS = 2.0  # log-odds of an entry in toxic rows, against others
 RIDGE, STEPS = 0.15, 600  # of the logistic model
 MIX = 0.25  # weight of the lexicon in the character model
-LONGEST = 32  # characters of a disguised word
 KNOWN_TOKENS = 300_000  # tokens that a task remembers; when full it starts again
 CUT = 0.5
 
@@ -49,8 +49,25 @@ STANDS_FOR = {
     "0": "o", "1": "il", "2": "z", "3": "e", "4": "a", "5": "s", "6": "bg", "7": "t", "8": "b", "9": "g",
     "@": "a", "$": "s", "!": "il", "|": "il", "+": "t", "(": "c", "€": "e", "£": "l"}
 SWAP, HIDDEN, DROP, REPEAT = 1.0, 3.0, 0.5, 0.5  # costs: a sign for a letter, * for any, a mark between, a run of a letter
+BREAK = 0.5  # cost of a blank between single letters that parts two words
+DOUBLE = 2.0  # cost of a letter written twice that stands for one
 SPACED = re.compile(r"(?<!\S)[a-z0-9@$!](?:[ .\-_*]{1,2}[a-z0-9@$!]){2,}(?!\S)")
-DISGUISED = re.compile(r"[a-z].*[0-9@$!|+(€£*.\-_]|[0-9@$!|+(€£].*[a-z]|([a-z])\1\1")
+SIGNS = re.compile(r"[0-9@$!|+(€£*.\-_]")  # that may be letters, or stand between them, behind a letter
+SHAPES = re.compile(r"[0-9@$!|+(€£]")  # that may be letters before one
+LETTER, RUN = re.compile("[a-z]"), re.compile(r"([a-z])\1")
+
+
+def may_be_disguised(token: str) -> bool:
+    """Whether a token has letters with signs behind or before them, or a letter twice in a row; in one pass."""
+    if RUN.search(token):
+        return True
+    letter = LETTER.search(token)
+    if letter is None:
+        return False
+    if SIGNS.search(token, letter.end()):
+        return True
+    shape = SHAPES.search(token, 0, letter.start())
+    return shape is not None
 
 
 def letter_classes(text: str) -> np.ndarray:
@@ -107,12 +124,14 @@ class Restorer:
         self.known: dict[str, tuple[int, ...]] = {}
 
     def lattice(self, token: str) -> list[list[tuple[str, float]]]:
-        """Per character, or run of a letter, what it may stand for."""
+        """Per character, or run of a letter, what it may stand for; a blank is the edge of a word."""
         steps = []
         for c, run in groupby(token):
             n = len(list(run))
             if "a" <= c <= "z":
-                steps.append([(c * n, 0.0)] if n < 3 else [(c, REPEAT), (c * 2, REPEAT)])
+                steps.append([(c, 0.0)] if n == 1 else [(c * 2, 0.0), (c, DOUBLE)] if n == 2 else [(c, REPEAT), (c * 2, REPEAT)])
+            elif c == " ":
+                steps.append([("", DROP), (" ", BREAK)])
             elif c.isalpha():
                 steps.append([(c * min(n, 2), 0.0)])
             elif c in STANDS_FOR:
@@ -125,21 +144,31 @@ class Restorer:
         return steps
 
     def decode(self, token: str) -> str:
-        """Best reading of a token, by states of the last two letters."""
-        states = {(0, 0): (0.0, "")}
+        """Best reading of a token, by states of the last two letters; words in it are parted by blanks."""
+        log_p = self.log_p
+        states = {(0, 0): (0.0, None)}  # score, and the letters read so far as a chain
         for options in self.lattice(token):
-            reached: dict[tuple[int, int], tuple[float, str]] = {}
-            for (a, b), (score, text) in states.items():
+            reached: dict[tuple[int, int], tuple[float, tuple]] = {}
+            for (a, b), (score, chain) in states.items():
                 for letters, cost in options:
                     x, y, s = a, b, score - cost
-                    for c in letters:
-                        k = ord(c) - 96 if "a" <= c <= "z" else 27
-                        s += self.log_p[x][y][k]
-                        x, y = y, k
+                    if letters == " ":
+                        s += log_p[x][y][0]
+                        x = y = 0
+                    else:
+                        for c in letters:
+                            k = ord(c) - 96 if "a" <= c <= "z" else 27
+                            s += log_p[x][y][k]
+                            x, y = y, k
                     if (x, y) not in reached or s > reached[x, y][0]:
-                        reached[x, y] = (s, text + letters)
+                        reached[x, y] = (s, (chain, letters))
             states = reached
-        return max((score + self.log_p[a][b][0], text) for (a, b), (score, text) in states.items())[1]
+        _, chain = max(((score + log_p[a][b][0], chain) for (a, b), (score, chain) in states.items()), key=lambda x: x[0])
+        letters = []
+        while chain is not None:
+            chain, part = chain
+            letters.append(part)
+        return "".join(reversed(letters))
 
     def restored(self, token: str) -> list[str]:
         """Words that a token of lower-case text may be: itself, and what it disguises."""
@@ -148,7 +177,7 @@ class Restorer:
         # A sign at an end may be a letter of the word, or a mark behind it.
         for core in dict.fromkeys((word, token.strip(EDGE_MARKS.replace("$", "").replace("@", "").replace("!", "")),
                                    token.rstrip(EDGE_MARKS).lstrip(".,?*%&#\"'`;:~<>=/\\-_^"))):
-            if 2 < len(core) <= LONGEST and DISGUISED.search(core):
+            if len(core) > 2 and may_be_disguised(core):
                 words.append(self.decode(core))
         return words
 
@@ -167,7 +196,9 @@ class Restorer:
         text = text.lower()
         found = set().union(*map(self.entry, set(text.split())))
         for m in SPACED.finditer(text):
-            found.update(self.entry(re.sub(r"[ .\-_*]", "", m[0])))
+            found.update(self.entry(re.sub(r"[ .\-_*]", "", m[0])))  # one word
+            read = self.decode(re.sub(r"[ .\-_*]{1,2}", lambda gap: " " if " " in gap[0] else "", m[0]))  # or several
+            found.update(self.numbers[mark] for word in read.split() for mark in marks_of(word) if mark in self.numbers)
         return sorted(found)
 
 
@@ -187,7 +218,7 @@ def telling_marks(texts: DataFrame) -> list[str]:
         for batch in batches:
             counts = {0: Counter(), 1: Counter()}
             for label, text in zip(batch["label"].to_pylist(), texts_of(batch["text"])):
-                words = {w for t in set(text.lower().split()) if 1 < len(w := t.strip(EDGE_MARKS)) <= LONGEST and w.isalpha()}
+                words = {w for t in set(text.lower().split()) if len(w := t.strip(EDGE_MARKS)) > 1 and w.isalpha()}
                 counts[label].update({m for w in words for m in marks_of(w)})
                 counts[label][""] += 1  # the empty mark counts rows
             marks = list(counts[0].keys() | counts[1].keys())
