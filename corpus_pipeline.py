@@ -1,4 +1,10 @@
-"""Corpus cleaning and packing: each stage works on what the one before it kept."""
+"""Corpus cleaning and packing: each stage works on what the one before it kept.
+
+Defined cases: documents with null, empty or short texts fail the base rules and go in the first stage; of repeated
+rows, and of rows equal in text, one stays; rows without doc_id stay where the rules of a stage keep them and
+name no group of near duplicates; extra columns pass through all stages but the last, whatever they are called;
+an empty table gives no rows.
+"""
 
 from __future__ import annotations
 
