@@ -178,7 +178,7 @@ def load_partitions(spark: SparkSession, path: str, before: int | None = None) -
     folders, schema = found
     names = sorted(r["folder"] for r in folders.select("folder").collect())
     if not names:
-        return spark.createDataFrame([], schema)
+        return spark.range(0).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields])
     rows = spark.read.schema(schema).option("basePath", f"{path}/parts").parquet(*[f"{path}/parts/{n}" for n in names])
     return rows.select(*[F.col(f"`{c}`") for c in schema.names])
 
