@@ -6,9 +6,9 @@ import math
 import numpy as np
 import pytest
 
-from tidewell.llm import code_compression, product_quantisation
+from tidewell.llm import product_quantisation
 from tidewell.llm.code_compression import Books, compress, nearest
-from tidewell.llm.product_quantisation import BLOCK, COSINE, Index, dealt, near_duplicates, unit
+from tidewell.llm.product_quantisation import COSINE, Index, dealt, near_duplicates, unit
 
 VECTORS = "vec_id bigint, embedding array<float>, label int, code string, links int, vid string"
 
