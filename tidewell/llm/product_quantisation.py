@@ -7,7 +7,7 @@
    the codes leave out. It also visits each list whose bisector with its own is within ``reach``: linked
    vectors in different lists lie on both sides of the bisector, and one of them is no further from it than half
    their distance. A reach of half the greatest distance of linked vectors would lose no pair. It is shortened to
-   four standard deviations of how far linked vectors lie apart in one direction (``DEVIATIONS``), where that is less.
+   five standard deviations of how far linked vectors lie apart in one direction (``DEVIATIONS``), where that is less.
 3. A list's members within half the link angle of its centre, its core, all link with each other: they are counted,
    not compared. Core members are compared only with vectors within one and a half link angles of the centre, as no
    other can link. So one large group of near copies costs no more than its members.
@@ -39,7 +39,7 @@ from tidewell.llm.ngram_join import components
 COSINE = 0.95
 ANGLE = math.acos(COSINE)
 CHORD = math.sqrt(2 - 2 * COSINE)
-DEVIATIONS = 4
+DEVIATIONS = 5
 SAMPLE = 16384  # vectors that fit the index; there are at most a quarter as many lists
 PARTS = 8  # subspaces of a residual
 CODES = 256
