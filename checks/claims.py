@@ -45,10 +45,27 @@ def _(t):
 
 def lines(t, *more):
     """Line items with their member; what every raw feed is made from."""
+    if isinstance(t, WrittenLines):
+        return t.lines
     return t.lineitem.join(t.orders.select("o_orderkey", "o_custkey", "o_orderstatus", *more),
                            C("l_orderkey") == C("o_orderkey"))
 
 
+class WrittenLines:
+    """Tables whose line items, joined to their orders, are written once for all loads of a query."""
+
+    def __init__(self, t, *columns):
+        from tidewell.sources.tables import written
+        self.tables, self.lines = t, written(lines(t).select(*columns))
+
+    def __getattr__(self, name):
+        return getattr(self.tables, name)
+
+
+LINES_67 = ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_shipdate", "l_returnflag",
+            "o_custkey", "o_orderstatus")
+
+
 def drugs(t):
     """Drug list with two names for most codes."""
     code = text.pad_code("p_partkey").alias("ndc11")
@@ -354,6 +371,7 @@ def with_unreadable(raw):
 def _(t):
     from tidewell.session import shared_folder
     from tidewell.sources import tables
+    t = WrittenLines(t, *LINES_67)
     raw, existing = feed_67(t)
     path = shared_folder(t.spark)
     raw, p = with_unreadable(raw), params(67, 2016)

@@ -396,3 +396,37 @@ def test_restaging_reads_changed_patients_only(spark, table, values):
     first, later = before.where("k is not null"), after.where("k is not null")
     assert values(adherence.refresh_measures(first, first, later, build, "k")) == values(later)
     assert set(seen) == {"a", "d", "e"}
+
+
+def test_new_claims_move_once_for_reversals_and_copies(spark, table):
+    raw = table("transaction_id string, reversed_claim_id string, patient_id string, date_of_service string, ndc_code string, "
+                "productnameshort string, quantity_dispensed string, days_supply string, prescriber_npi string, "
+                "pharmacy_npi string, plan_code string, prescription_num string, transaction_status string",
+                *[(i, "9", "p", "2020-03-0" + i, "1", "d", "1", "1", "n", "n", "PLAN", "1", s)
+                  for i, s in (("1", "Paid"), ("1", "Paid"), ("2", "Paid"), ("2", "Reversal"))])
+    drugs = table("ndc11 string, medstaken string", ("1", "m"))
+    stored = table("transaction_id string, pmd_client_id bigint, patient_id string, runyear int, date_of_service timestamp_ntz",
+                   ("3", 67, "p", 2020, datetime(2020, 1, 1)), ("2", 67, "p", 2019, datetime(2019, 1, 1)))
+    p = RunParams(client_id=67, run_year=2020, as_of=P.as_of, run_id=1)
+    key, old = "spark.sql.autoBroadcastJoinThreshold", spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set(key, "-1")
+    try:
+        new = claims.changed_claims(raw, drugs, stored, PHARMACY_FEEDS[67], p)
+        rows = sorted(map(tuple, new.select("transaction_id", "runyear", "claimexccd").collect()))
+        plan = spark._jvm.PythonSQLUtils.explainString(new._jdf.queryExecution(), "simple")
+    finally:
+        spark.conf.set(key, old)
+    assert rows == [("1", 2020, None), ("2", 2020, 333), ("3", 2020, None)]
+    # Row ids are made behind the last exchange, and no exchange deals by all columns.
+    assert not [x for x in plan.splitlines() if "Exchange hashpartitioning" in x and "prescription_service_reference_num" in x]
+
+
+def test_states_are_packed(spark, tmp_path, table):
+    import glob
+
+    import pyarrow.parquet as pq
+    rows = table("k int, v string", (1, "a"))
+    tables.save_state(rows, f"{tmp_path}/s", 1)
+    tables.replace_partitions(rows, f"{tmp_path}/p", 0, ["k"])
+    found = glob.glob(f"{tmp_path}/s/states/**/*.parquet", recursive=True) + glob.glob(f"{tmp_path}/p/parts/**/*.parquet", recursive=True)
+    assert {pq.ParquetFile(f).metadata.row_group(0).column(0).compression for f in found if pq.ParquetFile(f).metadata.num_rows} == {"ZSTD"}

@@ -14,6 +14,11 @@ from tidewell.plans.feeds import REVERSED, MedicalFeed, PharmacyFeed, Reversal,
 from tidewell.sources.tables import load_partitions, replace_partitions, stamp
 
 CLAIM_PARTITION = ("pmd_client_id", "runyear")
+SEQUENCE = "__sequence"  # of new claims, as a column: rows that meet reversals by it needn't move again to lose copies
+
+
+def stored_sequence() -> Column:
+    return F.col("paired_adjustment_sequence_num").try_cast("int")
 
 
 def with_drug_name(raw: DataFrame, drugs: DataFrame, feed: PharmacyFeed) -> DataFrame:
@@ -30,10 +35,9 @@ def drop_later_sequences(existing: DataFrame, raw: DataFrame, feed: PharmacyFeed
     paid = paid.where(dates.in_year(F.col(feed.service_date).try_cast("date"), p.run_year))
     least = paid.groupBy(F.col(feed.transaction).alias("txn")).agg(
         F.min(F.col(feed.sequence).try_cast("int")).alias("least"))
-    stored = F.col("paired_adjustment_sequence_num").try_cast("int")
     in_scope = (F.col("pmd_client_id") == p.client_id) & (F.col("runyear") == p.run_year)
     return delete_matched(existing, least, [("transaction_id", "txn")],
-                          (other("least") < stored) & in_scope, carry=["least"])
+                          (other("least") < stored_sequence()) & in_scope, carry=["least"])
 
 
 def unusable(feed: PharmacyFeed | MedicalFeed) -> dict[str, Column]:
@@ -69,7 +73,13 @@ def rejected_rows(raw: DataFrame, feed: PharmacyFeed | MedicalFeed) -> DataFrame
 
 def new_claims(raw: DataFrame, drugs: DataFrame, existing: DataFrame, feed: PharmacyFeed, p: RunParams,
                exclude_patients: tuple = ()) -> DataFrame:
-    """Canonical rows of a feed that are not loaded yet.
+    """Canonical rows of a feed that are not loaded yet."""
+    return finished(unloaded(raw, drugs, existing, feed, exclude_patients), feed, p)
+
+
+def unloaded(raw: DataFrame, drugs: DataFrame, existing: DataFrame, feed: PharmacyFeed,
+             exclude_patients: tuple = ()) -> DataFrame:
+    """Canonical rows of a feed whose key is not loaded yet, as often as the feed has them.
 
     ``exclude_patients`` are test members whose stored claims do not count as known.
     """
@@ -90,12 +100,16 @@ def new_claims(raw: DataFrame, drugs: DataFrame, existing: DataFrame, feed: Phar
         rows = dedup_latest(rows, [feed.transaction], list(feed.latest_by), ["__tie"])
 
     canonical = standardize(with_drug_name(rows, drugs, feed), feed.columns)
+    canonical = canonical.withColumns({"runyear": F.year("date_of_service"), "claimexccd": F.lit(None).cast("int")})
+    return canonical.withColumn(SEQUENCE, stored_sequence()) if any(r.min_sequence for r in feed.reversals) else canonical
+
+
+def finished(added: DataFrame, feed: PharmacyFeed, p: RunParams) -> DataFrame:
+    """New claims, each once, with the values that the load gives them."""
     if feed.dedup != "latest":
-        canonical = canonical.distinct()
+        added = added.distinct()
     return stamp(
-        canonical,
-        runyear=F.year("date_of_service"),
-        claimexccd=F.lit(None).cast("int"),
+        added.drop(SEQUENCE),
         update_datetime=dates.moment(p.as_of),
         sourcerowid=text.row_id(F.lit(feed.client_id), "transaction_id", "date_of_service",
                                 "product_service_id", "quantity_dispensed", "days_supply"),
@@ -125,7 +139,7 @@ def apply_reversals(claims: DataFrame, raw: DataFrame, feed: PharmacyFeed, p: Ru
         keys = [("transaction_id", "reversed")]
         if rule.min_sequence:
             rows = rows.groupBy(key).agg(F.min(F.col(rule.min_sequence).try_cast("int")).alias("sequence"))
-            keys.append((F.col("paired_adjustment_sequence_num").try_cast("int"), "sequence"))
+            keys.append((SEQUENCE if SEQUENCE in claims.columns else stored_sequence(), "sequence"))
         else:
             rows = rows.select(key)
         claims = flag_matched(claims, rows, keys,
@@ -158,9 +172,11 @@ def changed_claims(raw: DataFrame, drugs: DataFrame, existing: DataFrame, feed:
     """
     mine, others = own_partition(existing, p)
     kept = drop_later_sequences(mine, raw, feed, p)
-    added = new_claims(raw, drugs, kept.unionByName(others), feed, p, exclude_patients)
-    state = kept.unionByName(added, allowMissingColumns=True)
-    state = apply_reversals(state, raw, feed, p)
+    # New claims are flagged before copies go: both need them by transaction, so they move once, and without the row id.
+    added = unloaded(raw, drugs, kept.unionByName(others), feed, exclude_patients)
+    added = finished(apply_reversals(added, raw, feed, p), feed, p)
+    missing = {f.name: F.lit(None).cast(f.dataType) for f in added.schema.fields if f.name not in kept.columns}
+    state = apply_reversals(kept.withColumns(missing), raw, feed, p).unionByName(added, allowMissingColumns=True)
     if feed.account_from_period and periods is not None:
         state = fill_account(state, members, periods, p)
     return state

@@ -27,6 +27,7 @@ from tidewell.session import shared_folder
 
 STATE_COLUMN = "state_run"
 RUN_COLUMN = "history_run"
+CODEC = "zstd"  # of states and of what a load stages: they are written whole at every run
 
 
 def read_table(spark: SparkSession, name: str) -> DataFrame:
@@ -46,7 +47,7 @@ def read_jdbc(spark: SparkSession, url: str, table: str, column: str, lower: int
 def written(df: DataFrame) -> DataFrame:
     """``df`` written to a new folder that all machines share, and read from there; for what several steps read."""
     path = shared_folder(df.sparkSession)
-    df.write.parquet(path)
+    df.write.option("compression", CODEC).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
@@ -69,7 +70,7 @@ def save_state(df: DataFrame, path: str, run_id: int, partition_by: Sequence[str
     left half written is never the newest.
     """
     folder = f"{path}/states/{STATE_COLUMN}={run_id}"
-    df.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(*partition_by).parquet(folder)
+    df.write.mode("overwrite").option("partitionOverwriteMode", "static").option("compression", CODEC).partitionBy(*partition_by).parquet(folder)
     done = df.sparkSession.range(1).select(F.lit(run_id).cast("bigint").alias(STATE_COLUMN))
     overwrite(done, f"{path}/complete/run={run_id}")
 
@@ -152,7 +153,8 @@ def replace_partitions(df: DataFrame, path: str, run_id: int, keys: Sequence[str
     """
     spark = df.sparkSession
     run = f"{STATE_COLUMN}={run_id}"
-    df.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(*keys).parquet(f"{path}/parts/{run}")
+    target = df.write.mode("overwrite").option("partitionOverwriteMode", "static").option("compression", CODEC)
+    target.partitionBy(*keys).parquet(f"{path}/parts/{run}")
     written = spark.read.schema(df.schema).parquet(f"{path}/parts/{run}")
     folder = F.regexp_extract(F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B"))), f"({run}/.*)/[^/]*$", 1)
     folders = written.select(folder.alias("folder"), *keys).distinct()
