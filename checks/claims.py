@@ -64,6 +64,7 @@ class WrittenLines:
 
 LINES_67 = ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_shipdate", "l_returnflag",
             "o_custkey", "o_orderstatus")
+LINES_52 = (*LINES_67, "l_tax", "l_discount", "l_linestatus", "l_extendedprice")
 
 
 def drugs(t):
@@ -391,6 +392,7 @@ def _(t):
     from tidewell.session import shared_folder
     from tidewell.sources import tables
     path = shared_folder(t.spark)
+    t = WrittenLines(t, *LINES_52)
     raw, existing = feed_67(t)
     tables.replace_partitions(existing.unionByName(existing_52(t), allowMissingColumns=True), path, 0, claims.CLAIM_PARTITION)
     for run_id, client, feed, year in ((1, 67, raw, 2016), (2, 52, raw_52(t), 1998), (3, 67, raw, 2016)):
