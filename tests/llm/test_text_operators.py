@@ -192,6 +192,19 @@ def brute_model(texts):
     return log_p
 
 
+def test_texts_are_spelled_in_bounded_runs():
+    texts = ["a" * 100, "", "b" * 250, "c" * 100, "d" * 90, "", "e" * 20]
+    runs = [texts[k] for k in quality_rules.pieces(texts, 200)]
+    assert [t for run in runs for t in run] == texts
+    assert all(sum(map(len, run)) <= 200 or sum(map(bool, run)) == 1 for run in runs)
+    assert list(quality_rules.pieces([])) == []
+    langs = ["en", None, "de", "es", "en", "fr", "en"]
+    got = sorted(g + slot * quality_rules.GRAMS for grams, _, own in quality_rules.spelled(texts, langs)
+                 for slot, mine in own for g in grams[mine].tolist())
+    assert got == sorted(g + quality_rules.slot_of(lang) * quality_rules.GRAMS
+                         for t, lang in zip(texts, langs) for g in quality_rules.spell([t])[0].tolist())
+
+
 def test_model_against_dictionaries(documents):
     rng = random.Random(2)
     texts = [" ".join(rng.choice(["the", "cat", "sat", "Mat!", "été", "x9"]) for _ in range(rng.randrange(1, 40))) for _ in range(60)]
