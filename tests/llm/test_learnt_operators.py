@@ -76,6 +76,102 @@ def test_lm_learns_every_place_once(documents):
     assert network.log_p(numbers, at)[0] > lm_scoring.Network([200, 100]).log_p(numbers, at)[0]
 
 
+def lm_by_hand(inputs, levels, windows):
+    """Mean log-probability of the middle words of windows of five, in plain steps and doubles."""
+    total = 0.0
+    for a, b, target, c, d in windows:
+        h = np.tanh(inputs[0, a] + inputs[1, b] + inputs[2, c] + inputs[3, d])
+        branch, rest = 0, target
+        for weights in levels:
+            size = weights.shape[1]
+            scores = [sum(x * y for x, y in zip(row, [*h, 1.0])) for row in weights[branch]]
+            total += scores[rest % size] - math.log(sum(map(math.exp, scores)))
+            branch, rest = branch * size + rest % size, rest // size
+    return total / len(windows)
+
+
+def lm_windows():
+    rng = np.random.default_rng(4)
+    windows = rng.integers(0, lm_scoring.VOCABULARY, (40, 5)).astype(np.intp)
+    windows[:20, 2] = 7  # words of one branch, and the same word in many windows
+    windows[:20, 3] = 9
+    windows[20:30, 2] = 7 + 160
+    network = lm_scoring.Network([50, 40, 30, 20, 10])
+    return network, windows, windows.ravel(), np.arange(2, windows.size, 5)
+
+
+def test_lm_log_p_by_hand():
+    network, windows, words, at = lm_windows()
+    expected = [lm_by_hand(network.inputs.astype(float), [w.astype(float) for w in network.levels], [w]) for w in windows]
+    assert network.log_p(words, at) == pytest.approx(expected, abs=1e-4)
+
+
+def test_lm_gradient_by_hand():
+    """Each kind of weight moves by what differences of the probability by hand give, as Adagrad scales it."""
+    network, windows, words, at = lm_windows()
+    inputs, levels = network.inputs.astype(float), [w.astype(float) for w in network.levels]
+    trainer = lm_scoring.Trainer(network, 0.01)
+    assert trainer.step(words, at) == pytest.approx(lm_by_hand(inputs, levels, windows), abs=1e-4)
+
+    def slope(array, place, by=1e-4):
+        was, found = array[place], []
+        for sign in (1, -1):
+            array[place] = was + sign * by
+            found.append(lm_by_hand(inputs, levels, windows))
+        array[place] = was
+        return (found[0] - found[1]) / (2 * by)
+
+    branch = (7 % 10) * 16 + 7 // 10 % 16
+    for level, place in ((0, (0, 7, 3)), (0, (0, 2, 24)), (1, (7, 0, 5)), (1, (7, 3, 24)), (2, (branch, 0, 11)), (2, (branch, 1, 24))):
+        g = slope(levels[level], place)
+        moved = network.levels[level][place] - levels[level][place]
+        assert moved == pytest.approx(0.01 * g / math.sqrt(lm_scoring.SEEN + g * g), rel=0.02, abs=1e-5)
+    for k, word in ((2, 9), (0, windows[3, 0])):  # a word in many windows, and one of a single window
+        g = np.array([slope(inputs, (k, word, u)) for u in range(lm_scoring.UNITS)])
+        moved = network.inputs[k, word] - inputs[k, word]
+        assert moved == pytest.approx(0.01 * g / math.sqrt(lm_scoring.SEEN + (g * g).mean()), rel=0.05, abs=1e-4)
+
+
+def test_lm_row_sums():
+    rng = np.random.default_rng(3)
+    sizes = np.array([1, 1, 2, 3, 4, 5, 1, 40, 9, 4, 1])
+    values = rng.standard_normal((sizes.sum(), lm_scoring.UNITS)).astype(np.float32)
+    first = np.cumsum(sizes) - sizes
+    for n in (len(first), 5):  # with and without long runs
+        end = sizes[:n].sum()
+        assert lm_scoring.row_sums(values[:end], first[:n]) == pytest.approx(np.add.reduceat(values[:end], first[:n]), abs=1e-5)
+
+
+def test_lm_numbers_are_staged(documents, monkeypatch):
+    """Both rounds and the scores read numbers of words, staged once; every word of every text is among them."""
+    rounds, stages = [], []
+    train_round, staged = lm_scoring.train_round, lm_scoring.staged
+    monkeypatch.setattr(lm_scoring, "train_round", lambda df, *rest: rounds.append(df) or train_round(df, *rest))
+    monkeypatch.setattr(lm_scoring, "staged", lambda df, name: stages.append(name) or staged(df, name))
+    texts = ["A b\u00a0c \u0130\u03a3 b", None, "", "\x1c z", "b " * 700]
+    got = {r.doc_id: r.n_tokens for r in lm_scoring.score(documents(*texts)).collect()}
+    assert got == {0: 5, 1: 0, 2: 0, 3: 1, 4: 700}
+    assert len(rounds) == len(lm_scoring.ROUNDS) and all("text" not in df.columns for df in rounds)
+    assert stages == ["words", "numbers"]
+    words = lm_scoring.Words(["b", "c"])
+    coded = {r.doc_id: np.frombuffer(r.numbers, np.uint16).tolist() for r in lm_scoring.numbered(documents(*texts), words).collect()}
+    other = [1 + lm_scoring.FREQUENT + zlib.crc32(w.encode()) % lm_scoring.BUCKETS for w in ("a", texts[0].split()[3].lower(), "z")]
+    assert coded == {0: [other[0], 1, 2, other[1], 1], 1: [], 2: [], 3: [other[2]], 4: [1] * 700}
+
+
+def test_lm_later_steps(monkeypatch):
+    """Steps of a task grow once, with their rate, and every window is in one of them."""
+    monkeypatch.setattr(lm_scoring, "BATCH", 50)
+    monkeypatch.setattr(lm_scoring, "WARM", 400)
+    steps, seen = [], []
+    monkeypatch.setattr(lm_scoring.Trainer, "step", lambda self, words, at, times: steps.append((len(at), times)) or seen.extend(at))
+    trainer = lm_scoring.Trainer(lm_scoring.Network([5]), 0.1)
+    for k in range(3):
+        trainer.learn(np.zeros(700, np.intp), np.arange(225 * k, 225 * k + 225))
+    assert steps == [*[(50, 1)] * 4, (25, 1), *[(50, 1)] * 4, (25, 2), (100, 2), (100, 2), (25, 2)]
+    assert sorted(seen) == list(range(675)) and trainer.windows == 675
+
+
 def test_lm_prefers_order(documents):
     rng = random.Random(1)
     subjects, verbs, ends = ["cat", "dog", "fox"], ["sees", "likes"], ["red", "blue"]
