@@ -52,11 +52,15 @@ def lines(t, *more):
 
 
 class WrittenLines:
-    """Tables whose line items, joined to their orders, are written once for all loads of a query."""
+    """Tables whose line items, joined to their orders, are written once for all loads of a query.
 
-    def __init__(self, t, *columns):
+    With ``by_year`` they have the year they were shipped in as ``runyear`` and are kept by it, so a load reads one year.
+    """
+
+    def __init__(self, t, *columns, more=(), by_year=False):
         from tidewell.sources.tables import written
-        self.tables, self.lines = t, written(lines(t).select(*columns))
+        rows = lines(t, *more).select(*columns, *([F.year("l_shipdate").alias("runyear")] if by_year else []))
+        self.tables, self.lines = t, written(rows, ["runyear"] if by_year else [])
 
     def __getattr__(self, name):
         return getattr(self.tables, name)
@@ -65,6 +69,8 @@ class WrittenLines:
 LINES_67 = ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_shipdate", "l_returnflag",
             "o_custkey", "o_orderstatus")
 LINES_52 = (*LINES_67, "l_tax", "l_discount", "l_linestatus", "l_extendedprice")
+LINES_MEDICAL = ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_shipdate", "l_linestatus", "o_custkey",
+                 "o_orderstatus", "o_orderpriority")
 
 
 def drugs(t):
@@ -445,7 +451,7 @@ def raw_medical(t):
         "servicing provider npi": as_text("l_suppkey"), "facility npi": F.lit(None).cast("string"),
         "unit qty": as_text("l_linenumber"), "admission type": as_text("l_linenumber"),
         "dx code principal": F.concat(F.lit("D"), as_text("l_partkey"), F.lit("0000000")),
-        "runyear": F.year("l_shipdate")}
+        "runyear": C("runyear") if "runyear" in rows.columns else F.year("l_shipdate")}
     needed = set()
     for _, *arguments in MEDICAL_FEEDS[62].columns.values():
         names = arguments[0] if isinstance(arguments[0], tuple) else (arguments[0],)
@@ -511,6 +517,7 @@ def _(t):
 def _(t):
     from tidewell.session import shared_folder
     from tidewell.sources import tables
+    t = WrittenLines(t, *LINES_MEDICAL, more=["o_orderpriority"], by_year=True)
     raw, path = raw_medical(t), shared_folder(t.spark)
     raw = raw.unionByName(raw.withColumn("claim line number", F.lit("first")))  # unreadable lines are not loaded
     tables.replace_partitions(medical_state(t).where("false"), path, 0, claims.CLAIM_PARTITION)

@@ -55,6 +55,16 @@ def test_dedup_latest_puts_missing_dates_first(table, values):
     assert values(picking.dedup_latest(rows, ["k"], ["d"], ["e"])) == [(1, None, 2), (2, 5, 2), (3, 1, 1)]
 
 
+def test_distinct_by_key_agrees_with_distinct(table, values):
+    rng = random.Random(3)
+    rows = [(rng.choice([1, 2, None]), rng.choice(["a", None]), rng.choice([0, 1, None]), rng.choice(["x", "y", None])) for _ in range(200)]
+    df = table("k int, `a b` string, c int, l string", *rows)
+    got = picking.distinct_by_key(df, ["k", "l"])
+    assert got.columns == df.columns
+    assert values(got) == values(df.distinct())
+    assert picking.distinct_by_key(df.where("false"), ["k", "l"]).count() == 0
+
+
 def test_one_row_of_each_key_is_first(spark):
     random.seed(5)
     data = [(random.choice([1, 1, 1, 2, 3, None]), random.randrange(4)) for _ in range(400)]

@@ -308,6 +308,48 @@ def test_medical_load_into_its_partition(spark, tmp_path, table, values):
     assert files_of("not (pmd_client_id = 62 and runyear = 2020)") == others
 
 
+def test_medical_loads_read_their_year_of_lines_joined_once(spark, tmp_path, table, monkeypatch):
+    from checks import claims as checked
+    from checks.registry import QUERIES
+    table("o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_orderpriority string",
+          (1, 1, "F", "1-URGENT"), (2, 2, "O", "2-HIGH"), (2, 2, "O", "5-LOW"), (None, 3, "O", "5-LOW")).write.parquet(str(tmp_path / "orders.parquet"))
+    days = [datetime(1996, 1, 1), datetime(1997, 5, 1), datetime(1998, 9, 1)]
+    line = "l_orderkey bigint, l_linenumber int, l_partkey bigint, l_suppkey bigint, l_shipdate timestamp_ntz, l_linestatus string"
+    table(line, *[(k, n, 7, 3 + n, day, "O") for k in (1, 2, None) for n in (1, 1, 2) for day in days], (1, 3, 7, 1, None, "F"),
+          ).write.parquet(str(tmp_path / "lineitem.parquet"))
+    plans, load = [], claims.load_medical_into
+
+    def spied(spark_, path, raw, feed, p):
+        plans.append((p.run_year, raw._jdf.queryExecution().executedPlan().toString()))
+        load(spark_, path, raw, feed, p)
+
+    monkeypatch.setattr(claims, "load_medical_into", spied)
+    assert checked.claims is claims
+    got = QUERIES["load_medical_62_twice"](spark, str(tmp_path))
+    assert [y for y, _ in plans] == [None, 1996, 1997, 1998, 1998, 1997]
+    for year, plan in plans[1:]:
+        assert "Join" not in plan and "(runyear#" in plan[plan.index("PartitionFilters"):] and f"= {year})" in plan, plan
+    # A copy of a line counts once, and so for both plans of order 2; rows without an order or a day load nothing.
+    assert got.where("claim_id = '1'").count() == 2 * 3 and got.where("claim_id = '2'").count() == 2 * 2 * 3
+
+
+def test_new_medical_lines_move_once(spark, table):
+    feed = MEDICAL_FEEDS[62]
+    needed = sorted({n for _, *a in feed.columns.values() for n in (a[0] if isinstance(a[0], tuple) else (a[0],)) if isinstance(n, str) and n != "runyear"})
+    raw = table(", ".join(f"`{n}` string" for n in needed) + ", runyear int", tuple("1" for _ in needed) + (2020,))
+    state = table("pmd_client_id int, plan_code string, claim_id string, claim_line_num bigint, claim_status smallint, runyear int",
+                  (62, "H1234", "c1", 1, 0, 2020))
+    without_broadcast(spark)
+    try:
+        plan = claims.changed_medical(raw, state, feed, RunParams(client_id=62, run_year=2020, as_of=P.as_of, run_id=1))
+        text_ = plan._jdf.queryExecution().executedPlan().toString()
+        assert "HashAggregate(keys=[pmd_client_id" not in text_
+        assert len([r for r in text_.splitlines() if "SortMergeJoin [claim_id" in r]) == 2
+        assert len([r for r in text_.splitlines() if "Exchange hashpartitioning(claim_id" in r]) == 2  # stored lines, new lines
+    finally:
+        with_broadcast(spark)
+
+
 def plan_text(df):
     return df._jdf.queryExecution().executedPlan().toString()
 

@@ -57,6 +57,18 @@ def latest_with_ties(df: DataFrame, keys: Sequence[str], col: str | Column, fn:
     return df.join(side, condition, "left_semi")
 
 
+def distinct_by_key(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Each row once; the rows of a key come together, so that a join on the keys needn't move them again.
+
+    For wide rows that have few copies: they move as one packed column and meet no hash table, just the row before.
+    """
+    rest = [c for c in df.columns if c not in keys]
+    packed = df.select(*keys, F.struct(*[F.col(f"`{c}`") for c in rest]).alias("__row"))
+    before = F.lag("__row").over(Window.partitionBy(*keys).orderBy("__row"))
+    once = packed.withColumn("__before", before).where(~F.col("__row").eqNullSafe(F.col("__before")))
+    return once.select(*[F.col(f"`{c}`") if c in keys else F.col("__row")[c].alias(c) for c in df.columns])
+
+
 def mark_first(df: DataFrame, keys: Sequence[str], order: Sequence[str] = (), chunk: int = CHUNK) -> DataFrame:
     """Add ``is_first``: true on exactly one row of each key, the least by ``order``.
 

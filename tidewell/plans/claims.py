@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tidewell.functions import dates, text
 from tidewell.operators.changes import delete_matched, exclude_keys, fill_blank_from_period, flag_matched, update_from
 from tidewell.operators.matching import having_match, lookup, only_new, other
-from tidewell.operators.picking import dedup_latest, latest_with_ties, split_occurrence
+from tidewell.operators.picking import dedup_latest, distinct_by_key, latest_with_ties, split_occurrence
 from tidewell.params import RunParams
 from tidewell.plans.feeds import REVERSED, MedicalFeed, PharmacyFeed, Reversal, accept, build, dirty_cells, standardize
 from tidewell.sources.tables import load_partitions, replace_partitions, stamp
@@ -214,17 +214,20 @@ def own_partition(existing: DataFrame, p: RunParams) -> tuple[DataFrame, DataFra
 
 # ---- medical --------------------------------------------------------------------
 
+MEDICAL_KEY = ("claim_id", "claim_line_num", "plan_code")
+
+
 def _cell(name: str) -> Column:
     return F.col(f"`{name}`")
 
 
 def new_medical(raw: DataFrame, existing: DataFrame, feed: MedicalFeed, p: RunParams) -> DataFrame:
-    """Canonical claim lines not loaded yet for the run year."""
+    """Canonical claim lines not loaded yet for the run year, those of a key together."""
     known = existing.where((F.col("pmd_client_id") == feed.client_id) & (F.col("runyear") == p.run_year))
     keys = [(_cell(feed.claim), "claim_id"),
             (_cell(feed.line).try_cast("bigint"), "claim_line_num"),
             (text.left(_cell(feed.plan), 5), "plan_code")]
-    rows = standardize(only_new(usable_rows(raw, feed), known, keys), feed.columns).distinct()
+    rows = distinct_by_key(standardize(only_new(usable_rows(raw, feed), known, keys), feed.columns), MEDICAL_KEY)
     return stamp(rows, create_date=dates.moment(p.as_of))
 
 
@@ -236,7 +239,7 @@ def refresh_status(lines: DataFrame, raw: DataFrame, feed: MedicalFeed, p: RunPa
         _cell(feed.submitted).try_cast("date").alias("submitted"),
         _cell(feed.status).try_cast("smallint").alias("status"))
     latest = latest_with_ties(rows, ["claim", "line", "plan"], "submitted")
-    return update_from(lines, latest, [("plan_code", "plan5"), ("claim_id", "claim"), ("claim_line_num", "line")],
+    return update_from(lines, latest, [("claim_id", "claim"), ("claim_line_num", "line"), ("plan_code", "plan5")],
                        {"claim_status": "status"}, scope=F.col("runyear") == p.run_year, order=["submitted"],
                        also={"update_datetime": dates.moment(p.as_of)})
 
@@ -244,8 +247,10 @@ def refresh_status(lines: DataFrame, raw: DataFrame, feed: MedicalFeed, p: RunPa
 def changed_medical(raw: DataFrame, existing: DataFrame, feed: MedicalFeed, p: RunParams) -> DataFrame:
     """The client's lines of the run year after loading its feed, and new lines of other years."""
     mine = own_partition(existing, p)[0]
-    state = mine.unionByName(new_medical(raw, mine, feed, p), allowMissingColumns=True)
-    return refresh_status(state, raw, feed, p)
+    # Stored and new lines get their status apart: the new ones lie by key already and move no more.
+    added = refresh_status(new_medical(raw, mine, feed, p), raw, feed, p)
+    state = refresh_status(mine, raw, feed, p).unionByName(added, allowMissingColumns=True)
+    return state.select(*[_cell(c) for c in dict.fromkeys([*mine.columns, *feed.columns, "create_date", "update_datetime"])])
 
 
 def load_medical(raw: DataFrame, existing: DataFrame, feed: MedicalFeed, p: RunParams) -> DataFrame:

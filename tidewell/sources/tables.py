@@ -44,10 +44,13 @@ def read_jdbc(spark: SparkSession, url: str, table: str, column: str, lower: int
             .option("lowerBound", lower).option("upperBound", upper).load())
 
 
-def written(df: DataFrame) -> DataFrame:
-    """``df`` written to a new folder that all machines share, and read from there; for what several steps read."""
+def written(df: DataFrame, partition_by: Sequence[str] = ()) -> DataFrame:
+    """``df`` written to a new folder that all machines share, and read from there; for what several steps read.
+
+    With ``partition_by`` a step that asks for one value of a key reads its files alone.
+    """
     path = shared_folder(df.sparkSession)
-    df.write.option("compression", CODEC).parquet(path)
+    df.write.option("compression", CODEC).partitionBy(*partition_by).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
