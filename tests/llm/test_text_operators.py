@@ -228,6 +228,90 @@ def test_probabilities_add_up(documents):
         assert total == pytest.approx(1, abs=1e-4)
 
 
+def test_characters_against_dictionaries(documents):
+    """Every character counts as itself: letters of either case, digits, marks, letters beyond ASCII."""
+    rng = random.Random(5)
+    texts = [" ".join(rng.choice(["The", "JOT", "TDN", "mat,", "été", "x91", "Ж", "\0.", "山水"]) for _ in range(rng.randrange(1, 30))) for _ in range(60)]
+    model, of_classes, slot = quality_rules.train(documents(*texts)), brute_model(texts), quality_rules.slot_of("en")
+    edge, marked = chr(0x10FFFF), []  # no text has it
+    for t in texts:
+        marked.append(edge * 2 + t + edge)
+    grams = Counter(t[k:k + 3] for t in marked for k in range(len(t) - 2))
+    c = Counter(grams.values())
+    d = [0.5, 1.0, 1.5]
+    if c[1] and c[2] and c[3]:
+        y = c[1] / (c[1] + 2 * c[2])
+        d = [max(k * 0.1, min(k, k - (k + 1) * y * c[k + 1] / c[k])) for k in (1, 2, 3)]
+    total, taken = Counter(), Counter()
+    for g, n in grams.items():
+        total[g[:2]] += n
+        taken[g[:2]] += d[min(n, 3) - 1]
+
+    def kind(x):
+        return 0 if x == edge else int(quality_rules.symbol_table()[ord(x)]) if ord(x) < 128 else 57 + ord(x) % 7
+
+    before = Counter(x for _, x in {(g[1], g[2]) for g in grams})
+    size = Counter(kind(chr(x)) for x in range(0x110000) if chr(x) != edge)
+    size[0], size[kind(chr(0x10FFFE))] = 1, size[kind(chr(0x10FFFE))]
+    size[57 + 0x10FFFF % 7] += 1
+
+    def p(g):
+        alike = sum(n for x, n in before.items() if kind(x) == kind(g[2]))
+        within = (0.99 * before[g[2]] / alike + 0.01 / size[kind(g[2])]) if alike else 1 / size[kind(g[2])]
+        lower = np.exp(of_classes(tuple(map(kind, g)))) * within
+        if g[:2] not in total:
+            return lower
+        n = grams[g]
+        return (n - d[min(n, 3) - 1] if n else 0) / total[g[:2]] + taken[g[:2]] / total[g[:2]] * lower
+
+    for text in [*texts[:10], "Dog #7 JNT unseen Öß 中 x", ""]:
+        marks = edge * 2 + text + edge
+        keys, sizes = quality_rules.spell_characters([text])
+        want = [np.log(p(marks[k:k + 3])) for k in range(len(marks) - 2)]
+        assert sizes[0] == len(text) + 1 == len(keys)
+        np.testing.assert_allclose(model.characters_log_p(slot, keys), want, rtol=1e-4, atol=1e-6)
+
+
+def test_probabilities_of_characters_add_up(documents):
+    model = quality_rules.train(documents(*["The cat, é 91 sat on Ж"] * 3, "A cat ran 5 été"))
+    slot, n = quality_rules.slot_of("en"), quality_rules.POINTS
+    points = np.arange(n)
+    for context in ("at", "e ", " é", "Zz", " Ж"):
+        grams = (ord(context[0]) * n + ord(context[1])) * n + points
+        assert np.exp(model.characters_log_p(slot, grams)).sum() == pytest.approx(1, abs=1e-3)
+
+
+def test_counts_and_logarithms_within_bounds(documents, monkeypatch):
+    """Small bounds of what a task holds change nothing."""
+    rng = random.Random(6)
+    texts = ["".join(chr(rng.choice([97, 98, 65, 75, 233, 240, 0x4E00, 0x4E07]) + rng.randrange(3)) for _ in range(rng.randrange(400))) for _ in range(50)]
+
+    def counted():
+        return sorted(tuple(r) for r in quality_rules.count_trigrams(documents(*texts)).collect())
+
+    whole = counted()
+    assert sum(n for *_, n in whole) == sum(len(t) + 1 for t in texts)
+    monkeypatch.setattr(quality_rules, "COUNTED", 50)
+    assert counted() == whole
+    monkeypatch.setattr(quality_rules, "CACHE_BITS", 3)
+    known, asked = quality_rules.Known(), []
+    for _ in range(3):
+        grams = np.array([rng.randrange(40) for _ in range(200)], np.int64)
+        np.testing.assert_array_equal(known.find(grams, lambda g: asked.append(len(g)) or g * 0.5), grams * 0.5)
+    assert len(asked) == 3
+
+
+def test_texts_that_differ_in_one_character_are_scored_apart(documents):
+    """A, K and U, all digits, and letters beyond ASCII seven code points apart had one class."""
+    usual = "Anna read the story of the 11 children and the old man at the river for a very long time, été"
+    texts = [usual + " " + word for word in "the of and reason letter window garden table morning winter paper stone".split()]
+    odd = [usual.replace("A", "K"), usual.replace("11", "99"), usual.replace("é", chr(ord("é") + 7)), usual]
+    rows = {r.doc_id: r for r in quality_rules.assess(documents(*texts, *odd)).collect()}
+    first = len(texts)
+    apart = [rows[first + k].entropy - rows[first + 3].entropy for k in range(3)]
+    assert min(apart) > 0.01, apart
+
+
 def test_quality_odd(odd, nothing):
     got = quality_rules.assess(odd).collect()
     assert len(got) == len(ODD)
